@@ -94,7 +94,7 @@ def insert_if_absent(target: DataFrame, new_rows: DataFrame, keys: Sequence[str]
     """``INSERT ... ON CONFLICT DO NOTHING`` (I10): new keys only; among
     several new rows for one key the first under ``order`` wins."""
     keys = list(keys)
-    first = latest_per_key(_align(new_rows, target), keys, order)
+    first = _align(latest_per_key(new_rows, keys, order), target)
     fresh = first.join(target.select(*keys), on=keys, how="left_anti")
     return target.unionByName(fresh)
 

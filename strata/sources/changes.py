@@ -55,7 +55,8 @@ def initial_snapshot(df: DataFrame, key: str, ts_ms: Column | int,
     )
 
 
-def envelope_payload(changes: DataFrame) -> DataFrame:
-    """Envelopes to JSON message text (``before``/``after`` NULL are omitted)."""
+def envelope_payload(changes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Envelopes to JSON message text (``before``/``after`` NULL are omitted),
+    keeping the ``keep`` columns alongside."""
     fields = [c for c in ("before", "after", "op", "ts_ms") if c in changes.columns]
-    return changes.select(to_payload(*fields).alias("payload"))
+    return changes.select(*keep, to_payload(*fields).alias("payload"))

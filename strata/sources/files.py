@@ -21,9 +21,14 @@ def read_json_tree(spark: SparkSession, path: str, schema: T.StructType | None =
     return reader.json(path)
 
 
-def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One JSON object per line per row (the producer's serialisation)."""
-    df.write.mode(mode).option("ignoreNullFields", "true").json(path)
+def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists",
+                     partition_by: list[str] | None = None) -> None:
+    """One JSON object per line per row (the producer's serialisation);
+    ``partition_by`` lays files out in nested ``col=value`` folders."""
+    writer = df.write.mode(mode).option("ignoreNullFields", "true")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.json(path)
 
 
 def as_messages(df: DataFrame, key: str | None = None) -> DataFrame:

@@ -26,7 +26,7 @@ import math
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,7 +131,7 @@ class Commit:
         return json.dumps(
             {
                 "version": self.version,
-                "committed_at": self.committed_at.isoformat(sep=" "),
+                "committed_at": self.committed_at.isoformat(),
                 "operation": self.operation,
                 "parts": self.parts,
                 "summary": self.summary,
@@ -237,11 +237,18 @@ class VersionedTable:
         return rel, f"{self.root}/{rel}"
 
     def committed_txn(self, txn: str) -> bool:
-        """Was a (query, batch) transaction already committed?  Used to make
-        ``foreachBatch`` replays no-ops."""
-        if not self.exists():
-            return False
-        return self.history().filter(F.col("txn") == txn).limit(1).count() > 0
+        """Was a ``<query>:<batch id>`` transaction already committed?
+
+        ``foreachBatch`` replays only the last batch of a query after a
+        failure, so walking back from the head to that query's newest commit
+        answers it without reading the whole log.
+        """
+        query, _, batch = txn.rpartition(":")
+        for v in reversed(self._versions()):
+            c = self.commit_at(v)
+            if c.txn and c.txn.rpartition(":")[0] == query:
+                return int(c.txn.rpartition(":")[2]) >= int(batch)
+        return False
 
     # ----------------------------------------------------------------- read
     def resolve(self, version: int | None = None, as_of: datetime | str | None = None) -> Commit:
@@ -330,12 +337,17 @@ class VersionedTable:
         return self._commit(operation, parts, df.schema, **extra)
 
     def append(self, df: DataFrame, **extra) -> Commit:
-        """Add rows as a new version (Bronze)."""
+        """Add rows as a new version (Bronze); the row count is observed
+        during the write and recorded in the commit summary."""
         if self.buckets:
             raise ValueError("append on a bucketed table: use merge")
         head = self.latest()
         rel, path = self._next_data_dir()
-        df.write.parquet(path)
+        seen = Observation("append")
+        df.observe(seen, F.count(F.lit(1)).alias("records")).write.parquet(path)
+        summary = dict(extra.pop("summary", {}) or {})
+        summary["records"] = str(seen.get["records"])
+        extra["summary"] = summary
         parts = (head.parts if head else []) + [rel]
         schema = df.schema if head is None else T.StructType.fromJson(json.loads(head.schema))
         return self._commit("append", parts, schema, **extra)
