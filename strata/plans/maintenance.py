@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -44,7 +44,7 @@ def maintain_table(table: VersionedTable, now: datetime | None = None,
     except Exception as exc:  # isolate per table and per step
         errors.append(f"compact: {exc}")
     try:
-        cutoff = (now or datetime.utcnow()) - timedelta(days=retention_days)
+        cutoff = (now or datetime.now(timezone.utc).replace(tzinfo=None)) - timedelta(days=retention_days)
         out["expired_versions"] = table.expire(cutoff, retain_last)["expired_versions"]
     except Exception as exc:
         errors.append(f"expire: {exc}")

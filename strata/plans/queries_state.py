@@ -9,7 +9,7 @@ checkpoint root and return what a reader of the result table sees.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -192,7 +192,7 @@ def q_expire_keep_last(spark, sf_dir):
     t = VersionedTable(spark, scratch_path(spark, "bronze_expire"))
     for part in _slices(bronze_api(spark, sf_dir), [2, 4, 6, 8]):
         t.append(part)
-    t.expire(datetime.utcnow() + timedelta(days=1), retain_last=2)
+    t.expire(datetime.now(timezone.utc).replace(tzinfo=None) + timedelta(days=1), retain_last=2)
     return t.history().select("version", F.col("summary")["records"].cast("long").alias("records"))
 
 

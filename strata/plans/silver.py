@@ -7,6 +7,7 @@ time are broken by the transport coordinates so the result is deterministic.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -17,16 +18,33 @@ from strata.functions.jsonpath import json_first, json_path, parse_struct
 from strata.functions.text import clean, concat_skip_nulls, norm
 from strata.functions.time import ms_to_ts, year_of
 from strata.operators.dedup import latest_per_key, newest_first
-from strata.operators.incremental import incremental_slice
 from strata.operators.upsert import live_rows, upsert
 from strata.schemas import API_USER_COLUMNS, API_USER_PATHS, CDC_SCHEMA, CDC_USER_COLUMNS
 
 TRANSPORT = ["kafka_partition", "kafka_offset"]
-API_ORDER = newest_first("ingested_at", *TRANSPORT)
-CDC_ORDER = newest_first("source_ts", *TRANSPORT)
 UPSERT_OPS = ("c", "u", "r")
 
 
+def api_order() -> list[Column]:
+    """Newest landing first; transport coordinates break ties."""
+    return newest_first("ingested_at", *TRANSPORT)
+
+
+def cdc_order() -> list[Column]:
+    """Newest source time first; transport coordinates break ties."""
+    return newest_first("source_ts", *TRANSPORT)
+
+
+def __getattr__(name: str):
+    # ``silver.API_ORDER`` / ``silver.CDC_ORDER``: Columns need a live session,
+    # so they are built on access rather than at import.
+    if name == "API_ORDER":
+        return api_order()
+    if name == "CDC_ORDER":
+        return cdc_order()
+    raise AttributeError(name)
+
+
 # ----------------------------------------------------------------- API feed
 def parse_api(bronze: DataFrame, paths: dict[str, Sequence[str]] | None = None) -> DataFrame:
     """Payload fields by shape-tolerant JSON paths (nested first, flat second)."""
@@ -57,7 +75,7 @@ def clean_api(parsed: DataFrame) -> DataFrame:
 
 def api_updates(bronze: DataFrame) -> DataFrame:
     """Newest row per username, keeping the ordering columns for merging."""
-    return latest_per_key(clean_api(parse_api(bronze)), ["username"], API_ORDER)
+    return latest_per_key(clean_api(parse_api(bronze)), ["username"], api_order())
 
 
 def api_users(bronze: DataFrame) -> DataFrame:
@@ -136,7 +154,7 @@ def clean_cdc(parsed: DataFrame, deletes: str = "ignore") -> DataFrame:
 
 def cdc_updates(bronze: DataFrame, deletes: str = "ignore", schema: T.StructType = CDC_SCHEMA) -> DataFrame:
     """Newest event per id by source time (with tombstones under ``apply``)."""
-    return latest_per_key(clean_cdc(parse_cdc(bronze, schema), deletes), ["id"], CDC_ORDER)
+    return latest_per_key(clean_cdc(parse_cdc(bronze, schema), deletes), ["id"], cdc_order())
 
 
 def cdc_users(bronze: DataFrame, deletes: str = "ignore", schema: T.StructType = CDC_SCHEMA) -> DataFrame:
@@ -165,6 +183,39 @@ def cdc_rejects(bronze: DataFrame, schema: T.StructType = CDC_SCHEMA) -> DataFra
 
 
 # ------------------------------------------------------ incremental refresh
+def unconsumed(bronze, mark: str | None, overlap: str | None = None) -> DataFrame | None:
+    """Bronze rows a Silver table has not consumed yet, or None if nothing.
+
+    ``mark`` records the Bronze version (and newest landing time) consumed.
+    When Bronze only appended since then, exactly the data folders added after
+    that version are read: no scan of older files, and no row lost to an
+    equal landing stamp (T10).  If the consumed version was compacted away or
+    expired, fall back to ``ingested_at >= mark`` (minus ``overlap``); the
+    guarded merge makes the re-read rows harmless.
+    """
+    head = bronze.latest()
+    if head is None:
+        return None
+    if mark is None:
+        return bronze.read()
+    m = json.loads(mark)
+    if m["bronze_version"] == head.version:
+        return None
+    try:
+        seen = bronze.commit_at(m["bronze_version"])
+    except Exception:  # expired entry
+        seen = None
+    if seen is not None and set(seen.parts) <= set(head.parts):
+        fresh = [p for p in head.parts if p not in set(seen.parts)]
+        return bronze._read_parts(head, fresh) if fresh else None
+    if m.get("ingested_at") is None:
+        return bronze.read()
+    bound = F.lit(m["ingested_at"]).cast("timestamp_ntz")
+    if overlap:
+        bound = bound - F.expr(f"INTERVAL {overlap}")
+    return bronze.read().filter(F.col("ingested_at") >= bound)
+
+
 def refresh(
     bronze,
     silver,
@@ -174,28 +225,31 @@ def refresh(
     overlap: str | None = None,
     files_per_bucket: int = 1,
 ):
-    """One incremental Silver run over versioned tables.
+    """One incremental Silver run over versioned tables.
 
-    The mark is the newest landing time of the Bronze rows *consumed*, kept in
-    the Silver commit itself, so mark and data move together.  With ``order``
-    the merge is guarded (newest wins whichever side it is on), which makes
-    re-reading rows harmless and the result independent of how the feed was
-    split into runs.  ``order=None`` is the plain MERGE (source always wins).
+    The consumed mark is stored in the Silver commit itself, so mark and data
+    move together (a crash leaves neither).  With ``order`` the merge is
+    guarded (newest wins whichever side it is on): re-reading rows is
+    harmless and the result does not depend on how the feed was split into
+    runs.  ``order=None`` is the plain MERGE (source always wins).
     Returns the new commit, or None when Bronze has nothing new.
     """
     head = silver.latest()
-    mark = head.mark if head is not None else None
-    source = bronze.read()
-    fresh = incremental_slice(source, "ingested_at", mark, overlap)
-    if fresh.isEmpty():
+    prev = head.mark if head is not None else None
+    bronze_head = bronze.latest()
+    fresh = unconsumed(bronze, prev, overlap)
+    if fresh is None or fresh.isEmpty():
         return None
     seen = Observation("bronze_slice")
-    fresh = fresh.observe(seen, F.max("ingested_at").alias("mark"), F.count(F.lit(1)).alias("rows"))
+    fresh = fresh.observe(seen, F.max("ingested_at").alias("mark"))
     updates = build(fresh)
 
     def consumed() -> str:
-        m = seen.get["mark"]
-        return mark if m is None else str(m)
+        newest = seen.get["mark"]
+        if newest is None and prev is not None:
+            newest = json.loads(prev).get("ingested_at")
+        return json.dumps({"bronze_version": bronze_head.version,
+                           "ingested_at": None if newest is None else str(newest)})
 
     def combine(target: DataFrame, upd: DataFrame) -> DataFrame:
         return upsert(target, upd, list(keys), order)

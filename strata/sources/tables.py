@@ -24,7 +24,7 @@ from __future__ import annotations
 import json
 import math
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -211,7 +211,7 @@ class VersionedTable:
         head = self.latest()
         version = 0 if head is None else head.version + 1
         # commit time is strictly increasing even on a coarse clock
-        now = datetime.utcnow()
+        now = datetime.now(timezone.utc).replace(tzinfo=None)
         if head is not None and now <= head.committed_at:
             now = head.committed_at + timedelta(microseconds=1)
         # a mark may be observed while the data is written: resolve it last
