@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.time import add_interval, millis_since_epoch
+from strata.functions.jsonpath import json_first
+from strata.functions.time import add_interval
 from strata.operators.dedup import latest_per_key, newest_first
 from strata.plans import gold, reports, silver
 from strata.schemas import change_envelope, row_image
+from strata.sources.bronze import spread_small_scan
 from strata.sources.feeds import api_feed, change_feed
 
 # Change-feed schema for keys derived from customer keys: 64-bit ids, so the
@@ -28,11 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # ------------------------------------------------------------ shared frames
 def bronze_api(spark, sf_dir) -> DataFrame:
-    return api_feed(table(spark, sf_dir, "events"))
+    return api_feed(spread_small_scan(table(spark, sf_dir, "events")))
 
 
 def bronze_cdc(spark, sf_dir) -> DataFrame:
-    return change_feed(table(spark, sf_dir, "orders"))
+    return change_feed(spread_small_scan(table(spark, sf_dir, "orders")))
 
 
 def silver_api(spark, sf_dir) -> DataFrame:
@@ -66,7 +68,7 @@ def q_bronze_api_fields(spark, sf_dir):
     return b.select(
         "kafka_topic", "kafka_partition", "kafka_offset", "kafka_ts", "ingested_at",
         F.get_json_object("payload", "$.email").alias("email"),
-        silver.json_first("payload", "$.login.username", "$.username").alias("username"),
+        json_first("payload", "$.login.username", "$.username").alias("username"),
         F.get_json_object("payload", "$.gender").alias("gender"),
     )
 

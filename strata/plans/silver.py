@@ -14,10 +14,11 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.jsonpath import json_first, json_path, parse_struct
+from strata.functions.jsonpath import as_variant, json_first, json_path, parse_struct, variant_first
 from strata.functions.text import clean, concat_skip_nulls, norm
 from strata.functions.time import ms_to_ts, year_of
 from strata.operators.dedup import latest_per_key, newest_first
+from strata.operators.fence import fenced_select
 from strata.operators.upsert import live_rows, upsert
 from strata.schemas import API_USER_COLUMNS, API_USER_PATHS, CDC_SCHEMA, CDC_USER_COLUMNS
 
@@ -47,10 +48,16 @@ def __getattr__(name: str):
 
 # ----------------------------------------------------------------- API feed
 def parse_api(bronze: DataFrame, paths: dict[str, Sequence[str]] | None = None) -> DataFrame:
-    """Payload fields by shape-tolerant JSON paths (nested first, flat second)."""
+    """Payload fields by shape-tolerant JSON paths (nested first, flat second).
+
+    The payload is parsed once into a VARIANT and every path reads from it;
+    the fence keeps the key filters that follow from re-parsing it.
+    """
     paths = paths or API_USER_PATHS
-    return bronze.select(
-        *[json_first("payload", *p).alias(name) for name, p in paths.items()],
+    parsed = bronze.select(as_variant("payload").alias("_v"), "ingested_at", *TRANSPORT)
+    return fenced_select(
+        parsed,
+        *[variant_first("_v", *p).alias(name) for name, p in paths.items()],
         "ingested_at",
         *TRANSPORT,
     )
@@ -105,9 +112,10 @@ def api_rejects(bronze: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------- change feed
 def parse_cdc(bronze: DataFrame, schema: T.StructType = CDC_SCHEMA) -> DataFrame:
-    """Change envelope with an explicit partial schema."""
+    """Change envelope with an explicit partial schema, parsed once per row."""
     d = parse_struct("payload", schema)
-    return bronze.withColumn("_d", d).select(
+    return fenced_select(
+        bronze.select(d.alias("_d"), "ingested_at", *TRANSPORT),
         F.col("_d.before.id").alias("before_id"),
         F.col("_d.after.id").alias("id"),
         F.col("_d.after.name").alias("name"),

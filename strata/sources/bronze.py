@@ -11,8 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.jsonpath import json_first
+from strata.functions.jsonpath import as_variant, variant_first
 from strata.functions.time import to_millis_precision
+from strata.operators.fence import fenced_select
 from strata.schemas import BRONZE_COLUMNS
 
 
@@ -56,12 +57,30 @@ def split_by_topic(bronze: DataFrame, topics: Sequence[str]) -> dict[str, DataFr
 
 def typed_view(bronze: DataFrame, fields: dict[str, Sequence[str]],
                keep: Sequence[str] = ("ingested_at",)) -> DataFrame:
-    """Typed projection over raw payloads, the query-time Bronze read."""
-    return bronze.select(
-        *[json_first("payload", *paths).alias(name) for name, paths in fields.items()],
+    """Typed projection over raw payloads, the query-time Bronze read.
+    The payload is parsed once (VARIANT) for all fields."""
+    parsed = bronze.select(as_variant("payload").alias("_v"), *keep)
+    return fenced_select(
+        parsed,
+        *[variant_first("_v", *paths).alias(name) for name, paths in fields.items()],
         *keep,
     )
 
 
+def spread_small_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A single unsplittable file (one row group, a gzip file) is read by one
+    task, and all per-row work before the first shuffle would run on one
+    core.  Only then is the input dealt round-robin over ``min_partitions``
+    (default: the cluster's parallelism); a normal large scan already has more
+    splits than that and is returned untouched, with no shuffle added.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def select_bronze(df: DataFrame) -> DataFrame:
     return df.select(*BRONZE_COLUMNS)
