@@ -78,12 +78,15 @@ def labelled_counts(frames: dict[str, DataFrame], label: str = "layer", alias: s
 
 def side_by_side_counts(frames: dict[str, DataFrame]) -> DataFrame:
     """``SELECT (SELECT COUNT(*) ...) a, (SELECT COUNT(*) ...) b`` (C6): one
-    row, each count a one-row aggregate joined without keys."""
-    out = None
+    row with one count column per input, from a single aggregate over the
+    tagged inputs (each input is scanned once, only its tag is kept)."""
+    tagged = None
     for name, df in frames.items():
-        one = df.agg(F.count(F.lit(1)).alias(name))
-        out = one if out is None else out.crossJoin(one)  # 1 x 1 rows
-    return out
+        t = df.select(F.lit(name).alias("_src"))
+        tagged = t if tagged is None else tagged.unionByName(t)
+    return tagged.agg(
+        *[F.count(F.when(F.col("_src") == name, F.lit(1))).alias(name) for name in frames]
+    )
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], alias: str = "copies") -> DataFrame:

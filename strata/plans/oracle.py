@@ -32,7 +32,8 @@ api_clean AS (
     CASE WHEN event_type <> 'signup' THEN CAST(1950 + user_id % 50 AS INTEGER) END AS birth_year,
     CASE WHEN event_type <> 'view'
          THEN '+84 ' || CAST(user_id AS VARCHAR) || '-' || CAST(event_id % 1000 AS VARCHAR) END AS phone,
-    CASE WHEN event_id % 2 = 0 THEN CAST(CAST(k AS INTEGER) AS VARCHAR) ELSE lpad(k, 5, '0') END AS postcode
+    CASE WHEN event_id % 2 = 0 THEN CAST(CAST(k AS INTEGER) AS VARCHAR) ELSE lpad(k, 5, '0') END AS postcode,
+    CASE WHEN event_id % 2 = 0 THEN 'VN' END AS nat
   FROM api_src
   WHERE value < 480 AND event_type <> 'error')"""
 

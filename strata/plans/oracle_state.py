@@ -167,4 +167,16 @@ SELECT check_name, violations, violations = 0 AS passed FROM (
   SELECT 'cdc_email_present', (SELECT count(*) FROM cdc_users WHERE email IS NULL)
   UNION ALL
   SELECT 'api_birth_year_known', (SELECT count(*) FROM api_users WHERE birth_year IS NULL))""",
+    "sql_views_match_rate": BASE["match_rate"],
+    "sql_events_per_minute": BASE["events_per_minute"],
+    "user_stats_sorted": with_(*GOLD, STATS) + """
+SELECT * FROM stats ORDER BY total_users DESC, gender, department, birth_year""",
+    "cdc_users_sorted": with_(*CDC) + "SELECT * FROM cdc_users ORDER BY id",
+    "full_refresh": with_(*CDC) + "SELECT * FROM cdc_users",
+    "late_field_reparse": with_(API_SRC, API_CLEAN) + """
+SELECT first_name, last_name, full_name, gender, email, username, birth_year, phone, postcode, ingested_at, nat
+FROM (SELECT *, row_number() OVER (PARTITION BY username
+                                   ORDER BY ingested_at DESC, kafka_partition DESC, kafka_offset DESC) AS rn
+      FROM api_clean)
+WHERE rn = 1""",
 }

@@ -64,7 +64,11 @@ def parse_api(bronze: DataFrame, paths: dict[str, Sequence[str]] | None = None)
 
 
 def clean_api(parsed: DataFrame) -> DataFrame:
-    """Required keys (checked before trimming), then normalised columns."""
+    """Required keys (checked before trimming), then normalised columns.
+    Fields parsed beyond the standard ones (a wider path map, I14) are
+    carried through as they are."""
+    standard = set(API_USER_PATHS) | {"ingested_at", *TRANSPORT}
+    extra = [c for c in parsed.columns if c not in standard]
     return parsed.filter(F.col("username").isNotNull() & F.col("email").isNotNull()).select(
         clean("first_name").alias("first_name"),
         clean("last_name").alias("last_name"),
@@ -77,17 +81,20 @@ def clean_api(parsed: DataFrame) -> DataFrame:
         F.col("postcode"),
         F.col("ingested_at"),
         *TRANSPORT,
+        *extra,
     )
 
 
-def api_updates(bronze: DataFrame) -> DataFrame:
+def api_updates(bronze: DataFrame, paths: dict[str, Sequence[str]] | None = None) -> DataFrame:
     """Newest row per username, keeping the ordering columns for merging."""
-    return latest_per_key(clean_api(parse_api(bronze)), ["username"], api_order())
+    return latest_per_key(clean_api(parse_api(bronze, paths)), ["username"], api_order())
 
 
-def api_users(bronze: DataFrame) -> DataFrame:
-    """Silver ``api_users`` from a Bronze slice."""
-    return api_updates(bronze).select(*API_USER_COLUMNS)
+def api_users(bronze: DataFrame, paths: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """Silver ``api_users`` from a Bronze slice (I3).  ``paths`` may widen the
+    default path map; extra fields follow the standard columns."""
+    extra = [c for c in (paths or {}) if c not in API_USER_PATHS]
+    return api_updates(bronze, paths).select(*API_USER_COLUMNS, *extra)
 
 
 def api_rejects(bronze: DataFrame) -> DataFrame:
@@ -191,6 +198,23 @@ def cdc_rejects(bronze: DataFrame, schema: T.StructType = CDC_SCHEMA) -> DataFra
 
 
 # ------------------------------------------------------ incremental refresh
+def rebuild(bronze, silver, build: Callable[[DataFrame], DataFrame], files_per_bucket: int = 1):
+    """Full refresh (I11): rebuild Silver from all of Bronze as a new version
+    (older versions stay readable), e.g. after widening the schema (I14)."""
+    head = bronze.latest()
+    if head is None:
+        return None
+    seen = Observation("bronze_full")
+    rows = bronze.read().observe(seen, F.max("ingested_at").alias("mark"))
+
+    def consumed() -> str:
+        m = seen.get["mark"]
+        return json.dumps({"bronze_version": head.version, "ingested_at": None if m is None else str(m)})
+
+    return silver.overwrite(build(rows), operation="rebuild", files_per_bucket=files_per_bucket,
+                            mark=consumed)
+
+
 def unconsumed(bronze, mark: str | None, overlap: str | None = None) -> DataFrame | None:
     """Bronze rows a Silver table has not consumed yet, or None if nothing.
 
@@ -246,7 +270,7 @@ def refresh(
     prev = head.mark if head is not None else None
     bronze_head = bronze.latest()
     fresh = unconsumed(bronze, prev, overlap)
-    if fresh is None or fresh.isEmpty():
+    if fresh is None:
         return None
     seen = Observation("bronze_slice")
     fresh = fresh.observe(seen, F.max("ingested_at").alias("mark"))

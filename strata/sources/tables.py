@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import json
 import math
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
@@ -359,26 +360,32 @@ class VersionedTable:
         operation: str = "merge",
         files_per_bucket: int = 1,
         **extra,
-    ) -> Commit:
+    ) -> Commit | None:
         """Rewrite only the buckets that ``updates`` touches.
 
         ``combine(target_slice, updates)`` is the row algebra (see
         ``strata.operators.upsert``); it sees the target rows of the touched
-        buckets only.  ``updates`` is cut from its lineage first so it is
-        computed once even though it is used twice.
+        buckets only.  ``updates`` is computed once: it is written to a
+        staging folder under the table (cutting its lineage, so a lost
+        executor does not recompute the feed), and the set of buckets it
+        touches is gathered as a metric of that same write (at most
+        ``buckets`` small ints).  Returns the head unchanged when ``updates``
+        is empty.
         """
         if not self.buckets:
             raise ValueError("merge needs a bucketed table")
         head = self.latest()
-        updates = updates.checkpoint(eager=True)
-        touched = sorted(
-            r[0]
-            for r in updates.select(bucket_of(self.bucket_keys, self.buckets).alias("b"))
-            .distinct()
-            .collect()
-        )  # at most `buckets` small ints
+        stage = f"{self.root}/_staging/{uuid.uuid4().hex}"
+        seen = Observation("merge_updates")
+        (
+            updates.observe(seen, F.collect_set(bucket_of(self.bucket_keys, self.buckets)).alias("buckets"))
+            .write.parquet(stage)
+        )
+        touched = sorted(seen.get["buckets"] or [])
         if not touched:
+            self._fs.delete(stage)
             return head
+        staged = self.spark.read.schema(updates.schema).parquet(stage)
         current = self._bucket_map(head)
         schema = (
             T.StructType.fromJson(json.loads(head.schema)) if head is not None else updates.schema
@@ -387,7 +394,7 @@ class VersionedTable:
             target = self._read_parts(head, [current[b] for b in touched if b in current])
         else:
             target = self.spark.createDataFrame([], schema)
-        merged = combine(target, updates)
+        merged = combine(target, staged)
         rel, path = self._next_data_dir()
         self._write_bucketed(merged, rel, path, files_per_bucket, len(touched))
         for b in touched:
@@ -395,7 +402,9 @@ class VersionedTable:
         parts = [current[b] for b in sorted(current)]
         summary = dict(extra.pop("summary", {}) or {})
         summary.update({"touched_buckets": str(len(touched)), "total_buckets": str(self.buckets)})
-        return self._commit(operation, parts, merged.schema, summary=summary, **extra)
+        commit = self._commit(operation, parts, merged.schema, summary=summary, **extra)
+        self._fs.delete(stage)
+        return commit
 
     # ---------------------------------------------------------- maintenance
     def compact(self, target_file_bytes: int = 134_217_728, min_input_files: int = 5) -> dict:
