@@ -474,18 +474,22 @@ def table_exists(spark: SparkSession, name_or_path: str) -> bool:
     return spark.catalog.tableExists(name_or_path)
 
 
-def catalog_create_namespace(spark: SparkSession, namespace: str) -> None:
-    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
+def catalog_create_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
+    """``CREATE NAMESPACE IF NOT EXISTS``."""
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}{loc}")
 
 
 def catalog_create_table(spark: SparkSession, name: str, schema: T.StructType,
-                         using: str = "parquet", properties: dict[str, str] | None = None) -> None:
+                         using: str = "parquet", properties: dict[str, str] | None = None,
+                         location: str | None = None) -> None:
     """``CREATE TABLE IF NOT EXISTS`` with a declared schema (A5)."""
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     props = ""
     if properties:
         props = " TBLPROPERTIES (" + ", ".join(f"'{k}' = '{v}'" for k, v in properties.items()) + ")"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {using}{props}")
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {using}{loc}{props}")
 
 
 def catalog_replace(df: DataFrame, name: str, using: str | None = None) -> None:

@@ -81,3 +81,21 @@ def test_upsert_helpers_unique_contract(spark):
     u = spark.createDataFrame([(1, "b"), (1, "c")], "k long, v string")
     with pytest.raises(DuplicateSourceKeys):
         upsert(t, u, ["k"], strict=True).collect()
+
+
+def test_two_topics_two_queries(spark, tmp_path):
+    from strata.streaming.ingest import await_all, start_topics
+
+    api = api_feed(events_stream(spark))
+    orders_schema = spark.read.parquet(f"{SF_SMALL}/orders.parquet").schema
+    from strata.sources.feeds import change_feed
+
+    cdc = change_feed(spark.readStream.schema(orders_schema).option("pathGlobFilter", "orders.parquet")
+                      .parquet(SF_SMALL))
+    tables = {"users_created": VersionedTable(spark, str(tmp_path / "api")),
+              "postgres.public.users": VersionedTable(spark, str(tmp_path / "cdc"))}
+    qs = start_topics(spark, {"users_created": api, "postgres.public.users": cdc}, tables,
+                      str(tmp_path / "ck"), {"availableNow": True})
+    await_all(qs)
+    assert tables["users_created"].read().count() == bronze_api(spark, SF_SMALL).count()
+    assert tables["postgres.public.users"].read().count() == bronze_cdc(spark, SF_SMALL).count()
