@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import scratch_path
+
 BUCKET_COL = "sb"
 SUB_COL = "_sub"
 
@@ -232,9 +234,12 @@ class VersionedTable:
         return entry
 
     def _next_data_dir(self) -> tuple[str, str]:
+        """Fresh data folder for the next version.  The random suffix keeps a
+        retry after a failed, uncommitted attempt from colliding with the
+        orphaned folder (which expiry later removes)."""
         head = self.latest()
         version = 0 if head is None else head.version + 1
-        rel = f"data/{version:010d}"
+        rel = f"data/{version:010d}-{uuid.uuid4().hex[:8]}"
         return rel, f"{self.root}/{rel}"
 
     def committed_txn(self, txn: str) -> bool:
@@ -366,8 +371,8 @@ class VersionedTable:
         ``combine(target_slice, updates)`` is the row algebra (see
         ``strata.operators.upsert``); it sees the target rows of the touched
         buckets only.  ``updates`` is computed once: it is written to a
-        staging folder under the table (cutting its lineage, so a lost
-        executor does not recompute the feed), and the set of buckets it
+        fresh folder under the session's checkpoint root (cutting its
+        lineage, so a lost executor does not recompute the feed), and the set of buckets it
         touches is gathered as a metric of that same write (at most
         ``buckets`` small ints).  Returns the head unchanged when ``updates``
         is empty.
@@ -375,7 +380,7 @@ class VersionedTable:
         if not self.buckets:
             raise ValueError("merge needs a bucketed table")
         head = self.latest()
-        stage = f"{self.root}/_staging/{uuid.uuid4().hex}"
+        stage = scratch_path(self.spark, "merge-staging")
         seen = Observation("merge_updates")
         (
             updates.observe(seen, F.collect_set(bucket_of(self.bucket_keys, self.buckets)).alias("buckets"))
@@ -383,7 +388,6 @@ class VersionedTable:
         )
         touched = sorted(seen.get["buckets"] or [])
         if not touched:
-            self._fs.delete(stage)
             return head
         staged = self.spark.read.schema(updates.schema).parquet(stage)
         current = self._bucket_map(head)
@@ -402,9 +406,7 @@ class VersionedTable:
         parts = [current[b] for b in sorted(current)]
         summary = dict(extra.pop("summary", {}) or {})
         summary.update({"touched_buckets": str(len(touched)), "total_buckets": str(self.buckets)})
-        commit = self._commit(operation, parts, merged.schema, summary=summary, **extra)
-        self._fs.delete(stage)
-        return commit
+        return self._commit(operation, parts, merged.schema, summary=summary, **extra)
 
     # ---------------------------------------------------------- maintenance
     def compact(self, target_file_bytes: int = 134_217_728, min_input_files: int = 5) -> dict:
@@ -459,7 +461,7 @@ class VersionedTable:
             self._fs.delete(f"{self._log}/{v:010d}.json")
         deleted = 0
         for name in self._fs.list_names(f"{self.root}/data"):
-            if name not in referenced and int(name) < keep[0]:
+            if name not in referenced and int(name.split("-")[0]) < keep[0]:
                 self._fs.delete(f"{self.root}/data/{name}")
                 deleted += 1
         return {"expired_versions": len(expired), "deleted_data_dirs": deleted}
