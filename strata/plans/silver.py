@@ -19,7 +19,7 @@ from strata.functions.text import clean, concat_skip_nulls, norm
 from strata.functions.time import ms_to_ts, year_of
 from strata.operators.dedup import latest_per_key, newest_first
 from strata.operators.fence import fenced_select
-from strata.operators.upsert import live_rows, upsert
+from strata.operators.upsert import live_rows
 from strata.schemas import API_USER_COLUMNS, API_USER_PATHS, CDC_SCHEMA, CDC_USER_COLUMNS
 
 TRANSPORT = ["kafka_partition", "kafka_offset"]
@@ -283,10 +283,7 @@ def refresh(
         return json.dumps({"bronze_version": bronze_head.version,
                            "ingested_at": None if newest is None else str(newest)})
 
-    def combine(target: DataFrame, upd: DataFrame) -> DataFrame:
-        return upsert(target, upd, list(keys), order)
-
-    commit = silver.merge(updates, combine, operation="merge", mark=consumed,
+    commit = silver.merge(updates, list(keys), order, operation="merge", mark=consumed,
                           files_per_bucket=files_per_bucket)
     if commit is head:  # every fresh row was rejected: only the mark moves
         commit = silver._commit("mark", head.parts if head else [],

@@ -361,24 +361,37 @@ class VersionedTable:
     def merge(
         self,
         updates: DataFrame,
-        combine,
+        keys: list[str] | None = None,
+        order: list[Column] | None = None,
+        *,
+        combine=None,
         operation: str = "merge",
         files_per_bucket: int = 1,
         **extra,
     ) -> Commit | None:
-        """Rewrite only the buckets that ``updates`` touches.
+        """Upsert ``updates`` into the table, rewriting only touched buckets.
 
-        ``combine(target_slice, updates)`` is the row algebra (see
-        ``strata.operators.upsert``); it sees the target rows of the touched
-        buckets only.  ``updates`` is computed once: it is written to a
-        fresh folder under the session's checkpoint root (cutting its
-        lineage, so a lost executor does not recompute the feed), and the set of buckets it
+        ``order=None`` is the plain MERGE (update rows replace target rows;
+        update keys must be unique).  With ``order`` the merge is guarded: the
+        newest row under ``order`` wins whichever side it is on.
+
+        ``updates`` is computed once: it is written to a fresh folder under
+        the session's checkpoint root (cutting its lineage, so a lost
+        executor does not recompute the feed), and the set of buckets it
         touches is gathered as a metric of that same write (at most
-        ``buckets`` small ints).  Returns the head unchanged when ``updates``
-        is empty.
+        ``buckets`` small ints).  Only those buckets of the target are read.
+        Target slice and updates are then partitioned by bucket once; the
+        latest-row window runs on (bucket, keys), which that partitioning
+        already satisfies, and each task writes its buckets directly: a
+        single shuffle.  ``combine(target_slice, updates)`` plugs in any
+        other row algebra instead (one more shuffle to regroup by bucket).
+        Returns the head unchanged when ``updates`` is empty.
         """
         if not self.buckets:
             raise ValueError("merge needs a bucketed table")
+        keys = list(keys or self.bucket_keys)
+        if combine is None and not set(self.bucket_keys) <= set(keys):
+            raise ValueError("merge keys must include the bucket keys")
         head = self.latest()
         stage = scratch_path(self.spark, "merge-staging")
         seen = Observation("merge_updates")
@@ -398,9 +411,14 @@ class VersionedTable:
             target = self._read_parts(head, [current[b] for b in touched if b in current])
         else:
             target = self.spark.createDataFrame([], schema)
-        merged = combine(target, staged)
         rel, path = self._next_data_dir()
-        self._write_bucketed(merged, rel, path, files_per_bucket, len(touched))
+        if combine is not None:
+            merged = combine(target, staged)
+            self._write_bucketed(merged, rel, path, files_per_bucket, len(touched))
+        else:
+            merged = self._merge_rows(target, staged, keys, order, len(touched), files_per_bucket)
+            merged.write.partitionBy(BUCKET_COL).parquet(path)
+            merged = merged.drop(BUCKET_COL)
         for b in touched:
             current[b] = f"{rel}/{BUCKET_COL}={b}"
         parts = [current[b] for b in sorted(current)]
@@ -408,6 +426,27 @@ class VersionedTable:
         summary.update({"touched_buckets": str(len(touched)), "total_buckets": str(self.buckets)})
         return self._commit(operation, parts, merged.schema, summary=summary, **extra)
 
+    def _merge_rows(self, target: DataFrame, updates: DataFrame, keys: list[str],
+                    order: list[Column] | None, n_buckets: int, files_per_bucket: int) -> DataFrame:
+        """Newest row per key over target slice + updates, partitioned by
+        bucket (and sub-bucket) with one exchange."""
+        from strata.operators.dedup import latest_per_key
+
+        src = "_strata_src"
+        both = target.withColumn(src, F.lit(0)).unionByName(
+            updates.select(*target.columns).withColumn(src, F.lit(1)))
+        both = both.withColumn(BUCKET_COL, bucket_of(self.bucket_keys, self.buckets))
+        part = [BUCKET_COL]
+        if files_per_bucket > 1:
+            both = both.withColumn(SUB_COL, F.pmod(F.xxhash64(*[F.col(k) for k in self.bucket_keys], F.lit(7)),
+                                                   F.lit(files_per_bucket)))
+            part.append(SUB_COL)
+        both = both.repartition(max(1, n_buckets * files_per_bucket), *part)
+        # updates win ties, so the plain MERGE is "updates first"
+        rank = [*(order or []), F.col(src).desc()]
+        merged = latest_per_key(both, [*part, *keys], rank).drop(src)
+        return merged.drop(SUB_COL) if files_per_bucket > 1 else merged
+
     # ---------------------------------------------------------- maintenance
     def compact(self, target_file_bytes: int = 134_217_728, min_input_files: int = 5) -> dict:
         """Small-file compaction (J1): rewrite the latest state into files of

@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions.time import truncate
-from strata.operators.upsert import upsert
 from strata.sources.tables import VersionedTable
 
 
@@ -25,8 +24,7 @@ def merge_batches(table: VersionedTable, build: Callable[[DataFrame], DataFrame]
         txn = f"{query_name}:{batch_id}"
         if table.committed_txn(txn):
             return
-        updates = build(batch)
-        table.merge(updates, lambda t, u: upsert(t, u, list(keys), order), txn=txn)
+        table.merge(build(batch), list(keys), order, txn=txn)
 
     return write
 
@@ -78,7 +76,7 @@ def start_rate(stream: DataFrame, table: VersionedTable, ts: str, checkpoint: st
         txn = f"{query_name}:{batch_id}"
         if table.committed_txn(txn):
             return
-        table.merge(batch, lambda t, u: upsert(t, u, ["minute"]), txn=txn)
+        table.merge(batch, ["minute"], txn=txn)
 
     return (
         counts.writeStream.queryName(query_name)
