@@ -72,6 +72,23 @@ class _FS:
             return []
         return [s.getPath().getName() for s in self.fs.listStatus(p)]
 
+    def write_text(self, path: str, text: str) -> None:
+        out = self.fs.create(self._path(path), True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+
+    def summary(self, path: str) -> tuple[int, int]:
+        """(data files, bytes) under a folder from one content summary;
+        the job's success marker is not counted."""
+        p = self._path(path)
+        if not self.fs.exists(p):
+            return 0, 0
+        cs = self.fs.getContentSummary(p)
+        marker = 1 if self.fs.exists(self._path(f"{path}/_SUCCESS")) else 0
+        return int(cs.getFileCount()) - marker, int(cs.getLength())
+
     def write_exclusive(self, path: str, text: str) -> None:
         p = self._path(path)
         try:
@@ -191,15 +208,35 @@ class VersionedTable:
         names = self._fs.list_names(self._log)
         return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
+    def _entry(self, version: int) -> str:
+        return f"{self._log}/{version:010d}.json"
+
+    def _head_version(self) -> int | None:
+        """Newest committed version without listing the log: start from the
+        ``_last`` pointer (a hint, possibly stale) and probe forward."""
+        pointer = f"{self._log}/_last"
+        v = None
+        if self._fs.exists(pointer):
+            try:
+                v = int(self._fs.read_text(pointer).strip())
+            except (ValueError, Exception):
+                v = None
+        if v is None or not self._fs.exists(self._entry(v)):
+            versions = self._versions()
+            return versions[-1] if versions else None
+        while self._fs.exists(self._entry(v + 1)):
+            v += 1
+        return v
+
     def exists(self) -> bool:
-        return bool(self._versions())
+        return self._head_version() is not None
 
     def commit_at(self, version: int) -> Commit:
-        return Commit.from_json(self._fs.read_text(f"{self._log}/{version:010d}.json"))
+        return Commit.from_json(self._fs.read_text(self._entry(version)))
 
     def latest(self) -> Commit | None:
-        versions = self._versions()
-        return self.commit_at(versions[-1]) if versions else None
+        v = self._head_version()
+        return None if v is None else self.commit_at(v)
 
     def history(self) -> DataFrame:
         """Snapshot history (J6): version, committed_at, operation, summary,
@@ -230,7 +267,8 @@ class VersionedTable:
             bucket_keys=self.bucket_keys,
             **extra,
         )
-        self._fs.write_exclusive(f"{self._log}/{version:010d}.json", entry.to_json())
+        self._fs.write_exclusive(self._entry(version), entry.to_json())
+        self._fs.write_text(f"{self._log}/_last", str(version))
         return entry
 
     def _next_data_dir(self) -> tuple[str, str]:
@@ -250,10 +288,12 @@ class VersionedTable:
         answers it without reading the whole log.
         """
         query, _, batch = txn.rpartition(":")
-        for v in reversed(self._versions()):
+        v = self._head_version()
+        while v is not None and v >= 0 and self._fs.exists(self._entry(v)):
             c = self.commit_at(v)
             if c.txn and c.txn.rpartition(":")[0] == query:
                 return int(c.txn.rpartition(":")[2]) >= int(batch)
+            v -= 1
         return False
 
     # ----------------------------------------------------------------- read
@@ -301,6 +341,15 @@ class VersionedTable:
             .agg(F.count(F.lit(1)).alias("record_count"))
         )
 
+    def size_summary(self, version: int | None = None) -> tuple[int, int]:
+        """(data files, bytes) of a version: one content summary per data
+        folder, so the driver's work follows folders, not files."""
+        files = size = 0
+        for p in self.resolve(version).parts:
+            f, b = self._fs.summary(f"{self.root}/{p}")
+            files, size = files + f, size + b
+        return files, size
+
     def file_sizes(self, version: int | None = None) -> list[tuple[str, int]]:
         commit = self.resolve(version)
         out: list[tuple[str, int]] = []
@@ -454,23 +503,21 @@ class VersionedTable:
         head = self.latest()
         if head is None:
             return {"status": "missing", "rewritten_files": 0, "added_files": 0}
-        sizes = self.file_sizes()
-        total = sum(s for _, s in sizes)
-        if len(sizes) < min_input_files:
+        n_files, total = self.size_summary()
+        if n_files < min_input_files:
             return {"status": "skipped", "rewritten_files": 0, "added_files": 0}
         out_files = max(1, math.ceil(total / target_file_bytes))
         df = self._read_parts(head)
         if self.buckets:
             per_bucket = max(1, math.ceil(out_files / self.buckets))
             self.overwrite(df, operation="compact", files_per_bucket=per_bucket,
-                           mark=head.mark, summary={"rewritten_files": str(len(sizes))})
+                           mark=head.mark, summary={"rewritten_files": str(n_files)})
         else:
             rel, path = self._next_data_dir()
             df.repartition(out_files).write.parquet(path)
             self._commit("compact", [rel], T.StructType.fromJson(json.loads(head.schema)),
-                         mark=head.mark, summary={"rewritten_files": str(len(sizes))})
-        added = len(self.file_sizes())
-        return {"status": "compacted", "rewritten_files": len(sizes), "added_files": added}
+                         mark=head.mark, summary={"rewritten_files": str(n_files)})
+        return {"status": "compacted", "rewritten_files": n_files, "added_files": self.size_summary()[0]}
 
     def expirable(self, older_than: datetime, retain_last: int) -> DataFrame:
         """Versions older than ``older_than`` beyond the ``retain_last`` newest."""
