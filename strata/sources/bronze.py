@@ -76,8 +76,12 @@ def spread_small_scan(df: DataFrame, min_partitions: int | None = None) -> DataF
     (default: the cluster's parallelism); a normal large scan already has more
     splits than that and is returned untouched, with no shuffle added.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave the plan alone
+        return df
+    if splits >= target:
         return df
     return df.repartition(target)
 
