@@ -6,18 +6,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.text import label_unknown
+from strata.operators.dedup import latest_per_key, newest_first
 
 
-def users_enriched(api: DataFrame, cdc: DataFrame) -> DataFrame:
+def users_enriched(api: DataFrame, cdc: DataFrame, match: str = "all") -> DataFrame:
     """Every API user, with the source-database record that shares its
     e-mail (case-insensitive) when there is one (C1).
 
-    A plain equi-join on ``lower(email)``: Catalyst broadcasts the right side
+    ``match="all"`` is the plain left join: an e-mail held by several
+    source records repeats the API user once per record (T13; see
+    ``quality.fanout_check``).  ``match="latest"`` keeps only the newest
+    record per e-mail (source time, then id), so every API user appears
+    exactly once.  That reduction is a ``row_number`` cut, which Spark
+    applies per map task before the shuffle, so a hot e-mail collapses to
+    one row per task on the record side and a hot key on the API side is
+    left to AQE's skew split of the join.
+
+    An equi-join on ``lower(email)``: Catalyst broadcasts the record side
     only when its estimated size is under the broadcast threshold, otherwise
-    both sides shuffle on the key; AQE splits skewed key ranges.
+    both sides shuffle on the key.  Records without an e-mail never match
+    and are dropped before the shuffle, so no NULL-key partition forms.
     """
-    a, c = api.alias("a"), cdc.alias("c")
-    return a.join(c, F.lower(F.col("a.email")) == F.lower(F.col("c.email")), "left").select(
+    if match not in ("all", "latest"):
+        raise ValueError(f"match must be 'all' or 'latest', not {match!r}")
+    key = "_email_key"
+    records = cdc.filter(F.col("email").isNotNull()).withColumn(key, F.lower(F.col("email")))
+    if match == "latest":
+        records = latest_per_key(records, [key], newest_first("source_ts", "id"))
+    a, c = api.alias("a"), records.alias("c")
+    return a.join(c, F.lower(F.col("a.email")) == F.col(f"c.{key}"), "left").select(
         F.col("a.username"),
         F.col("a.full_name"),
         F.col("a.gender"),

@@ -163,6 +163,15 @@ SELECT o_custkey, o_orderkey, o_orderdate, o_orderstatus, o_totalprice FROM (
   FROM orders)
 WHERE rn = 1""",
     "gold_users_enriched": with_(*GOLD) + "SELECT * FROM enriched",
+    "gold_users_enriched_latest": with_(*API, *CDC) + """
+SELECT a.username, a.full_name, a.gender, a.email, a.birth_year, a.phone, a.postcode,
+       c.id AS db_id, c.department, c.source_ts AS last_db_update, a.ingested_at AS api_ingested_at
+FROM api_users a LEFT JOIN (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lower(email)
+                                              ORDER BY source_ts DESC NULLS LAST, id DESC NULLS LAST) AS rn_e
+                 FROM cdc_users WHERE email IS NOT NULL)
+  WHERE rn_e = 1) c
+ON lower(a.email) = lower(c.email)""",
     "gold_user_stats": with_(*GOLD, STATS) + "SELECT * FROM stats",
     "gold_user_stats_sqlmodel": with_(*GOLD) + """
 SELECT coalesce(g, 'unknown') AS gender, coalesce(d, 'unknown') AS department, birth_year,

@@ -118,6 +118,10 @@ def q_gold_users_enriched(spark, sf_dir):
     return enriched(spark, sf_dir)
 
 
+def q_gold_users_enriched_latest(spark, sf_dir):
+    return gold.users_enriched(silver_api(spark, sf_dir), silver_cdc(spark, sf_dir), match="latest")
+
+
 def q_gold_user_stats(spark, sf_dir):
     return gold.user_stats(enriched(spark, sf_dir))
 
@@ -239,6 +243,7 @@ REGISTRY = {
     "latest_event_per_user": q_latest_event_per_user,
     "latest_order_per_customer": q_latest_order_per_customer,
     "gold_users_enriched": q_gold_users_enriched,
+    "gold_users_enriched_latest": q_gold_users_enriched_latest,
     "gold_user_stats": q_gold_user_stats,
     "gold_user_stats_sqlmodel": q_gold_user_stats_sqlmodel,
     "unmatched_users": q_unmatched_users,

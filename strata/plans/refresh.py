@@ -47,17 +47,18 @@ def read_silver(spark: SparkSession, layout: Layout):
     return api, cdc_raw.select(*CDC_USER_COLUMNS)
 
 
-def refresh_gold(spark: SparkSession, layout: Layout) -> dict:
+def refresh_gold(spark: SparkSession, layout: Layout, match: str = "all") -> dict:
+    """Gold rebuild; ``match`` picks the enrichment join (see ``gold.users_enriched``)."""
     api, cdc = read_silver(spark, layout)
     enriched_t = layout.table(spark, "gold/users_enriched")
-    enriched_t.overwrite(gold.users_enriched(api, cdc), operation="replace")
+    enriched_t.overwrite(gold.users_enriched(api, cdc, match), operation="replace")
     # the rollup reads the published table, so the join is not recomputed
     stats_t = layout.table(spark, "gold/user_stats")
     stats_t.overwrite(gold.user_stats(enriched_t.read()), operation="replace")
     return {"users_enriched": enriched_t.latest(), "user_stats": stats_t.latest()}
 
 
-def refresh_all(spark: SparkSession, layout: Layout, deletes: str = "ignore") -> dict:
+def refresh_all(spark: SparkSession, layout: Layout, deletes: str = "ignore", match: str = "all") -> dict:
     out = refresh_silver(spark, layout, deletes)
-    out.update(refresh_gold(spark, layout))
+    out.update(refresh_gold(spark, layout, match))
     return out
