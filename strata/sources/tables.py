@@ -241,11 +241,14 @@ class VersionedTable:
     def history(self) -> DataFrame:
         """Snapshot history (J6): version, committed_at, operation, summary,
         read from the log files by Spark itself."""
+        return self._log_frame().select("version", "committed_at", "operation", "summary", "txn", "mark")
+
+    def _log_frame(self) -> DataFrame:
+        """Every log entry as a row, read by Spark (the ``_last`` pointer is
+        not JSON and is skipped by the file filter)."""
         if not self.exists():
             return self.spark.createDataFrame([], LOG_SCHEMA)
-        return self.spark.read.schema(LOG_SCHEMA).json(self._log).select(
-            "version", "committed_at", "operation", "summary", "txn", "mark"
-        )
+        return self.spark.read.schema(LOG_SCHEMA).option("pathGlobFilter", "*.json").json(self._log)
 
     def _commit(self, operation: str, parts: list[str], schema: T.StructType, **extra) -> Commit:
         head = self.latest()
@@ -520,37 +523,52 @@ class VersionedTable:
         return {"status": "compacted", "rewritten_files": n_files, "added_files": self.size_summary()[0]}
 
     def expirable(self, older_than: datetime, retain_last: int) -> DataFrame:
-        """Versions older than ``older_than`` beyond the ``retain_last`` newest."""
-        from pyspark.sql import Window
+        """Versions older than ``older_than`` beyond the ``retain_last`` newest.
 
-        w = Window.orderBy(F.col("version").desc())
+        Versions are dense (expiry only ever removes a prefix) and commit
+        times rise with them, so the newest ``retain_last`` are the versions
+        above ``head - retain_last``: a plain filter on the log that Spark
+        reads in parallel, with no ordering of the log.
+        """
+        head = self._head_version()
+        if head is None:
+            return self.spark.createDataFrame([], "version long")
         return (
             self.history()
-            .withColumn("_n", F.row_number().over(w))
-            .filter((F.col("_n") > retain_last)
+            .filter((F.col("version") <= F.lit(head - retain_last))
                     & (F.col("committed_at") < F.lit(older_than).cast("timestamp_ntz")))
             .select("version")
         )
 
     def expire(self, older_than: datetime, retain_last: int = 10) -> dict:
         """Snapshot expiry (J2): drop old log entries and the data folders no
-        retained version references."""
-        expired = sorted(r[0] for r in self.expirable(older_than, retain_last).collect())
-        if not expired:
+        retained version references.
+
+        The expired versions form a prefix of the log, so one aggregate gives
+        its bounds; the folders the retained versions still link are found by
+        Spark from the log itself.  Only bounded metadata reaches the driver:
+        two version numbers and the names of referenced data folders.
+        """
+        lo, hi = self.expirable(older_than, retain_last).agg(
+            F.min("version"), F.max("version")).first()
+        if hi is None:
             return {"expired_versions": 0, "deleted_data_dirs": 0}
-        keep = [v for v in self._versions() if v not in set(expired)]
-        referenced = set()
-        for v in keep:
-            for p in self.commit_at(v).parts:
-                referenced.add(p.split("/")[1])
-        for v in expired:
-            self._fs.delete(f"{self._log}/{v:010d}.json")
+        referenced = {
+            r[0] for r in self._log_frame()
+            .filter(F.col("version") > F.lit(hi))
+            .select(F.explode("parts").alias("part"))
+            .select(F.split(F.col("part"), "/").getItem(1).alias("folder"))
+            .distinct()
+            .collect()
+        }
+        for v in range(lo, hi + 1):
+            self._fs.delete(self._entry(v))
         deleted = 0
         for name in self._fs.list_names(f"{self.root}/data"):
-            if name not in referenced and int(name.split("-")[0]) < keep[0]:
+            if name not in referenced and int(name.split("-")[0]) <= hi:
                 self._fs.delete(f"{self.root}/data/{name}")
                 deleted += 1
-        return {"expired_versions": len(expired), "deleted_data_dirs": deleted}
+        return {"expired_versions": hi - lo + 1, "deleted_data_dirs": deleted}
 
 
 # --------------------------------------------------------------- catalog use
