@@ -10,7 +10,7 @@ it is reading.
     <root>/data/0000000007/...        Parquet written by that version
     <root>/data/0000000007/sb=12/     (bucketed tables) one folder per bucket
 
-Bucketed tables hash rows into ``pmod(xxhash64(keys), buckets)``; an upsert
+Bucketed tables hash rows into ``pmod(hash(keys), buckets)``; an upsert
 rewrites only the buckets its updates touch and re-links the others, so its
 cost follows the change, not the table.  One writer per table; a second writer
 racing for the same version number fails on the exclusive create.
@@ -171,7 +171,15 @@ class Commit:
 
 
 def bucket_of(keys: list[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+    """``pmod(hash(keys), buckets)``: the function Spark's hash partitioning
+    uses to place rows, which is what lets a bucketed write put exactly one
+    bucket slice in every task (see ``VersionedTable._cluster``)."""
+    return F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+# A change touching at least this share of the buckets is laid out with one
+# task per bucket slice over all buckets; below it, over the touched ones.
+EXACT_LAYOUT_SHARE = 4
 
 
 class VersionedTable:
@@ -366,17 +374,35 @@ class VersionedTable:
             return {}
         return {int(p.rsplit(f"/{BUCKET_COL}=", 1)[1]): p for p in commit.parts}
 
+    def _cluster(self, df: DataFrame, n_touched: int, files_per_bucket: int) -> tuple[DataFrame, list[str]]:
+        """Shuffle rows so every task holds whole bucket slices; returns the
+        frame (with the bucket column) and the columns it is clustered by.
+
+        When a change touches a large share of the buckets (a random change
+        set touches nearly all of them), rows are hash-partitioned on the
+        bucket keys into ``buckets * files_per_bucket`` partitions: partition
+        ``p`` then holds exactly the slice ``p // buckets`` of bucket
+        ``p % buckets``, so no task carries two buckets and every bucket
+        folder gets ``files_per_bucket`` files.  A change touching few
+        buckets is partitioned on (bucket, slice) into touched x slices
+        partitions instead, so no task is scheduled for untouched buckets.
+        """
+        keyed = df.withColumn(BUCKET_COL, bucket_of(self.bucket_keys, self.buckets))
+        f = max(1, files_per_bucket)
+        if n_touched * EXACT_LAYOUT_SHARE >= self.buckets:
+            cols = list(self.bucket_keys)
+            return keyed.repartition(self.buckets * f, *[F.col(k) for k in cols]), cols
+        cols = [BUCKET_COL]
+        if f > 1:
+            keyed = keyed.withColumn(SUB_COL, F.pmod(F.hash(*[F.col(k) for k in self.bucket_keys], F.lit(7)),
+                                                     F.lit(f)))
+            cols.append(SUB_COL)
+        return keyed.repartition(max(1, n_touched * f), *cols), cols
+
     def _write_bucketed(self, df: DataFrame, rel: str, path: str, files_per_bucket: int,
                         n_buckets: int) -> None:
-        keyed = df.withColumn(BUCKET_COL, bucket_of(self.bucket_keys, self.buckets))
-        if files_per_bucket > 1:
-            keyed = keyed.withColumn(
-                SUB_COL, F.pmod(F.xxhash64(*[F.col(k) for k in self.bucket_keys], F.lit(7)),
-                                F.lit(files_per_bucket)))
-            keyed = keyed.repartition(max(1, n_buckets * files_per_bucket), BUCKET_COL, SUB_COL).drop(SUB_COL)
-        else:
-            keyed = keyed.repartition(max(1, n_buckets), BUCKET_COL)
-        keyed.write.partitionBy(BUCKET_COL).parquet(path)
+        keyed, _ = self._cluster(df, n_buckets, files_per_bucket)
+        keyed.drop(SUB_COL).write.partitionBy(BUCKET_COL).parquet(path)
 
     def overwrite(self, df: DataFrame, operation: str = "overwrite", files_per_bucket: int = 1,
                   **extra) -> Commit:
@@ -445,6 +471,15 @@ class VersionedTable:
         if combine is None and not set(self.bucket_keys) <= set(keys):
             raise ValueError("merge keys must include the bucket keys")
         head = self.latest()
+        if head is not None:
+            # bucket ids hash the stored key types: an int key and a long key
+            # of equal value hash apart, so align the change to the table first
+            stored = {f.name: f.dataType for f in T.StructType.fromJson(json.loads(head.schema)).fields}
+            updates = updates.select(*[
+                F.col(c).cast(stored[c]).alias(c)
+                if c in stored and updates.schema[c].dataType != stored[c] else F.col(c)
+                for c in updates.columns
+            ])
         stage = scratch_path(self.spark, "merge-staging")
         seen = Observation("merge_updates")
         (
@@ -479,25 +514,19 @@ class VersionedTable:
         return self._commit(operation, parts, merged.schema, summary=summary, **extra)
 
     def _merge_rows(self, target: DataFrame, updates: DataFrame, keys: list[str],
-                    order: list[Column] | None, n_buckets: int, files_per_bucket: int) -> DataFrame:
-        """Newest row per key over target slice + updates, partitioned by
-        bucket (and sub-bucket) with one exchange."""
+                    order: list[Column] | None, n_touched: int, files_per_bucket: int) -> DataFrame:
+        """Newest row per key over target slice + updates, clustered by
+        bucket with one exchange; the latest-row window runs inside it."""
         from strata.operators.dedup import latest_per_key
 
         src = "_strata_src"
         both = target.withColumn(src, F.lit(0)).unionByName(
             updates.select(*target.columns).withColumn(src, F.lit(1)))
-        both = both.withColumn(BUCKET_COL, bucket_of(self.bucket_keys, self.buckets))
-        part = [BUCKET_COL]
-        if files_per_bucket > 1:
-            both = both.withColumn(SUB_COL, F.pmod(F.xxhash64(*[F.col(k) for k in self.bucket_keys], F.lit(7)),
-                                                   F.lit(files_per_bucket)))
-            part.append(SUB_COL)
-        both = both.repartition(max(1, n_buckets * files_per_bucket), *part)
+        both, cols = self._cluster(both, n_touched, files_per_bucket)
         # updates win ties, so the plain MERGE is "updates first"
         rank = [*(order or []), F.col(src).desc()]
-        merged = latest_per_key(both, [*part, *keys], rank).drop(src)
-        return merged.drop(SUB_COL) if files_per_bucket > 1 else merged
+        window_keys = [c for c in cols if c not in keys] + list(keys)
+        return latest_per_key(both, window_keys, rank).drop(src, SUB_COL)
 
     # ---------------------------------------------------------- maintenance
     def compact(self, target_file_bytes: int = 134_217_728, min_input_files: int = 5) -> dict:

@@ -101,3 +101,19 @@ def test_maintain_report(spark, tmp_path):
                                            retain_last=2).collect()}
     assert rep["bronze"]["status"] == "compacted"
     assert rep["absent"]["status"] == "missing"
+
+
+def test_bucket_layout_one_slice_per_task(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    t = VersionedTable(spark, str(tmp_path / "layout"), buckets=16, bucket_keys=["k"])
+    rows = spark.range(5000).withColumnRenamed("id", "k")
+    for touched, files, tasks in ((16, 1, 16), (16, 2, 32), (2, 1, None)):
+        keyed, _ = t._cluster(rows.filter(F.col("k") % 8 != 0) if touched == 2 else rows, touched, files)
+        per_task = keyed.groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count_distinct("sb").alias("buckets"), F.min("sb").alias("sb")).collect()
+        if tasks is None:  # few touched buckets: touched x slices partitions, no untouched work
+            assert keyed.rdd.getNumPartitions() == 2
+            continue
+        assert len(per_task) == tasks
+        assert all(r["buckets"] == 1 and r["p"] % 16 == r["sb"] for r in per_task)
