@@ -45,6 +45,7 @@ LOG_SCHEMA = T.StructType(
         T.StructField("summary", T.MapType(T.StringType(), T.StringType())),
         T.StructField("txn", T.StringType()),
         T.StructField("mark", T.StringType()),
+        T.StructField("layout", T.MapType(T.StringType(), T.StringType())),
     ]
 )
 
@@ -148,12 +149,17 @@ class Commit:
     bucket_keys: list[str] | None = None
 
     def to_json(self) -> str:
+        # bucketed tables record their folders as runs of bucket ids per data
+        # folder: a merge that rewrote every bucket is one short line, not one
+        # path per bucket
+        layout = encode_layout(self.parts) if self.buckets else None
         return json.dumps(
             {
                 "version": self.version,
                 "committed_at": self.committed_at.isoformat(),
                 "operation": self.operation,
-                "parts": self.parts,
+                "parts": [] if layout is not None else self.parts,
+                "layout": layout,
                 "summary": self.summary,
                 "txn": self.txn,
                 "mark": self.mark,
@@ -167,9 +173,40 @@ class Commit:
     def from_json(text: str) -> Commit:
         d = json.loads(text)
         d["committed_at"] = datetime.fromisoformat(d["committed_at"])
+        layout = d.pop("layout", None)
+        if layout is not None:
+            d["parts"] = decode_layout(layout)
         return Commit(**d)
 
 
+def encode_layout(parts: list[str]) -> dict[str, str]:
+    """Bucket folders ``<folder>/sb=<n>`` as ``{folder: "0-41,43,45-63"}``."""
+    by_folder: dict[str, list[int]] = {}
+    for p in parts:
+        folder, _, b = p.rpartition(f"/{BUCKET_COL}=")
+        by_folder.setdefault(folder, []).append(int(b))
+    out = {}
+    for folder, ids in by_folder.items():
+        ids.sort()
+        runs, lo = [], ids[0]
+        for prev, cur in zip(ids, ids[1:] + [None]):
+            if cur is None or cur != prev + 1:
+                runs.append(str(lo) if lo == prev else f"{lo}-{prev}")
+                lo = cur
+        out[folder] = ",".join(runs)
+    return out
+
+
+def decode_layout(layout: dict[str, str]) -> list[str]:
+    """Inverse of ``encode_layout``, ordered by bucket id."""
+    pairs = []
+    for folder, runs in layout.items():
+        for run in filter(None, runs.split(",")):
+            lo, _, hi = run.partition("-")
+            pairs.extend((b, f"{folder}/{BUCKET_COL}={b}") for b in range(int(lo), int(hi or lo) + 1))
+    return [p for _, p in sorted(pairs)]
+
+
 def bucket_of(keys: list[str], buckets: int) -> Column:
     """``pmod(hash(keys), buckets)``: the function Spark's hash partitioning
     uses to place rows, which is what lets a bucketed write put exactly one
@@ -585,7 +622,9 @@ class VersionedTable:
         referenced = {
             r[0] for r in self._log_frame()
             .filter(F.col("version") > F.lit(hi))
-            .select(F.explode("parts").alias("part"))
+            .select(F.explode(F.concat(F.coalesce("parts", F.array().cast("array<string>")),
+                                       F.coalesce(F.map_keys("layout"), F.array().cast("array<string>"))))
+                    .alias("part"))
             .select(F.split(F.col("part"), "/").getItem(1).alias("folder"))
             .distinct()
             .collect()

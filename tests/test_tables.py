@@ -117,3 +117,33 @@ def test_bucket_layout_one_slice_per_task(spark, tmp_path):
             continue
         assert len(per_task) == tasks
         assert all(r["buckets"] == 1 and r["p"] % 16 == r["sb"] for r in per_task)
+
+
+def test_bucket_layout_is_recorded_as_runs(spark, tmp_path):
+    import json
+
+    from pyspark.sql import functions as F
+
+    t = VersionedTable(spark, str(tmp_path / "runs"), buckets=64, bucket_keys=["k"])
+    rows = spark.range(20000).withColumnRenamed("id", "k").withColumn("v", F.lit(0))
+    t.overwrite(rows)
+    change = rows.filter(F.col("k") < 40).withColumn("v", F.lit(1))
+    c = t.merge(change, ["k"])
+    entry = json.loads(t._fs.read_text(t._entry(c.version)))
+    assert entry["parts"] == [] and len(entry["layout"]) == 2
+    assert len(t.latest().parts) == 64
+    assert t.read().filter("v = 1").count() == 40 and t.read().count() == 20000
+
+
+def test_expiry_keeps_folders_linked_by_bucket_layout(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    t = VersionedTable(spark, str(tmp_path / "bexp"), buckets=16, bucket_keys=["k"])
+    rows = spark.range(5000).withColumnRenamed("id", "k").withColumn("v", F.lit(0))
+    t.overwrite(rows)
+    for step in (1, 2):  # each change touches a few buckets; the rest stay in version 0's folder
+        t.merge(rows.filter(F.col("k") < 3 * step).withColumn("v", F.lit(step)), ["k"])
+    out = t.expire(datetime.now(timezone.utc).replace(tzinfo=None) + timedelta(days=1), retain_last=1)
+    assert out["expired_versions"] == 2
+    assert t.read().count() == 5000
+    assert sorted(r["v"] for r in t.read().filter("k < 6").collect()) == [2] * 6
