@@ -214,6 +214,33 @@ def bucket_of(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
+# Bits in one Spark bitmap (``bitmap_construct_agg``): 4 KB per 32768 ids.
+BITMAP_BITS = 32768
+
+
+def bucket_bitmaps(bucket: Column, buckets: int) -> list[Column]:
+    """Aggregates whose results together are the set of bucket ids seen, as
+    fixed-size bitmaps: one per block of ``BITMAP_BITS`` ids.  Each task adds
+    at most 4 KB per block to an observed metric, however many rows and
+    buckets it saw, where a ``collect_set`` would carry every id."""
+    return [
+        F.bitmap_construct_agg(
+            F.when(F.floor(bucket / F.lit(BITMAP_BITS)) == F.lit(k), F.pmod(bucket, F.lit(BITMAP_BITS)))
+        ).alias(f"_bm{k}")
+        for k in range((buckets + BITMAP_BITS - 1) // BITMAP_BITS)
+    ]
+
+
+def bitmap_ids(bitmaps: list[bytes | None]) -> list[int]:
+    """Ids set in the bitmaps from ``bucket_bitmaps`` (bounded: <= buckets)."""
+    out = []
+    for k, bm in enumerate(bitmaps):
+        for i, byte in enumerate(bm or b""):
+            if byte:
+                out.extend(k * BITMAP_BITS + i * 8 + j for j in range(8) if byte >> j & 1)
+    return out
+
+
 # A change touching at least this share of the buckets is laid out with one
 # task per bucket slice over all buckets; below it, over the touched ones.
 EXACT_LAYOUT_SHARE = 4
@@ -493,8 +520,8 @@ class VersionedTable:
         ``updates`` is computed once: it is written to a fresh folder under
         the session's checkpoint root (cutting its lineage, so a lost
         executor does not recompute the feed), and the set of buckets it
-        touches is gathered as a metric of that same write (at most
-        ``buckets`` small ints).  Only those buckets of the target are read.
+        touches is gathered as a metric of that same write, as bitmaps of
+        4 KB per 32768 buckets.  Only those buckets of the target are read.
         Target slice and updates are then partitioned by bucket once; the
         latest-row window runs on (bucket, keys), which that partitioning
         already satisfies, and each task writes its buckets directly: a
@@ -519,11 +546,10 @@ class VersionedTable:
             ])
         stage = scratch_path(self.spark, "merge-staging")
         seen = Observation("merge_updates")
-        (
-            updates.observe(seen, F.collect_set(bucket_of(self.bucket_keys, self.buckets)).alias("buckets"))
-            .write.parquet(stage)
-        )
-        touched = sorted(seen.get["buckets"] or [])
+        bitmaps = bucket_bitmaps(bucket_of(self.bucket_keys, self.buckets), self.buckets)
+        updates.observe(seen, F.count(F.lit(1)).alias("rows"), *bitmaps).write.parquet(stage)
+        got = seen.get
+        touched = bitmap_ids([got[f"_bm{k}"] for k in range(len(bitmaps))]) if got["rows"] else []
         if not touched:
             return head
         staged = self.spark.read.schema(updates.schema).parquet(stage)
