@@ -80,16 +80,6 @@ class _FS:
         finally:
             out.close()
 
-    def summary(self, path: str) -> tuple[int, int]:
-        """(data files, bytes) under a folder from one content summary;
-        the job's success marker is not counted."""
-        p = self._path(path)
-        if not self.fs.exists(p):
-            return 0, 0
-        cs = self.fs.getContentSummary(p)
-        marker = 1 if self.fs.exists(self._path(f"{path}/_SUCCESS")) else 0
-        return int(cs.getFileCount()) - marker, int(cs.getLength())
-
     def write_exclusive(self, path: str, text: str) -> None:
         p = self._path(path)
         try:
@@ -116,21 +106,6 @@ class _FS:
         finally:
             stream.close()
 
-    def files(self, path: str) -> list[tuple[str, int]]:
-        """(path, bytes) of the data files directly or recursively under path."""
-        p = self._path(path)
-        if not self.fs.exists(p):
-            return []
-        it = self.fs.listFiles(p, True)
-        out = []
-        while it.hasNext():
-            st = it.next()
-            name = st.getPath().getName()
-            if name.startswith("_") or name.startswith("."):
-                continue
-            out.append((st.getPath().toString(), int(st.getLen())))
-        return out
-
     def delete(self, path: str) -> bool:
         return bool(self.fs.delete(self._path(path), True))
 
@@ -416,23 +391,30 @@ class VersionedTable:
             .agg(F.count(F.lit(1)).alias("record_count"))
         )
 
+    def _file_listing(self, version: int | None = None) -> DataFrame:
+        """(path, length) of every data file of a version, listed by Spark
+        (parallel listing over the version's folders; the binary-file source
+        reads no content when only the length is selected)."""
+        paths = [f"{self.root}/{p}" for p in self.resolve(version).parts]
+        if not paths:
+            return self.spark.createDataFrame([], "path string, length long")
+        return (
+            self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", "true").load(paths)
+            .select("path", "length")
+        )
+
     def size_summary(self, version: int | None = None) -> tuple[int, int]:
-        """(data files, bytes) of a version: one content summary per data
-        folder, so the driver's work follows folders, not files."""
-        files = size = 0
-        for p in self.resolve(version).parts:
-            f, b = self._fs.summary(f"{self.root}/{p}")
-            files, size = files + f, size + b
-        return files, size
+        """(data files, bytes) of a version: one aggregate over Spark's file
+        listing, so the driver gets two numbers whatever the file count."""
+        row = self._file_listing(version).agg(
+            F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
+        return int(row["files"]), int(row["bytes"])
 
     def file_sizes(self, version: int | None = None) -> list[tuple[str, int]]:
-        commit = self.resolve(version)
-        out: list[tuple[str, int]] = []
-        for p in commit.parts:
-            out.extend(self._fs.files(f"{self.root}/{p}"))
-        return out
+        """(path, bytes) per data file, for inspection of small tables."""
+        return [(r["path"], int(r["length"])) for r in self._file_listing(version).collect()]
 
-    # ---------------------------------------------------------------- write
     def _bucket_map(self, commit: Commit | None) -> dict[int, str]:
         if commit is None or not self.buckets:
             return {}
