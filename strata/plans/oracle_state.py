@@ -124,6 +124,7 @@ FROM customer WHERE c_nationkey >= 5""",
     "stream_upsert": with_(*CDC) + "SELECT * FROM cdc_users",
     "stream_rate": BASE["events_per_minute"],
     "message_dedup": with_(API_SRC) + f"SELECT {BRONZE_FIELDS} FROM api_src",
+    "stream_message_dedup": with_(API_SRC) + f"SELECT {BRONZE_FIELDS} FROM api_src",
     "duplicate_messages": with_(API_SRC, API_M6) + """
 SELECT 'users_created' AS kafka_topic, kafka_partition, kafka_offset, CAST(2 AS BIGINT) AS copies
 FROM api_src WHERE ingested_at > (SELECT m FROM m6)""",

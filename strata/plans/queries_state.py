@@ -14,7 +14,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.dedup import drop_duplicate_messages, duplicate_messages
+from strata.operators.dedup import drop_duplicate_messages, drop_replayed_messages, duplicate_messages
 from strata.operators.incremental import max_of, slice_after_target
 from strata.operators.quality import constraint_violations, fanout_check, state_diff
 from strata.operators.rollup import duplicate_keys
@@ -329,6 +329,28 @@ def _with_replay(spark, sf_dir) -> DataFrame:
     return b.unionByName(replay)
 
 
+def q_stream_message_dedup(spark, sf_dir):
+    """The feed lands in time-ordered chunks, then its last 40 % is replayed
+    an hour later; the stream keeps each message once (first copy)."""
+    root = scratch_path(spark, "stream_dedup")
+    landing = f"{root}/landing"
+    b = bronze_api(spark, sf_dir)
+    _, late = _early_late(b)
+    # one write per chunk, in time order: the file source picks files up in
+    # arrival order, as a topic delivers them
+    for part in _slices(b, [2, 4, 6, 8]):
+        part.write.mode("append").parquet(landing)
+    late.withColumn("ingested_at", F.col("ingested_at") + F.expr("INTERVAL 1 HOUR")) \
+        .write.mode("append").parquet(landing)
+    stream = (spark.readStream.schema(b.schema).option("maxFilesPerTrigger", spark.sparkContext.defaultParallelism)
+              .parquet(landing))
+    t = VersionedTable(spark, f"{root}/bronze")
+    q = start_bronze(drop_replayed_messages(stream, "kafka_ts", "1 hour"), t, f"{root}/_checkpoint",
+                     "bronze_dedup", {"availableNow": True})
+    q.awaitTermination()
+    return t.read().select(*BRONZE_FIELDS)
+
+
 def q_message_dedup(spark, sf_dir):
     return drop_duplicate_messages(_with_replay(spark, sf_dir)).select(*BRONZE_FIELDS)
 
@@ -417,6 +439,7 @@ REGISTRY = {
     "stream_upsert": q_stream_upsert,
     "stream_rate": q_stream_rate,
     "message_dedup": q_message_dedup,
+    "stream_message_dedup": q_stream_message_dedup,
     "duplicate_messages": q_duplicate_messages,
     "quarantine_api": q_quarantine_api,
     "quarantine_cdc": q_quarantine_cdc,

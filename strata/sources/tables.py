@@ -466,15 +466,19 @@ class VersionedTable:
             parts = [rel]
         return self._commit(operation, parts, df.schema, **extra)
 
-    def append(self, df: DataFrame, **extra) -> Commit:
+    def append(self, df: DataFrame, skip_empty: bool = False, **extra) -> Commit | None:
         """Add rows as a new version (Bronze); the row count is observed
-        during the write and recorded in the commit summary."""
+        during the write and recorded in the commit summary.  With
+        ``skip_empty`` an empty input commits nothing and returns the head
+        (its empty folder is never linked; expiry removes it)."""
         if self.buckets:
             raise ValueError("append on a bucketed table: use merge")
         head = self.latest()
         rel, path = self._next_data_dir()
         seen = Observation("append")
         df.observe(seen, F.count(F.lit(1)).alias("records")).write.parquet(path)
+        if skip_empty and not seen.get["records"]:
+            return head
         summary = dict(extra.pop("summary", {}) or {})
         summary["records"] = str(seen.get["records"])
         extra["summary"] = summary

@@ -20,13 +20,16 @@ DEFAULT_TRIGGER = {"processingTime": "30 seconds"}
 
 
 def append_batches(table: VersionedTable, query_name: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body: one idempotent append per micro-batch."""
+    """``foreachBatch`` body: one idempotent append per micro-batch.  An
+    empty micro-batch (an idle trigger, or the no-data batch that advances a
+    watermark) commits nothing, so idle topics do not grow the log; its
+    replay is empty again, so skipping it keeps exactly-once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         txn = f"{query_name}:{batch_id}"
         if table.committed_txn(txn):
             return
-        table.append(batch, txn=txn)
+        table.append(batch, skip_empty=True, txn=txn)
 
     return write
 
