@@ -16,6 +16,7 @@ from strata.functions.time import add_interval
 from strata.operators.dedup import latest_per_key, newest_first
 from strata.plans import gold, reports, silver
 from strata.schemas import change_envelope, row_image
+from strata.session import materialize
 from strata.sources.bronze import spread_small_scan
 from strata.sources.feeds import api_feed, change_feed
 
@@ -200,12 +201,16 @@ def q_any_rows(spark, sf_dir):
 
 
 def q_layer_counts(spark, sf_dir):
-    e = enriched(spark, sf_dir)
+    # counts of published layers: each layer is built once and counted from
+    # its written files, as a reader of the tables would
+    api = materialize(silver_api(spark, sf_dir), "silver_api")
+    cdc = materialize(silver_cdc(spark, sf_dir), "silver_cdc")
+    e = materialize(gold.users_enriched(api, cdc), "gold_enriched")
     return reports.layer_counts({
         "bronze_api": bronze_api(spark, sf_dir),
         "bronze_cdc": bronze_cdc(spark, sf_dir),
-        "silver_api": silver_api(spark, sf_dir),
-        "silver_cdc": silver_cdc(spark, sf_dir),
+        "silver_api": api,
+        "silver_cdc": cdc,
         "gold_enriched": e,
         "gold_stats": gold.user_stats(e),
     })

@@ -99,3 +99,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
             "spark.ui.showConsoleProgress": "false",
         },
     )
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as Parquet under the checkpoint root and read it
+    back: later uses scan the written files instead of recomputing the
+    lineage, and a lost executor cannot force a recomputation either."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
