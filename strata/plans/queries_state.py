@@ -40,17 +40,29 @@ def _early_late(df: DataFrame, share: int = 6):
 
 
 def _slices(df: DataFrame, shares: list[int]) -> list[DataFrame]:
-    """Consecutive landing-time slices cut at the given tenths of the span."""
-    marks = [split_mark(df, "ingested_at", s) for s in shares]
-    out, lo = [], None
+    """Consecutive landing-time slices cut at the given tenths of the span.
+
+    The span is one aggregate over the feed; its two end points are the only
+    values that reach the driver, and every slice filters on literal bounds
+    (no per-slice subquery over the whole feed).  Cut points are whole
+    seconds, as in ``split_mark``.
+    """
+    span = df.agg(F.min("ingested_at").alias("lo"), F.max("ingested_at").alias("hi")).first()
+    if span["lo"] is None:
+        return [df] + [df.filter(F.lit(False)) for _ in shares]
+    lo, hi = span["lo"], span["hi"]
+    seconds = int((hi - lo).total_seconds())
+    marks = [F.lit((lo + timedelta(seconds=seconds * s // 10)).isoformat(sep=" ")).cast("timestamp_ntz")
+             for s in shares]
+    out, prev = [], None
     for m in marks + [None]:
         cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col("ingested_at") > lo)
+        if prev is not None:
+            cond = cond & (F.col("ingested_at") > prev)
         if m is not None:
             cond = cond & (F.col("ingested_at") <= m)
         out.append(df.filter(cond))
-        lo = m
+        prev = m
     return out
 
 
