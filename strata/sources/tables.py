@@ -420,28 +420,34 @@ class VersionedTable:
             return {}
         return {int(p.rsplit(f"/{BUCKET_COL}=", 1)[1]): p for p in commit.parts}
 
-    def _cluster(self, df: DataFrame, n_touched: int, files_per_bucket: int) -> tuple[DataFrame, list[str]]:
+    def _cluster(self, df: DataFrame, n_touched: int, files_per_bucket: int,
+                 keys: list[str] | None = None) -> tuple[DataFrame, list[str]]:
         """Shuffle rows so every task holds whole bucket slices; returns the
         frame (with the bucket column) and the columns it is clustered by.
 
-        When a change touches a large share of the buckets (a random change
-        set touches nearly all of them), rows are hash-partitioned on the
-        bucket keys into ``buckets * files_per_bucket`` partitions: partition
-        ``p`` then holds exactly the slice ``p // buckets`` of bucket
-        ``p % buckets``, so no task carries two buckets and every bucket
-        folder gets ``files_per_bucket`` files.  A change touching few
-        buckets is partitioned on (bucket, slice) into touched x slices
-        partitions instead, so no task is scheduled for untouched buckets.
+        ``keys`` are the row keys (default: the bucket keys).  When they are
+        the bucket keys and the change touches a large share of the buckets
+        (a random change set touches nearly all of them), rows are
+        hash-partitioned on the bucket keys into ``buckets * files_per_bucket``
+        partitions: partition ``p`` then holds exactly the slice
+        ``p // buckets`` of bucket ``p % buckets``, so no task carries two
+        buckets and every bucket folder gets ``files_per_bucket`` files.
+
+        Otherwise rows are partitioned on (bucket, slice) into touched x
+        slices partitions, with the slice hashed from all row keys.  No task
+        is scheduled for untouched buckets, and when the bucket keys are only
+        part of the row keys, ``files_per_bucket`` splits a hot bucket-key
+        value over that many tasks (each row key stays in one task).
         """
+        keys = list(keys or self.bucket_keys)
         keyed = df.withColumn(BUCKET_COL, bucket_of(self.bucket_keys, self.buckets))
         f = max(1, files_per_bucket)
-        if n_touched * EXACT_LAYOUT_SHARE >= self.buckets:
+        if set(keys) == set(self.bucket_keys) and n_touched * EXACT_LAYOUT_SHARE >= self.buckets:
             cols = list(self.bucket_keys)
             return keyed.repartition(self.buckets * f, *[F.col(k) for k in cols]), cols
         cols = [BUCKET_COL]
         if f > 1:
-            keyed = keyed.withColumn(SUB_COL, F.pmod(F.hash(*[F.col(k) for k in self.bucket_keys], F.lit(7)),
-                                                     F.lit(f)))
+            keyed = keyed.withColumn(SUB_COL, F.pmod(F.hash(*[F.col(k) for k in keys], F.lit(7)), F.lit(f)))
             cols.append(SUB_COL)
         return keyed.repartition(max(1, n_touched * f), *cols), cols
 
@@ -571,7 +577,7 @@ class VersionedTable:
         src = "_strata_src"
         both = target.withColumn(src, F.lit(0)).unionByName(
             updates.select(*target.columns).withColumn(src, F.lit(1)))
-        both, cols = self._cluster(both, n_touched, files_per_bucket)
+        both, cols = self._cluster(both, n_touched, files_per_bucket, keys)
         # updates win ties, so the plain MERGE is "updates first"
         rank = [*(order or []), F.col(src).desc()]
         window_keys = [c for c in cols if c not in keys] + list(keys)

@@ -159,3 +159,19 @@ def test_bucket_bitmaps_give_exact_ids_across_blocks(spark):
     row = ids.agg(*bucket_bitmaps(F.col("b"), buckets)).first()
     got = bitmap_ids([row[f"_bm{k}"] for k in range(3)])
     assert got == sorted(r[0] for r in ids.distinct().collect())
+
+
+def test_hot_bucket_key_is_split_over_slices(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    # bucket key `g` is only part of the row key (g, k); g = 0 holds a third of the rows
+    t = VersionedTable(spark, str(tmp_path / "hot"), buckets=8, bucket_keys=["g"])
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("g"),
+        F.col("id").alias("k"), F.lit(0).alias("v"))
+    keyed, _ = t._cluster(rows, 8, 4, ["g", "k"])
+    hot = keyed.filter("g = 0").groupBy(F.spark_partition_id()).count().collect()
+    assert len(hot) == 4 and sum(r["count"] for r in hot) == 1000
+    t.overwrite(rows)
+    t.merge(rows.filter("g = 0").withColumn("v", F.lit(1)), ["g", "k"], files_per_bucket=4)
+    assert t.read().filter("v = 1").count() == 1000 and t.read().count() == 3000
