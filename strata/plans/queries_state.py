@@ -215,6 +215,14 @@ def q_file_inspection(spark, sf_dir):
     return t.files()
 
 
+def q_partition_inspection(spark, sf_dir):
+    """Per-bucket records of a bucketed Silver table; bucket ids hash with
+    Spark's own function, so there is no SQL twin (rows-only)."""
+    t = VersionedTable(spark, scratch_path(spark, "partitions"), buckets=8, bucket_keys=["id"])
+    t.overwrite(silver_cdc(spark, sf_dir))
+    return t.partitions().select("bucket", "record_count", "file_count")
+
+
 def q_describe_table(spark, sf_dir):
     t = VersionedTable(spark, scratch_path(spark, "describe"))
     t.append(silver_api(spark, sf_dir))
@@ -444,6 +452,7 @@ REGISTRY = {
     "compaction_files": q_compaction_files,
     "expire_keep_last": q_expire_keep_last,
     "file_inspection": q_file_inspection,
+    "partition_inspection": q_partition_inspection,
     "describe_table": q_describe_table,
     "json_scan_stats": q_json_scan_stats,
     "json_scan_topk": q_json_scan_topk,

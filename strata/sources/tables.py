@@ -391,6 +391,24 @@ class VersionedTable:
             .agg(F.count(F.lit(1)).alias("record_count"))
         )
 
+    def partitions(self, version: int | None = None) -> DataFrame:
+        """Partition inspection (J7, ``t$partitions``): per bucket, records,
+        data files and bytes; an unbucketed table is one partition (bucket
+        NULL).  Two aggregations over file metadata, both partial map-side."""
+        bucket = (
+            F.regexp_extract(F.col("file_path"), f"/{BUCKET_COL}=([0-9]+)/", 1).cast("int")
+            if self.buckets else F.lit(None).cast("int")
+        )
+        return (
+            self.files(version)
+            .groupBy(bucket.alias("bucket"))
+            .agg(
+                F.sum("record_count").alias("record_count"),
+                F.count(F.lit(1)).alias("file_count"),
+                F.sum("file_size_in_bytes").alias("total_size"),
+            )
+        )
+
     def _file_listing(self, version: int | None = None) -> DataFrame:
         """(path, length) of every data file of a version, listed by Spark
         (parallel listing over the version's folders; the binary-file source

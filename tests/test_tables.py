@@ -175,3 +175,21 @@ def test_hot_bucket_key_is_split_over_slices(spark, tmp_path):
     t.overwrite(rows)
     t.merge(rows.filter("g = 0").withColumn("v", F.lit(1)), ["g", "k"], files_per_bucket=4)
     assert t.read().filter("v = 1").count() == 1000 and t.read().count() == 3000
+
+
+def test_partition_inspection_counts_every_row(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    t = VersionedTable(spark, str(tmp_path / "parts"), buckets=8, bucket_keys=["k"])
+    rows = spark.range(4000).withColumnRenamed("id", "k")
+    t.overwrite(rows, files_per_bucket=2)
+    p = t.partitions().collect()
+    assert sorted(r["bucket"] for r in p) == list(range(8))
+    assert sum(r["record_count"] for r in p) == 4000 and all(r["file_count"] == 2 for r in p)
+    expected = {r["sb"]: r["count"] for r in rows.groupBy(
+        F.pmod(F.hash("k"), F.lit(8)).alias("sb")).count().collect()}
+    assert {r["bucket"]: r["record_count"] for r in p} == expected
+    plain = VersionedTable(spark, str(tmp_path / "plain"))
+    plain.append(rows)
+    one = plain.partitions().collect()
+    assert len(one) == 1 and one[0]["bucket"] is None and one[0]["record_count"] == 4000
