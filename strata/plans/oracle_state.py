@@ -124,6 +124,11 @@ FROM customer WHERE c_nationkey >= 5""",
     "stream_upsert": with_(*CDC) + "SELECT * FROM cdc_users",
     "stream_rate": BASE["events_per_minute"],
     "message_dedup": with_(API_SRC) + f"SELECT {BRONZE_FIELDS} FROM api_src",
+    "maintenance_report": with_(*CDC) + """
+SELECT 'bronze_api' AS table_name, 'compacted' AS status, CAST(7 AS BIGINT) AS expired_versions,
+       (SELECT count(*) FROM events) AS records
+UNION ALL SELECT 'silver_cdc', 'skipped', 0, (SELECT count(*) FROM cdc_users)
+UNION ALL SELECT 'absent', 'missing', 0, NULL""",
     "stream_message_dedup": with_(API_SRC) + f"SELECT {BRONZE_FIELDS} FROM api_src",
     "duplicate_messages": with_(API_SRC, API_M6) + """
 SELECT 'users_created' AS kafka_topic, kafka_partition, kafka_offset, CAST(2 AS BIGINT) AS copies

@@ -210,6 +210,28 @@ def q_expire_keep_last(spark, sf_dir):
     return t.history().select("version", F.col("summary")["records"].cast("long").alias("records"))
 
 
+def q_maintenance_report(spark, sf_dir):
+    """Maintenance over a table list (J3), eight days on: a Bronze table of
+    eight small commits is compacted and all but its last two versions
+    expire; a healthy bucketed Silver table has nothing to rewrite; a missing
+    table is reported, not fatal.  Rows each table still holds are counted."""
+    from strata.operators.rollup import labelled_counts
+    from strata.plans.maintenance import maintain
+
+    root = scratch_path(spark, "maintenance")
+    bronze_t = VersionedTable(spark, f"{root}/bronze_api")
+    for part in _slices(bronze_api(spark, sf_dir), list(range(1, 8))):
+        bronze_t.append(part)
+    silver_t = VersionedTable(spark, f"{root}/silver_cdc", buckets=8, bucket_keys=["id"])
+    silver_t.overwrite(silver_cdc(spark, sf_dir))
+    later = datetime.now(timezone.utc).replace(tzinfo=None) + timedelta(days=8)
+    report = maintain(spark, {"bronze_api": bronze_t.root, "silver_cdc": silver_t.root,
+                              "absent": f"{root}/absent"}, now=later, retain_last=2)
+    held = labelled_counts({"bronze_api": bronze_t.read(), "silver_cdc": silver_t.read()}, "table", "records")
+    return report.join(held, "table", "left").select(
+        F.col("table").alias("table_name"), "status", "expired_versions", "records")
+
+
 def q_file_inspection(spark, sf_dir):
     t = _three_commit_bronze(spark, sf_dir)
     return t.files()
@@ -451,6 +473,7 @@ REGISTRY = {
     "compaction_roundtrip": q_compaction_roundtrip,
     "compaction_files": q_compaction_files,
     "expire_keep_last": q_expire_keep_last,
+    "maintenance_report": q_maintenance_report,
     "file_inspection": q_file_inspection,
     "partition_inspection": q_partition_inspection,
     "describe_table": q_describe_table,

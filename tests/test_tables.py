@@ -193,3 +193,23 @@ def test_partition_inspection_counts_every_row(spark, tmp_path):
     plain.append(rows)
     one = plain.partitions().collect()
     assert len(one) == 1 and one[0]["bucket"] is None and one[0]["record_count"] == 4000
+
+
+def test_bucketed_compaction_rewrites_only_fragmented_buckets(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    t = VersionedTable(spark, str(tmp_path / "bc"), buckets=8, bucket_keys=["k"])
+    rows = spark.range(4000).withColumnRenamed("id", "k").withColumn("v", F.lit(0))
+    t.overwrite(rows)  # one file per bucket: healthy
+    assert t.compact(min_input_files=5)["status"] == "skipped"
+    # two buckets get split into 4 small files each by a change written with 4 slices
+    hot = rows.filter(F.pmod(F.hash("k"), F.lit(8)) < 2).withColumn("v", F.lit(1))
+    t.merge(hot, ["k"], files_per_bucket=4)
+    before = {r["bucket"]: r["file_count"] for r in t.partitions().collect()}
+    assert before[0] == 4 and before[1] == 4 and before[5] == 1
+    untouched = t.latest().parts[5]
+    report = t.compact(min_input_files=5)
+    assert report["status"] == "compacted" and report["rewritten_files"] == 8
+    after = {r["bucket"]: r["file_count"] for r in t.partitions().collect()}
+    assert set(after.values()) == {1} and t.latest().parts[5] == untouched
+    assert t.read().count() == 4000 and t.read().filter("v = 1").count() == hot.count()
