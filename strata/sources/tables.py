@@ -606,7 +606,9 @@ class VersionedTable:
         """Small-file compaction (J1): rewrite into files of about
         ``target_file_bytes``; skipped below ``min_input_files``.
 
-        An append table is rewritten whole.  A bucketed table is rewritten
+        An append table rewrites only its folders of small files (average
+        below 3/4 of the target), so a daily run reads the day's small
+        commits, not the whole log.  A bucketed table is rewritten
         only in the buckets holding more files than their size calls for
         (a merge replaces a bucket's folder, so buckets rarely fragment):
         per-bucket file counts and bytes come from Spark's file listing, at
@@ -619,13 +621,25 @@ class VersionedTable:
             return {"status": "missing", "rewritten_files": 0, "added_files": 0}
         if self.buckets:
             return self._compact_buckets(head, target_file_bytes, min_input_files)
-        n_files, total = self.size_summary()
+        # append table: only folders whose files average below 3/4 of the
+        # target are rewritten; folders of large files stay linked as they are
+        per_folder = (
+            self._file_listing()
+            .select(F.regexp_extract("path", "/(data/[^/]+)/[^/]+$", 1).alias("part"), "length")
+            .groupBy("part")
+            .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+            .collect()
+        )
+        small = {r["part"]: r for r in per_folder if r["bytes"] < r["files"] * 0.75 * target_file_bytes}
+        n_files = sum(r["files"] for r in small.values())
         if n_files < min_input_files:
             return {"status": "skipped", "rewritten_files": 0, "added_files": 0}
+        total = sum(r["bytes"] for r in small.values())
         out_files = max(1, math.ceil(total / target_file_bytes))
         rel, path = self._next_data_dir()
-        self._read_parts(head).repartition(out_files).write.parquet(path)
-        self._commit("compact", [rel], T.StructType.fromJson(json.loads(head.schema)),
+        self._read_parts(head, [p for p in head.parts if p in small]).repartition(out_files).write.parquet(path)
+        kept = [p for p in head.parts if p not in small]
+        self._commit("compact", kept + [rel], T.StructType.fromJson(json.loads(head.schema)),
                      mark=head.mark, summary={"rewritten_files": str(n_files)})
         return {"status": "compacted", "rewritten_files": n_files, "added_files": self.size_summary()[0]}
 

@@ -213,3 +213,20 @@ def test_bucketed_compaction_rewrites_only_fragmented_buckets(spark, tmp_path):
     after = {r["bucket"]: r["file_count"] for r in t.partitions().collect()}
     assert set(after.values()) == {1} and t.latest().parts[5] == untouched
     assert t.read().count() == 4000 and t.read().filter("v = 1").count() == hot.count()
+
+
+def test_append_compaction_keeps_large_folders(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    t = VersionedTable(spark, str(tmp_path / "ac"))
+    rows = spark.range(20000).select(F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    t.append(rows.coalesce(1))  # one large file
+    big = t.latest().parts[0]
+    for i in range(3):  # three commits of small files
+        t.append(spark.range(100 * i, 100 * i + 100).select(
+            F.col("id"), F.lit("x").alias("pad")).repartition(3))
+    big_bytes = t.size_summary()[1]  # upper bound on the large file's size
+    report = t.compact(target_file_bytes=big_bytes, min_input_files=5)
+    assert report["status"] == "compacted" and report["rewritten_files"] == 9
+    assert t.latest().parts[0] == big and len(t.latest().parts) == 2
+    assert t.read().count() == 20300
