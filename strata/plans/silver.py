@@ -219,11 +219,14 @@ def unconsumed(bronze, mark: str | None, overlap: str | None = None) -> DataFram
     """Bronze rows a Silver table has not consumed yet, or None if nothing.
 
     ``mark`` records the Bronze version (and newest landing time) consumed.
-    When Bronze only appended since then, exactly the data folders added after
-    that version are read: no scan of older files, and no row lost to an
-    equal landing stamp (T10).  If the consumed version was compacted away or
-    expired, fall back to ``ingested_at >= mark`` (minus ``overlap``); the
-    guarded merge makes the re-read rows harmless.
+    Folders linked by the head but not by the consumed version are read:
+    folders that appends added are read whole, so no row is lost to an equal
+    or older landing stamp (T10); folders that a compaction wrote (they hold
+    consumed rows too) are read from ``ingested_at >= mark`` (minus
+    ``overlap``), and the guarded merge makes re-read rows harmless.  Which
+    commit added a folder comes from the commits since the consumed version
+    (one small log read each).  Only if those commits have expired does it
+    fall back to ``ingested_at >= mark`` over the whole table.
     """
     head = bronze.latest()
     if head is None:
@@ -233,19 +236,39 @@ def unconsumed(bronze, mark: str | None, overlap: str | None = None) -> DataFram
     m = json.loads(mark)
     if m["bronze_version"] == head.version:
         return None
+    bound = None
+    if m.get("ingested_at") is not None:
+        bound = F.lit(m["ingested_at"]).cast("timestamp_ntz")
+        if overlap:
+            bound = bound - F.expr(f"INTERVAL {overlap}")
     try:
         seen = bronze.commit_at(m["bronze_version"])
-    except Exception:  # expired entry
+        appended: set[str] = set()
+        prev = set(seen.parts)
+        for v in range(seen.version + 1, head.version + 1):
+            c = bronze.commit_at(v)
+            if c.operation == "append":
+                appended |= set(c.parts) - prev
+            prev = set(c.parts)
+    except Exception:  # expired entries
         seen = None
-    if seen is not None and set(seen.parts) <= set(head.parts):
-        fresh = [p for p in head.parts if p not in set(seen.parts)]
-        return bronze._read_parts(head, fresh) if fresh else None
-    if m.get("ingested_at") is None:
-        return bronze.read()
-    bound = F.lit(m["ingested_at"]).cast("timestamp_ntz")
-    if overlap:
-        bound = bound - F.expr(f"INTERVAL {overlap}")
-    return bronze.read().filter(F.col("ingested_at") >= bound)
+    if seen is None:
+        return bronze.read() if bound is None else bronze.read().filter(F.col("ingested_at") >= bound)
+    fresh = [p for p in head.parts if p not in set(seen.parts)]
+    whole = [p for p in fresh if p in appended]
+    rewritten = [p for p in fresh if p not in appended]
+    frames = []
+    if whole:
+        frames.append(bronze._read_parts(head, whole))
+    if rewritten:
+        part = bronze._read_parts(head, rewritten)
+        frames.append(part if bound is None else part.filter(F.col("ingested_at") >= bound))
+    if not frames:
+        return None
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def refresh(
