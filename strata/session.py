@@ -15,7 +15,8 @@ from pyspark.sql import SparkSession
 
 # Defaults a user of the library would set on any cluster: adaptive execution
 # (runtime coalescing and skew-join splitting), a fixed session zone so that
-# zone-less and zoned timestamps never silently shift, and no web UI.
+# zone-less and zoned timestamps never silently shift, no web UI, and an
+# off-heap state store for streaming state.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -23,6 +24,12 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.parquet.compression.codec": "zstd",
+    # streaming state (message dedup, windowed counts) lives in RocksDB off
+    # the JVM heap and checkpoints only its changes, so large state neither
+    # pressures executor memory nor rewrites itself every micro-batch
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
