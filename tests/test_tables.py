@@ -230,3 +230,29 @@ def test_append_compaction_keeps_large_folders(spark, tmp_path):
     assert report["status"] == "compacted" and report["rewritten_files"] == 9
     assert t.latest().parts[0] == big and len(t.latest().parts) == 2
     assert t.read().count() == 20300
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(0, 5000), st.sampled_from(["data/a", "data/b", "data/c-1"]), max_size=300))
+def test_layout_runs_round_trip(assign):
+    from strata.sources.tables import decode_layout, encode_layout
+
+    parts = [f"{folder}/sb={b}" for b, folder in assign.items()]
+    assert decode_layout(encode_layout(parts)) == [p for _, p in sorted((b, p) for b, p in
+                                                                        zip(assign, parts))]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.sets(st.integers(0, 70000), max_size=200))
+def test_bitmap_ids_inverse(ids):
+    from strata.sources.tables import BITMAP_BITS, bitmap_ids
+
+    blocks = [bytearray(BITMAP_BITS // 8) for _ in range(3)]
+    for i in ids:
+        k, pos = divmod(i, BITMAP_BITS)
+        blocks[k][pos // 8] |= 1 << (pos % 8)
+    assert bitmap_ids([bytes(b) for b in blocks]) == sorted(ids)
