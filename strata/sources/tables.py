@@ -549,11 +549,12 @@ class VersionedTable:
             # bucket ids hash the stored key types: an int key and a long key
             # of equal value hash apart, so align the change to the table first
             stored = {f.name: f.dataType for f in T.StructType.fromJson(json.loads(head.schema)).fields}
-            updates = updates.select(*[
-                F.col(c).cast(stored[c]).alias(c)
-                if c in stored and updates.schema[c].dataType != stored[c] else F.col(c)
-                for c in updates.columns
-            ])
+            given = [(f.name, f.dataType) for f in updates.schema.fields]
+            if any(c in stored and t != stored[c] for c, t in given):
+                updates = updates.select(*[
+                    F.col(c).cast(stored[c]).alias(c) if c in stored and t != stored[c] else F.col(c)
+                    for c, t in given
+                ])
         stage = scratch_path(self.spark, "merge-staging")
         seen = Observation("merge_updates")
         bitmaps = bucket_bitmaps(bucket_of(self.bucket_keys, self.buckets), self.buckets)
