@@ -340,12 +340,14 @@ def q_stream_ingest(spark, sf_dir):
 
 
 def q_stream_upsert(spark, sf_dir):
-    """Bronze files streamed one per micro-batch into a guarded Silver merge."""
+    """Bronze files streamed in four micro-batches into a guarded Silver merge."""
     root = scratch_path(spark, "stream_upsert")
     staged = f"{root}/bronze_files"
-    bronze_cdc(spark, sf_dir).repartitionByRange(4, "kafka_offset").write.parquet(staged)
+    # four micro-batches in arrival order, each written and read by every core
+    cores = spark.sparkContext.defaultParallelism
+    bronze_cdc(spark, sf_dir).repartitionByRange(4 * cores, "kafka_offset").write.parquet(staged)
     stream = (spark.readStream.schema(bronze_cdc(spark, sf_dir).schema)
-              .option("maxFilesPerTrigger", 1).parquet(staged))
+              .option("maxFilesPerTrigger", cores).parquet(staged))
     t = VersionedTable(spark, f"{root}/silver", buckets=8, bucket_keys=["id"])
     q = start_upsert(stream, t, lambda b: silver.cdc_updates(b, "ignore", CDC_LONG), ["id"],
                      silver.CDC_ORDER, f"{root}/_checkpoint", "silver_cdc", {"availableNow": True})
