@@ -129,6 +129,8 @@ SELECT 'bronze_api' AS table_name, 'compacted' AS status, CAST(7 AS BIGINT) AS e
        (SELECT count(*) FROM events) AS records
 UNION ALL SELECT 'silver_cdc', 'skipped', 0, (SELECT count(*) FROM cdc_users)
 UNION ALL SELECT 'absent', 'missing', 0, NULL""",
+    "incremental_gold_enriched": BASE["gold_users_enriched"],
+    "incremental_gold_stats": BASE["gold_user_stats"],
     "stream_message_dedup": with_(API_SRC) + f"SELECT {BRONZE_FIELDS} FROM api_src",
     "duplicate_messages": with_(API_SRC, API_M6) + """
 SELECT 'users_created' AS kafka_topic, kafka_partition, kafka_offset, CAST(2 AS BIGINT) AS copies

@@ -153,6 +153,30 @@ def q_layered_refresh(spark, sf_dir):
     return layout.table(spark, "gold/user_stats").read()
 
 
+def _incremental_gold(spark, sf_dir) -> Layout:
+    """Bronze -> Silver -> Gold in two runs, Gold refreshed incrementally:
+    the second run re-joins only the users its Silver change reaches."""
+    from strata.plans.refresh import refresh_gold_incremental, refresh_silver
+
+    layout = Layout(scratch_path(spark, "gold_inc"), buckets=8)
+    api_parts = _slices(bronze_api(spark, sf_dir), [5])
+    cdc_parts = _slices(bronze_cdc(spark, sf_dir), [5])
+    for a, c in zip(api_parts, cdc_parts):
+        layout.table(spark, "bronze/api_users_raw").append(a)
+        layout.table(spark, "bronze/cdc_users_raw").append(c)
+        refresh_silver(spark, layout)
+        refresh_gold_incremental(spark, layout)
+    return layout
+
+
+def q_incremental_gold_enriched(spark, sf_dir):
+    return _incremental_gold(spark, sf_dir).table(spark, "gold/users_enriched_inc").read()
+
+
+def q_incremental_gold_stats(spark, sf_dir):
+    return _incremental_gold(spark, sf_dir).table(spark, "gold/user_stats_inc").read()
+
+
 def _three_commit_bronze(spark, sf_dir) -> VersionedTable:
     t = VersionedTable(spark, scratch_path(spark, "bronze_versions"))
     for part in _slices(bronze_api(spark, sf_dir), [3, 7]):
@@ -470,6 +494,8 @@ REGISTRY = {
     "schema_sync": q_schema_sync,
     "incremental_refresh": q_incremental_refresh,
     "layered_refresh": q_layered_refresh,
+    "incremental_gold_enriched": q_incremental_gold_enriched,
+    "incremental_gold_stats": q_incremental_gold_stats,
     "as_of_version": q_as_of_version,
     "as_of_timestamp": q_as_of_timestamp,
     "snapshot_history": q_snapshot_history,

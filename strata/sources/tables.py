@@ -433,6 +433,24 @@ class VersionedTable:
         """(path, bytes) per data file, for inspection of small tables."""
         return [(r["path"], int(r["length"])) for r in self._file_listing(version).collect()]
 
+    def changed_since(self, version: int) -> tuple[DataFrame, DataFrame] | None:
+        """Rows of the buckets rewritten since ``version``, as they were then
+        and as they are now (a superset of the changed rows: whole touched
+        buckets).  Which buckets changed comes from comparing the two
+        commits' bucket folders, so nothing else is read.  None when the
+        table is not bucketed or that version has expired."""
+        if not self.buckets:
+            return None
+        try:
+            then = self.commit_at(version)
+        except Exception:  # expired
+            return None
+        now = self.latest()
+        old, new = self._bucket_map(then), self._bucket_map(now)
+        touched = [b for b in sorted(new) if old.get(b) != new[b]]
+        return (self._read_parts(then, [old[b] for b in touched if b in old]),
+                self._read_parts(now, [new[b] for b in touched]))
+
     def _bucket_map(self, commit: Commit | None) -> dict[int, str]:
         if commit is None or not self.buckets:
             return {}
