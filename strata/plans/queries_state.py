@@ -156,16 +156,13 @@ def q_layered_refresh(spark, sf_dir):
 def _incremental_gold(spark, sf_dir) -> Layout:
     """Bronze -> Silver -> Gold in two runs, Gold refreshed incrementally:
     the second run re-joins only the users its Silver change reaches."""
-    from strata.plans.refresh import refresh_gold_incremental, refresh_silver
-
     layout = Layout(scratch_path(spark, "gold_inc"), buckets=8)
     api_parts = _slices(bronze_api(spark, sf_dir), [5])
     cdc_parts = _slices(bronze_cdc(spark, sf_dir), [5])
     for a, c in zip(api_parts, cdc_parts):
         layout.table(spark, "bronze/api_users_raw").append(a)
         layout.table(spark, "bronze/cdc_users_raw").append(c)
-        refresh_silver(spark, layout)
-        refresh_gold_incremental(spark, layout)
+        refresh_all(spark, layout, incremental_gold=True)
     return layout
 
 

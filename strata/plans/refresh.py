@@ -60,9 +60,16 @@ def refresh_gold(spark: SparkSession, layout: Layout, match: str = "all") -> dic
     return {"users_enriched": enriched_t.latest(), "user_stats": stats_t.latest()}
 
 
-def refresh_all(spark: SparkSession, layout: Layout, deletes: str = "ignore", match: str = "all") -> dict:
+def refresh_all(spark: SparkSession, layout: Layout, deletes: str = "ignore", match: str = "all",
+                incremental_gold: bool = False) -> dict:
+    """Silver for both feeds, then Gold (I13); a failure stops the run.
+    ``incremental_gold`` refreshes Gold from the Silver change instead of
+    rebuilding it (see ``refresh_gold_incremental``)."""
     out = refresh_silver(spark, layout, deletes)
-    out.update(refresh_gold(spark, layout, match))
+    if incremental_gold:
+        out.update(refresh_gold_incremental(spark, layout, match))
+    else:
+        out.update(refresh_gold(spark, layout, match))
     return out
 
 
