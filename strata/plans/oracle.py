@@ -235,6 +235,13 @@ FROM api_src GROUP BY kafka_partition
 UNION ALL
 SELECT 'postgres.public.users', kafka_partition, count(*), min(kafka_offset), max(kafka_offset)
 FROM cdc_src GROUP BY kafka_partition""",
+    "ingest_delay_quantiles": with_(API_SRC) + """
+SELECT day, count(*) AS messages,
+       quantile_disc(delay, 0.5) AS p50_delay_ms, quantile_disc(delay, 0.95) AS p95_delay_ms,
+       quantile_disc(delay, 0.99) AS p99_delay_ms
+FROM (SELECT date_trunc('day', ingested_at) AS day, epoch_ms(ingested_at) - epoch_ms(kafka_ts) AS delay
+      FROM api_src)
+GROUP BY day""",
     "ingest_delay": with_(API_SRC) + """
 SELECT date_trunc('day', ingested_at) AS day, count(*) AS messages,
        min(epoch_ms(ingested_at) - epoch_ms(kafka_ts)) AS min_delay_ms,

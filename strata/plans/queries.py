@@ -230,6 +230,10 @@ def q_ingest_delay(spark, sf_dir):
     return reports.ingest_delay(bronze_api(spark, sf_dir), "day")
 
 
+def q_ingest_delay_quantiles(spark, sf_dir):
+    return reports.ingest_delay_quantiles(bronze_api(spark, sf_dir), "day")
+
+
 def q_recent_window(spark, sf_dir):
     b = bronze_api(spark, sf_dir)
     latest = b.agg(F.max("ingested_at")).scalar()
@@ -270,5 +274,6 @@ REGISTRY = {
     "bronze_vs_silver": q_bronze_vs_silver,
     "partition_progress": q_partition_progress,
     "ingest_delay": q_ingest_delay,
+    "ingest_delay_quantiles": q_ingest_delay_quantiles,
     "recent_window": q_recent_window,
 }

@@ -125,3 +125,19 @@ def ingest_delay(bronze: DataFrame, unit: str = "hour") -> DataFrame:
         F.max(delay).alias("max_delay_ms"),
         F.sum(delay).alias("sum_delay_ms"),
     )
+
+
+def ingest_delay_quantiles(bronze: DataFrame, unit: str = "hour", quantiles=(0.5, 0.95, 0.99),
+                           accuracy: int = 10000) -> DataFrame:
+    """Landing-delay percentiles (ms) per time bucket (K8).
+
+    ``percentile_approx`` keeps a bounded sketch per group (relative rank
+    error ``1 / accuracy``) and merges sketches map-side, so a bucket holding
+    a third of all messages costs no more memory than any other.
+    """
+    delay = millis_since_epoch("ingested_at") - millis_since_epoch("kafka_ts")
+    q = F.percentile_approx(delay, list(quantiles), accuracy)
+    grouped = bronze.groupBy(truncate(unit, "ingested_at").alias(unit)).agg(
+        F.count(F.lit(1)).alias("messages"), q.alias("_q"))
+    names = [f"p{round(p * 100):d}_delay_ms" for p in quantiles]
+    return grouped.select(unit, "messages", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])

@@ -40,3 +40,10 @@ def test_no_python_udf_in_any_query(spark):
             continue
         p = plan(q(spark, SF_SMALL))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_delay_quantiles_merge_sketches_map_side(spark):
+    from strata.plans import reports
+
+    p = plan(reports.ingest_delay_quantiles(bronze_api(spark, SF_SMALL), "day"))
+    assert "partial_percentile_approx" in p
