@@ -94,3 +94,19 @@ def test_hot_duplicate_message_counted_whole(spark):
     dup = duplicate_messages(df).collect()
     assert [(r["kafka_offset"], r["copies"]) for r in dup] == [(7, N)]
     assert "partial_count" in plan(duplicate_messages(df))
+
+
+def test_approx_distinct_emails_within_error(spark):
+    i = F.col("id")
+    e = spark.range(60000).select(
+        F.when(i % 3 == 0, F.lit("hot")).otherwise(F.lit("other")).alias("gender"),
+        F.lit(None).cast("string").alias("department"), F.lit(1990).alias("birth_year"),
+        F.concat(F.lit("e"), (i % 20000).cast("string")).alias("email"),
+        F.lit(None).cast("long").alias("db_id"),
+        F.lit("2026-01-01 00:00:00").cast("timestamp_ntz").alias("api_ingested_at"))
+    exact = {r["gender"]: r["unique_emails"] for r in gold.user_stats(e).collect()}
+    approx = {r["gender"]: r["unique_emails"] for r in gold.user_stats(e, approx_emails=0.02).collect()}
+    assert set(exact) == set(approx)
+    assert all(abs(approx[g] - exact[g]) <= 0.06 * exact[g] for g in exact)  # 3 sigma
+    p = plan(gold.user_stats(e, approx_emails=0.02))
+    assert "partial_approx_count_distinct" in p and p.count("Exchange") == 1  # no (group, e-mail) shuffle
