@@ -59,3 +59,21 @@ def test_incremental_gold_follows_the_change(spark, tmp_path):
     # nothing new: only the stats are re-aggregated, Gold keeps its version
     again = refresh_gold_incremental(spark, layout)
     assert again["users_enriched"].version == commit.version
+
+
+def test_incremental_gold_sees_applied_deletes(spark, tmp_path):
+    layout = Layout(str(tmp_path / "lake"), buckets=8)
+    api_t = layout.table(spark, "silver/api_users", ["username"])
+    cdc_t = layout.table(spark, "silver/cdc_users", ["id"])
+    api_t.overwrite(api_rows(spark))
+    cdc_t.overwrite(cdc_rows(spark).withColumn("is_deleted", F.lit(False)))
+    refresh_gold_incremental(spark, layout)
+    # record 5 is deleted: its tombstone keeps the key, with no e-mail
+    tomb = cdc_rows(spark).filter("id = 5").withColumn("email", F.lit(None).cast("string")) \
+        .withColumn("op", F.lit("d")).withColumn("is_deleted", F.lit(True))
+    cdc_t.merge(tomb, ["id"])
+    refresh_gold_incremental(spark, layout)
+    api, cdc = read_silver(spark, layout)
+    got = layout.table(spark, "gold/users_enriched_inc").read()
+    assert rows(got) == rows(gold.users_enriched(api, cdc))
+    assert {r["username"]: r["db_id"] for r in got.collect()}["u5"] is None
