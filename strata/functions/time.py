@@ -6,6 +6,8 @@ depend on the session time zone.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,3 +66,16 @@ def millis_since_epoch(ts: str | Column) -> Column:
 def older_than(ts: str | Column, interval: str) -> Column:
     """Relative cutoff, e.g. ``older_than('committed_at', '7 days')``."""
     return _col(ts) < (F.localtimestamp() - F.expr(f"INTERVAL {interval}"))
+
+
+def ts_literal(value, dtype="timestamp_ntz") -> Column:
+    """A timestamp literal that means the same in every session zone.
+
+    ``F.lit(datetime)`` reads a naive datetime on the Python process clock
+    and a later cast re-reads it on the session clock, so the two zones
+    disagreeing shifts the value.  A naive datetime or a string goes in as
+    text and is cast once; an aware datetime keeps its own zone.
+    """
+    if isinstance(value, datetime) and value.tzinfo is None:
+        return F.lit(value.isoformat(sep=" ")).cast(dtype)
+    return F.lit(value).cast(dtype)

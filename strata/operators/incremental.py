@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.time import ts_literal
+
 FLOOR_TS = "1970-01-01 00:00:00"
 
 
@@ -33,9 +37,11 @@ def incremental_slice(df: DataFrame, column: str, mark: Any, overlap: str | None
     commits; pair it with an idempotent (guarded) merge."""
     if mark is None:
         return df
-    bound = F.lit(mark)
-    if isinstance(mark, str):
-        bound = bound.cast(df.schema[column].dataType)
+    dtype = df.schema[column].dataType
+    if isinstance(mark, (str, datetime)):
+        bound = ts_literal(mark, dtype)
+    else:
+        bound = F.lit(mark)
     if overlap:
         bound = bound - F.expr(f"INTERVAL {overlap}")
     return df.filter(F.col(column) > bound)

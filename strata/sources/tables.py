@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.time import ts_literal
 from strata.session import scratch_path
 
 BUCKET_COL = "sb"
@@ -354,7 +355,7 @@ class VersionedTable:
             ts = datetime.fromisoformat(str(as_of)) if not isinstance(as_of, datetime) else as_of
             row = (
                 self.history()
-                .filter(F.col("committed_at") <= F.lit(ts).cast("timestamp_ntz"))
+                .filter(F.col("committed_at") <= ts_literal(ts))
                 .agg(F.max("version").alias("v"))
                 .first()
             )
@@ -704,7 +705,7 @@ class VersionedTable:
         return (
             self.history()
             .filter((F.col("version") <= F.lit(head - retain_last))
-                    & (F.col("committed_at") < F.lit(older_than).cast("timestamp_ntz")))
+                    & (F.col("committed_at") < ts_literal(older_than)))
             .select("version")
         )
 

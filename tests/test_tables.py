@@ -256,3 +256,18 @@ def test_bitmap_ids_inverse(ids):
         k, pos = divmod(i, BITMAP_BITS)
         blocks[k][pos // 8] |= 1 << (pos % 8)
     assert bitmap_ids([bytes(b) for b in blocks]) == sorted(ids)
+
+
+def test_as_of_read_does_not_depend_on_session_zone(spark, tmp_path):
+    from strata.operators.incremental import incremental_slice
+
+    t = VersionedTable(spark, str(tmp_path / "tz"))
+    t.append(spark.range(10).selectExpr("id", "TIMESTAMP_NTZ '2026-01-01 00:00:00' + make_interval(0,0,0,0,0,0,id) AS ts"))
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        assert t.read(as_of=now).count() == 10
+        assert incremental_slice(t.read(), "ts", datetime(2026, 1, 1, 0, 0, 6)).count() == 3
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
