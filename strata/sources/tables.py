@@ -575,36 +575,41 @@ class VersionedTable:
                     for c, t in given
                 ])
         stage = scratch_path(self.spark, "merge-staging")
-        seen = Observation("merge_updates")
-        bitmaps = bucket_bitmaps(bucket_of(self.bucket_keys, self.buckets), self.buckets)
-        updates.observe(seen, F.count(F.lit(1)).alias("rows"), *bitmaps).write.parquet(stage)
-        got = seen.get
-        touched = bitmap_ids([got[f"_bm{k}"] for k in range(len(bitmaps))]) if got["rows"] else []
-        if not touched:
-            return head
-        staged = self.spark.read.schema(updates.schema).parquet(stage)
-        current = self._bucket_map(head)
-        schema = (
-            T.StructType.fromJson(json.loads(head.schema)) if head is not None else updates.schema
-        )
-        if head is not None:
-            target = self._read_parts(head, [current[b] for b in touched if b in current])
-        else:
-            target = self.spark.createDataFrame([], schema)
-        rel, path = self._next_data_dir()
-        if combine is not None:
-            merged = combine(target, staged)
-            self._write_bucketed(merged, rel, path, files_per_bucket, len(touched))
-        else:
-            merged = self._merge_rows(target, staged, keys, order, len(touched), files_per_bucket)
-            merged.write.partitionBy(BUCKET_COL).parquet(path)
-            merged = merged.drop(BUCKET_COL)
-        for b in touched:
-            current[b] = f"{rel}/{BUCKET_COL}={b}"
-        parts = [current[b] for b in sorted(current)]
-        summary = dict(extra.pop("summary", {}) or {})
-        summary.update({"touched_buckets": str(len(touched)), "total_buckets": str(self.buckets)})
-        return self._commit(operation, parts, merged.schema, summary=summary, **extra)
+        try:
+            seen = Observation("merge_updates")
+            bitmaps = bucket_bitmaps(bucket_of(self.bucket_keys, self.buckets), self.buckets)
+            updates.observe(seen, F.count(F.lit(1)).alias("rows"), *bitmaps).write.parquet(stage)
+            got = seen.get
+            touched = bitmap_ids([got[f"_bm{k}"] for k in range(len(bitmaps))]) if got["rows"] else []
+            if not touched:
+                return head
+            staged = self.spark.read.schema(updates.schema).parquet(stage)
+            current = self._bucket_map(head)
+            schema = (
+                T.StructType.fromJson(json.loads(head.schema)) if head is not None else updates.schema
+            )
+            if head is not None:
+                target = self._read_parts(head, [current[b] for b in touched if b in current])
+            else:
+                target = self.spark.createDataFrame([], schema)
+            rel, path = self._next_data_dir()
+            if combine is not None:
+                merged = combine(target, staged)
+                self._write_bucketed(merged, rel, path, files_per_bucket, len(touched))
+            else:
+                merged = self._merge_rows(target, staged, keys, order, len(touched), files_per_bucket)
+                merged.write.partitionBy(BUCKET_COL).parquet(path)
+                merged = merged.drop(BUCKET_COL)
+            for b in touched:
+                current[b] = f"{rel}/{BUCKET_COL}={b}"
+            parts = [current[b] for b in sorted(current)]
+            summary = dict(extra.pop("summary", {}) or {})
+            summary.update({"touched_buckets": str(len(touched)), "total_buckets": str(self.buckets)})
+            return self._commit(operation, parts, merged.schema, summary=summary, **extra)
+        finally:
+            # the staged change is only an input of this merge: once the merge
+            # committed (or failed) it goes, so scratch does not grow per batch
+            _FS(self.spark, stage).delete(stage)
 
     def _merge_rows(self, target: DataFrame, updates: DataFrame, keys: list[str],
                     order: list[Column] | None, n_touched: int, files_per_bucket: int) -> DataFrame:

@@ -271,3 +271,21 @@ def test_as_of_read_does_not_depend_on_session_zone(spark, tmp_path):
         assert incremental_slice(t.read(), "ts", datetime(2026, 1, 1, 0, 0, 6)).count() == 3
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_merge_leaves_no_staging_behind(spark, tmp_path):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from strata.session import checkpoint_root
+
+    t = VersionedTable(spark, str(tmp_path / "stg"), buckets=4, bucket_keys=["k"])
+    rows = spark.range(100).withColumnRenamed("id", "k").withColumn("v", F.lit(0))
+    t.overwrite(rows)
+    scratch = f"{checkpoint_root(spark)}/strata"
+    before = {n for n in os.listdir(scratch) if n.startswith("merge-staging")} if os.path.isdir(scratch) else set()
+    t.merge(rows.filter("k < 10").withColumn("v", F.lit(1)), ["k"])
+    after = {n for n in os.listdir(scratch) if n.startswith("merge-staging")}
+    assert after <= before
+    assert t.read().filter("v = 1").count() == 10
