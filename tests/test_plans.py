@@ -47,3 +47,15 @@ def test_delay_quantiles_merge_sketches_map_side(spark):
 
     p = plan(reports.ingest_delay_quantiles(bronze_api(spark, SF_SMALL), "day"))
     assert "partial_percentile_approx" in p
+
+
+def test_no_python_udf_in_state_queries(spark):
+    from strata.plans.queries_state import REGISTRY as STATE
+
+    cheap = ["incremental_slice", "slice_after_target", "upsert_merge", "upsert_guarded", "upsert_plain_cdc",
+             "upsert_partial", "insert_if_absent", "schema_sync", "cdc_from_snapshots", "snapshot_fold",
+             "message_dedup", "duplicate_messages", "quarantine_api", "quarantine_cdc", "source_constraints",
+             "sql_views_match_rate", "sql_events_per_minute", "user_stats_sorted", "late_field_reparse"]
+    for name in cheap:
+        p = plan(STATE[name](spark, SF_SMALL))
+        assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
