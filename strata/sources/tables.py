@@ -686,7 +686,11 @@ class VersionedTable:
         rewritten = sum(r["files"] for r in per_bucket if r["b"] in set(frag))
         current = self._bucket_map(head)
         rel, path = self._next_data_dir()
-        slices = max(wanted[b] for b in frag)
+        # slices per bucket from the average, not the largest: the shuffle has
+        # (buckets or touched buckets) x slices partitions, so one outsized bucket
+        # must not multiply the partition count; total output stays ~ bytes / target
+        frag_bytes = sum(r["bytes"] for r in per_bucket if r["b"] in set(frag))
+        slices = max(1, math.ceil(frag_bytes / target_file_bytes / len(frag)))
         keyed, _ = self._cluster(self._read_parts(head, [current[b] for b in frag]), len(frag), slices)
         keyed.drop(SUB_COL).write.partitionBy(BUCKET_COL).parquet(path)
         for b in frag:
