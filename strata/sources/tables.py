@@ -604,7 +604,8 @@ class VersionedTable:
                 current[b] = f"{rel}/{BUCKET_COL}={b}"
             parts = [current[b] for b in sorted(current)]
             summary = dict(extra.pop("summary", {}) or {})
-            summary.update({"touched_buckets": str(len(touched)), "total_buckets": str(self.buckets)})
+            summary.update({"touched_buckets": str(len(touched)), "total_buckets": str(self.buckets),
+                            "change_rows": str(got["rows"])})
             return self._commit(operation, parts, merged.schema, summary=summary, **extra)
         finally:
             # the staged change is only an input of this merge: once the merge

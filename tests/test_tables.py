@@ -131,7 +131,7 @@ def test_bucket_layout_is_recorded_as_runs(spark, tmp_path):
     c = t.merge(change, ["k"])
     entry = json.loads(t._fs.read_text(t._entry(c.version)))
     assert entry["parts"] == [] and len(entry["layout"]) == 2
-    assert len(t.latest().parts) == 64
+    assert len(t.latest().parts) == 64 and c.summary["change_rows"] == "40"
     assert t.read().filter("v = 1").count() == 40 and t.read().count() == 20000
 
 
