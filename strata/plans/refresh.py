@@ -113,7 +113,11 @@ def refresh_gold_incremental(spark: SparkSession, layout: Layout, match: str = "
         api_delta, cdc_delta = api_t.changed_since(seen["api"]), cdc_t.changed_since(seen["cdc"])
     if seen is None or api_delta is None or cdc_delta is None:
         enriched_t.overwrite(gold.users_enriched(api, cdc, match), operation="replace", mark=mark)
-    elif (seen["api"], seen["cdc"]) != (api_head.version, cdc_head.version):
+    elif (seen["api"], seen["cdc"]) == (api_head.version, cdc_head.version):
+        stats_t = layout.table(spark, "gold/user_stats_inc")
+        if stats_t.exists():  # nothing new: Gold and its rollup stand as they are
+            return {"users_enriched": head, "user_stats": stats_t.latest()}
+    else:
         emails = (
             cdc_delta[0].select("email").unionByName(cdc_delta[1].select("email"))
             .filter(F.col("email").isNotNull()).select(F.lower("email").alias("_e")).distinct()
