@@ -56,9 +56,10 @@ def test_incremental_gold_follows_the_change(spark, tmp_path):
     assert by_user["u3"]["db_id"] is None and by_user["u25"]["db_id"] == 3 and by_user["u30"]["gender"] == "x"
     stats = layout.table(spark, "gold/user_stats_inc").read()
     assert rows(stats) == rows(gold.user_stats(gold.users_enriched(api, cdc)))
-    # nothing new: only the stats are re-aggregated, Gold keeps its version
+    # nothing new: neither Gold table is rewritten
     again = refresh_gold_incremental(spark, layout)
     assert again["users_enriched"].version == commit.version
+    assert again["user_stats"].version == out["user_stats"].version
 
 
 def test_incremental_gold_sees_applied_deletes(spark, tmp_path):
