@@ -84,13 +84,20 @@ def replace_keys(keys: list[str]):
     return combine
 
 
+def _diff(then: DataFrame, now: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows only in ``then``, rows only in ``now``) over the common columns."""
+    cols = [c for c in now.columns if c in set(then.columns)]
+    a, b = then.select(*cols), now.select(*cols)
+    return a.subtract(b), b.subtract(a)
+
+
 def refresh_gold_incremental(spark: SparkSession, layout: Layout, match: str = "all") -> dict:
     """Gold refresh whose join work follows the Silver change (I7, I8 at scale).
 
     The enriched table is bucketed by username and records the Silver
     versions it reflects.  On the next run, the Silver buckets rewritten
-    since then (old and new rows) name the changed API users and the e-mails
-    of changed records (before and after).  Users to redo are those changed
+    since then, diffed old against new, give the exactly changed rows: the
+    changed API users and the e-mails of changed records (before and after).  Users to redo are those changed
     users plus, through a semi-join, every user holding one of those
     e-mails.  Only they are re-joined, against records pre-filtered to their
     e-mails, and their rows are replaced in the touched Gold buckets.  The
@@ -118,12 +125,16 @@ def refresh_gold_incremental(spark: SparkSession, layout: Layout, match: str = "
         if stats_t.exists():  # nothing new: Gold and its rollup stand as they are
             return {"users_enriched": head, "user_stats": stats_t.latest()}
     else:
+        # exact changed rows: touched buckets as they were and as they are now,
+        # minus what both hold (a touched bucket is mostly unchanged rows)
+        api_gone, api_new = _diff(*api_delta)
+        cdc_gone, cdc_new = _diff(*cdc_delta)
         emails = (
-            cdc_delta[0].select("email").unionByName(cdc_delta[1].select("email"))
+            cdc_gone.select("email").unionByName(cdc_new.select("email"))
             .filter(F.col("email").isNotNull()).select(F.lower("email").alias("_e")).distinct()
         )
         users = (
-            api_delta[0].select("username").unionByName(api_delta[1].select("username"))
+            api_gone.select("username").unionByName(api_new.select("username"))
             .unionByName(api.join(emails, F.lower(api["email"]) == emails["_e"], "left_semi").select("username"))
             .distinct()
         )
