@@ -78,3 +78,18 @@ def test_incremental_gold_sees_applied_deletes(spark, tmp_path):
     got = layout.table(spark, "gold/users_enriched_inc").read()
     assert rows(got) == rows(gold.users_enriched(api, cdc))
     assert {r["username"]: r["db_id"] for r in got.collect()}["u5"] is None
+
+
+def test_one_record_change_rewrites_one_gold_bucket(spark, tmp_path):
+    layout = Layout(str(tmp_path / "lake"), buckets=8)
+    api_t = layout.table(spark, "silver/api_users", ["username"])
+    cdc_t = layout.table(spark, "silver/cdc_users", ["id"])
+    api_t.overwrite(api_rows(spark))
+    cdc_t.overwrite(cdc_rows(spark))
+    refresh_gold_incremental(spark, layout)
+    # record 4 (held by u4) moves department; its Silver bucket holds other, unchanged records
+    cdc_t.merge(cdc_rows(spark).filter("id = 4").withColumn("department", F.lit("Legal")), ["id"])
+    out = refresh_gold_incremental(spark, layout)
+    assert out["users_enriched"].summary["touched_buckets"] == "1"
+    by_user = {r["username"]: r for r in layout.table(spark, "gold/users_enriched_inc").read().collect()}
+    assert by_user["u4"]["department"] == "Legal" and len(by_user) == 40
