@@ -97,9 +97,9 @@ def refresh_gold_incremental(spark: SparkSession, layout: Layout, match: str = "
     The enriched table is bucketed by username and records the Silver
     versions it reflects.  On the next run, the Silver buckets rewritten
     since then, diffed old against new, give the exactly changed rows: the
-    changed API users and the e-mails of changed records (before and after).  Users to redo are those changed
-    users plus, through a semi-join, every user holding one of those
-    e-mails.  Only they are re-joined, against records pre-filtered to their
+    changed API users and the e-mails of changed records (before and
+    after).  Users to redo are those changed users plus, through a
+    semi-join, every user holding one of those e-mails.  Only they are re-joined, against records pre-filtered to their
     e-mails, and their rows are replaced in the touched Gold buckets.  The
     rollup has few groups and an exact distinct count, so it is re-aggregated
     from the published table (partial aggregation map-side).  With no usable
