@@ -225,7 +225,7 @@ def unconsumed(bronze, mark: str | None, overlap: str | None = None) -> DataFram
     consumed rows too) are read from ``ingested_at >= mark`` (minus
     ``overlap``), and the guarded merge makes re-read rows harmless.  Which
     commit added a folder comes from the commits since the consumed version
-    (one small log read each).  Only if those commits have expired does it
+    (one Spark pass over the log).  Only if those commits have expired does it
     fall back to ``ingested_at >= mark`` over the whole table.
     """
     head = bronze.latest()
@@ -243,13 +243,7 @@ def unconsumed(bronze, mark: str | None, overlap: str | None = None) -> DataFram
             bound = bound - F.expr(f"INTERVAL {overlap}")
     try:
         seen = bronze.commit_at(m["bronze_version"])
-        appended: set[str] = set()
-        prev = set(seen.parts)
-        for v in range(seen.version + 1, head.version + 1):
-            c = bronze.commit_at(v)
-            if c.operation == "append":
-                appended |= set(c.parts) - prev
-            prev = set(c.parts)
+        appended = _appended_since(bronze, seen.version, head.version)
     except Exception:  # expired entries
         seen = None
     if seen is None:
@@ -271,6 +265,29 @@ def unconsumed(bronze, mark: str | None, overlap: str | None = None) -> DataFram
     return out
 
 
+def _appended_since(bronze, since: int, upto: int) -> set[str]:
+    """Folders that append commits added after version ``since`` (up to
+    ``upto``), from one Spark read of exactly those log entries: each
+    folder's first commit in the range is the one that added it.  Only
+    folder names reach the driver.  Raises if a commit of the range has
+    expired (a missing entry fails the read)."""
+    if upto <= since:
+        return set()
+    from strata.sources.tables import LOG_SCHEMA
+
+    entries = [bronze._entry(v) for v in range(since + 1, upto + 1)]  # exactly the range, read in parallel
+    log = bronze.spark.read.schema(LOG_SCHEMA).json(entries)
+    first = (
+        log.select("version", "operation", F.explode("parts").alias("part"))
+        .groupBy("part")
+        .agg(F.min_by("operation", "version").alias("op"))
+    )
+    rows = first.select("part", "op").collect()
+    if log.select("version").distinct().count() != upto - since:
+        raise LookupError(f"commits between {since} and {upto} have expired")
+    return {r["part"] for r in rows if r["op"] == "append"}
+
+
 def refresh(
     bronze,
     silver,

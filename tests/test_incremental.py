@@ -120,3 +120,18 @@ def test_refresh_after_bronze_compaction_reads_only_new_rows(spark, tmp_path):
     assert all(str(r["ingested_at"]) == mark_ts for r in reread)  # only rows stamped at the mark
     silver.refresh(b, s, build, ["id"], silver.cdc_order())
     assert state(s.read()) == state(one_pass(spark, FX2, "ignore"))
+
+
+def test_unconsumed_falls_back_when_commits_expired(spark, tmp_path):
+    root = f"{tmp_path}/{uuid.uuid4().hex}"
+    b = VersionedTable(spark, f"{root}/bronze")
+    rows = bronze_rows(spark, "postgres.public.users", [p for p, _ in FX2], [t for _, t in FX2])
+    n = len(FX2)
+    b.append(rows.filter(f"kafka_offset < {n // 2}"))
+    mark = json.dumps({"bronze_version": 0, "ingested_at": str(rows.filter(f"kafka_offset < {n // 2}")
+                                                                 .agg({"ingested_at": "max"}).first()[0])})
+    b.append(rows.filter(f"kafka_offset >= {n // 2}"))
+    b.append(rows.filter("kafka_offset < 0"))
+    b._fs.delete(b._entry(1))  # the commit that appended the second half has expired
+    fresh = silver.unconsumed(b, mark).collect()
+    assert {r["kafka_offset"] for r in fresh} >= set(range(n // 2, n))
