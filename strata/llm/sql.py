@@ -1,17 +1,17 @@
 """DuckDB SQL of the operators that SQL can express."""
 
-_BENCH_WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '')"
+_BENCH_WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
 SQL = {
     "op2_substring_dedup": r"""
-WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 i AS (SELECT doc_id, w, unnest(range(len(w) - 12)) AS i FROM w WHERE len(w) >= 13),
 win AS (SELECT doc_id, i, hash(array_to_string(w[i + 1:i + 13], ' ')) AS k FROM i),
 first AS (SELECT k, min(doc_id) AS f FROM win GROUP BY k),
 gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN first USING (k) WHERE f < doc_id),
 g AS (SELECT doc_id, count(*) AS n_removed, list(p) AS ps FROM gone GROUP BY doc_id)
 SELECT w.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed,
-  sha256(array_to_string(CASE WHEN ps IS NULL THEN w ELSE list_transform(list_filter(range(len(w)), p -> NOT list_contains(ps, p)), p -> w[p + 1]) END, ' ')) AS kept_sha256
+  sha256(array_to_string(CASE WHEN ps IS NULL THEN w ELSE list_transform(list_filter(range(len(w)), lambda p: NOT list_contains(ps, p)), lambda p: w[p + 1]) END, ' ')) AS kept_sha256
 FROM w LEFT JOIN g USING (doc_id)""",
     "op3_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
