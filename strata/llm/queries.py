@@ -9,6 +9,8 @@ from strata.llm.decontaminate import contamination
 from strata.llm.exact import exact_groups
 from strata.llm.packing import pack_sequences
 from strata.llm.sharding import ROW_OVERHEAD, shuffle_into_shards
+from strata.llm.substring import substring_dedup
+from strata.llm.suffixes import suffix_dedup
 from strata.llm.tables import documents, id_text, table
 from strata.llm.token_store import read_tokens, write_tokens
 from strata.llm.toxicity import THRESHOLD, score_toxicity
@@ -21,6 +23,11 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_substring_dedup(spark, sf_dir):
+    kept = substring_dedup(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_exact_dedup(spark, sf_dir):
     return exact_groups(documents(spark, sf_dir))
 
@@ -37,6 +44,12 @@ def op5_packing(spark, sf_dir):
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_suffix_array_dedup(spark, sf_dir):
+    kept = suffix_dedup(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_toxicity(spark, sf_dir):
     scored = score_toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
@@ -60,4 +73,4 @@ def op10_benchmark_decontamination(spark, sf_dir):
 
 
 REGISTRY = {f.__name__: f for f in (
-    op3_exact_dedup, op4_token_output, op5_packing, op8_toxicity, op9_sharding, op10_benchmark_decontamination)}
+    op2_substring_dedup, op3_exact_dedup, op4_token_output, op5_packing, op7_suffix_array_dedup, op8_toxicity, op9_sharding, op10_benchmark_decontamination)}
