@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.decontaminate import contamination
 from strata.llm.exact import exact_groups
+from strata.llm.minhash import near_classes
 from strata.llm.packing import pack_sequences
 from strata.llm.sharding import ROW_OVERHEAD, shuffle_into_shards
 from strata.llm.substring import substring_dedup
@@ -23,6 +24,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_minhash_neardup(spark, sf_dir):
+    return near_classes(documents(spark, sf_dir)).select("doc_id", "class_id", "class_size", "n_links")
+
+
 def op2_substring_dedup(spark, sf_dir):
     kept = substring_dedup(documents(spark, sf_dir))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -73,4 +78,4 @@ def op10_benchmark_decontamination(spark, sf_dir):
 
 
 REGISTRY = {f.__name__: f for f in (
-    op2_substring_dedup, op3_exact_dedup, op4_token_output, op5_packing, op7_suffix_array_dedup, op8_toxicity, op9_sharding, op10_benchmark_decontamination)}
+    op1_minhash_neardup, op2_substring_dedup, op3_exact_dedup, op4_token_output, op5_packing, op7_suffix_array_dedup, op8_toxicity, op9_sharding, op10_benchmark_decontamination)}
