@@ -6,7 +6,8 @@ a fingerprint).  Two texts that share 10 consecutive words share a fingerprint
 there, whatever surrounds it.  Document fingerprints meet the distinct benchmark
 fingerprints in a semi join; hits are then extended: the up to six 10-word
 windows around a hit are compared, as words, with the benchmark's windows, so
-the result is exact and hash collisions only cost work.
+the result is exact and hash collisions only cost work.  (A minimum is written
+where it changes and at every sixth place, so no repetition hides one.)
 
 An item of fewer than 10 words is one window.  It is too short for the winnowing
 guarantee, so items of n < 10 words are looked up among all n-grams of the
@@ -61,12 +62,13 @@ def gram_hashes(hashes: Column, k: int) -> Column:
 
 
 def winnow(g: Column, span: int) -> Column:
-    """(pos, fp) of the grams that are the minimum of some ``span`` consecutive
-    ones (the leftmost of equal minima), each once."""
-    def least(i):
-        return bind(F.slice(g, i + 1, span), lambda s: bind(F.array_min(s), lambda m: F.struct(
-            (F.array_position(s, m).cast("int") - 1 + i).alias("pos"), m.alias("fp"))))
-    return F.array_distinct(F.transform(_starts(F.size(g), span), least))
+    """(pos, fp): the minimum of each ``span`` consecutive grams, where it
+    changes and at every ``span``-th place, so at most span - 1 places before
+    any window there is a row with that window's minimum."""
+    least = F.transform(_starts(F.size(g), span), lambda i: F.least(*[F.get(g, i + j) for j in range(span)]))
+    return bind(least, lambda m: F.filter(
+        F.transform(m, lambda x, i: F.when((i % span == 0) | (F.get(m, i - 1) != x), F.struct(i.alias("pos"), x.alias("fp")))),
+        lambda s: s.isNotNull()))
 
 
 def fingerprints(texts: DataFrame, *keep: str, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -104,7 +106,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     near = (
         fingerprints(rows.select(content, "text"), "_h", window=window, gram=gram)
         .join(marks, "fp", "left_semi")
-        .select("_h", F.explode(F.sequence(F.greatest(F.col("pos") - (window - gram), F.lit(0)), F.col("pos"))).alias("start"),
+        .select("_h", F.explode(F.sequence(F.col("pos"), F.col("pos") + (window - gram))).alias("start"),
                 F.lit(window).alias("n"))
     )
     for n in sorted(short):
