@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.ranges import cut_points, range_of
-from strata.llm.tables import text_bytes
+from strata.llm.tables import ship_package, text_bytes
 from strata.llm.token_store import mix
 
 BLOCK_BYTES = 6 << 20
@@ -39,7 +39,6 @@ def _pack(cuts: np.ndarray, null_ranges: int):
             key = b.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
             salt = b.column("salt").to_numpy(zero_copy_only=False)
             block, rank = range_of(key, null, mix(salt.view(np.uint64), 5), cuts, null_ranges)
-            b = b.select(["doc_id", "text"])
             order = np.argsort(block, kind="stable")
             edges = np.flatnonzero(np.diff(block[order])) + 1
             for at in np.split(order, edges) if len(order) else ():
@@ -55,6 +54,7 @@ def _pack(cuts: np.ndarray, null_ranges: int):
 def make_blocks(rows: DataFrame) -> tuple[DataFrame, int]:
     """Blocks of (doc_id, text), kept on the executors' disks for the passes to
     come (a lost one is made again), and the number of text bytes."""
+    ship_package(rows.sparkSession)
     total = text_bytes(rows)
     n = max(1, -(-total // BLOCK_BYTES))
     packed = rows.select("doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("salt")).mapInArrow(
@@ -64,15 +64,17 @@ def make_blocks(rows: DataFrame) -> tuple[DataFrame, int]:
 
 
 class Block:
-    """One block, opened: documents ascending by (null last, doc_id)."""
+    """One block, opened: documents ascending by (null last, doc_id), those of one
+    id by a hash of their text, so every pass sees the same order."""
 
     def __init__(self, t: pa.Table):
         parts = [pa.ipc.open_stream(x.as_buffer()).read_all() for x in t.column("docs")]
-        docs = pa.concat_tables(parts).sort_by([("doc_id", "ascending")]) if parts else None
+        docs = pa.concat_tables(parts).sort_by([("doc_id", "ascending"), ("salt", "ascending")]) if parts else None
         self.block = t.column("block")[0].as_py() if t.num_rows else None
         self.rank = t.column("rank")[0].as_py() if t.num_rows else None
         self.doc_id = docs.column("doc_id").combine_chunks() if parts else pa.array([], pa.int64())
         self.texts = [x or b"" for x in docs.column("text").to_pylist()] if parts else []
+        self.salt = docs.column("salt").to_numpy() if parts else np.empty(0, np.int64)
         null = np.array(self.doc_id.is_null())
         key = self.doc_id.fill_null(0).to_numpy(zero_copy_only=False)
         new = np.ones(len(key), bool)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.ranges import cut_points
-from strata.llm.tables import id_text
+from strata.llm.tables import id_text, ship_package
 from strata.llm.token_store import mix, pack_ids, unpack_ids
 from strata.llm.tokens import encoder
 from strata.session import scratch_path
@@ -131,6 +131,7 @@ def pack_sequences(docs: DataFrame, tokenizer: str, end_id: int, length: int = L
     """Pieces of all documents: doc_id, start, length, ids (little-endian
     unsigned 32-bit), doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
+    ship_package(spark)
     path = scratch_path(spark, "packing")
     schema = "doc_id long, key long, n long, packed binary"
     id_text(docs, doc_id, text).mapInArrow(_encode(tokenizer, end_id), schema).write.option("compression", "none").parquet(path)

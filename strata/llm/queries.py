@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.decontaminate import contamination
 from strata.llm.exact import exact_groups
+from strata.llm.lines import line_dedup
 from strata.llm.minhash import near_classes
 from strata.llm.packing import pack_sequences
 from strata.llm.sharding import ROW_OVERHEAD, shuffle_into_shards
@@ -49,6 +50,12 @@ def op5_packing(spark, sf_dir):
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op6_line_dedup(spark, sf_dir):
+    kept = line_dedup(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op7_suffix_array_dedup(spark, sf_dir):
     kept = suffix_dedup(documents(spark, sf_dir))
     return kept.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
@@ -78,4 +85,4 @@ def op10_benchmark_decontamination(spark, sf_dir):
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_minhash_neardup, op2_substring_dedup, op3_exact_dedup, op4_token_output, op5_packing, op7_suffix_array_dedup, op8_toxicity, op9_sharding, op10_benchmark_decontamination)}
+    op1_minhash_neardup, op2_substring_dedup, op3_exact_dedup, op4_token_output, op5_packing, op6_line_dedup, op7_suffix_array_dedup, op8_toxicity, op9_sharding, op10_benchmark_decontamination)}

@@ -27,6 +27,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.tables import ship_package
+
 ROW_OVERHEAD = 16
 BUCKET_BYTES = 24 << 20
 
@@ -53,6 +55,7 @@ def shuffle_into_shards(docs: DataFrame, shards: int, path: str, seed: int = 17,
     folder ``shard=s`` each) and return them as read back: ``row`` (all columns
     of the record), ``shard``, ``slot`` (gapless from 0 in its shard)."""
     spark = docs.sparkSession
+    ship_package(spark)
     total = docs.agg(F.sum(F.octet_length("text") + F.lit(ROW_OVERHEAD))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     keyed = docs.select(F.struct(*docs.columns).alias("row"),

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.ranges import cut_points, range_of
-from strata.llm.tables import id_text, text_bytes
+from strata.llm.tables import id_text, ship_package, text_bytes
 from strata.llm.tokens import encoder
 
 SHARD_BYTES = 8 << 20
@@ -148,6 +148,7 @@ def write_shard(t: pa.Table) -> pa.Table:
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: str = "doc_id",
                  text: str = "text", shard_bytes: int = SHARD_BYTES) -> None:
     """Encode every whole text and write the store to ``path``."""
+    ship_package(docs.sparkSession)
     rows = id_text(docs, doc_id, text)
     shards = max(1, -(-text_bytes(rows) // shard_bytes))
     run = encode_batches(tokenizer, end_id, cut_points(rows, "doc_id", shards), shards)
@@ -196,6 +197,7 @@ def _read(base: dict[int, int]):
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """Every document of a store through its index: doc_id, start (ids of all
     documents before it), ids (little-endian unsigned 32-bit)."""
+    ship_package(spark)
     store = spark.read.schema(STORE).parquet(path)
     base, at = {}, 0
     for shard, n in sorted(store.select("shard", "tokens").collect()):  # one number per shard

@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.tables import ship_package
+
 BITS = 18
 FACTORS = 4
 MAX_ROWS = 24_000
@@ -127,6 +129,7 @@ def held_out(doc_id):
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, bits: int = BITS, factors: int = FACTORS,
                  max_rows: int = MAX_ROWS, seed: int = 7) -> FactorizationMachine:
+    ship_package(docs.sparkSession)
     known = (
         labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
