@@ -2,12 +2,10 @@
 Spark functions, so it stays inside whole-stage codegen (no Python UDF)."""
 
 from strata.functions.jsonpath import (
-    as_variant,
     json_first,
     json_path,
     parse_struct,
     to_payload,
-    variant_first,
 )
 from strata.functions.text import clean, concat_nullable, concat_skip_nulls, label_unknown, norm
 from strata.functions.time import (
@@ -24,8 +22,6 @@ from strata.functions.time import (
 
 __all__ = [
     "EPOCH_NTZ",
-    "as_variant",
-    "variant_first",
     "add_interval",
     "millis_since_epoch",
     "clean",

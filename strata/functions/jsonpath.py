@@ -26,23 +26,6 @@ def json_first(payload: str | Column, *paths: str) -> Column:
     return exprs[0] if len(exprs) == 1 else F.coalesce(*exprs)
 
 
-def as_variant(payload: str | Column) -> Column:
-    """Parse JSON text once into a VARIANT; NULL for text that is not JSON."""
-    return F.try_parse_json(_col(payload))
-
-
-def variant_first(variant: str | Column, *paths: str) -> Column:
-    """Like ``json_first`` on an already parsed VARIANT: no re-parse per path.
-
-    Same answers as ``get_json_object``: objects/arrays come back as JSON
-    text, numbers as their text, missing paths as NULL.
-    """
-    if not paths:
-        raise ValueError("variant_first needs at least one path")
-    exprs = [F.try_variant_get(_col(variant), p, "string") for p in paths]
-    return exprs[0] if len(exprs) == 1 else F.coalesce(*exprs)
-
-
 def parse_struct(payload: str | Column, schema: T.StructType) -> Column:
     """Parse with an explicit partial schema (PERMISSIVE: garbage gives a
     struct of NULLs, NULL/empty text gives NULL, wrong-typed leaves NULL)."""

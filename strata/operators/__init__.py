@@ -2,7 +2,6 @@
 
 from strata.operators.dedup import (
     drop_duplicate_messages,
-    drop_replayed_messages,
     duplicate_messages,
     latest_per_key,
     newest_first,
@@ -28,7 +27,6 @@ __all__ = [
     "DuplicateSourceKeys",
     "assert_unique",
     "drop_duplicate_messages",
-    "drop_replayed_messages",
     "duplicate_messages",
     "high_water_mark",
     "incremental_slice",

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.schemas import MESSAGE_ID
 
@@ -44,29 +43,6 @@ def drop_duplicate_messages(df: DataFrame, id_cols: Sequence[str] = MESSAGE_ID,
     return latest_per_key(df, list(id_cols), [F.col(first_by).asc_nulls_last()])
 
 
-def drop_replayed_messages(stream: DataFrame, event_col: str = "kafka_ts", delay: str = "1 hour",
-                           id_cols: Sequence[str] = MESSAGE_ID) -> DataFrame:
-    """Streaming twin of ``drop_duplicate_messages`` (K4): the first copy of
-    a message passes, copies arriving while the watermark is within
-    ``delay`` of its event time are dropped by the dedup state, and copies
-    arriving later are behind the watermark and dropped as late.  State is
-    one entry per message within ``delay``, so it stays bounded.
-
-    ``delay`` must cover how late a *first* delivery can be relative to the
-    newest event time already seen; a first copy later than that is dropped
-    too (watermark semantics).  A zone-less event time is read on the
-    session clock for the watermark.
-    """
-    event = "_strata_event_time"
-    ntz = isinstance(stream.schema[event_col].dataType, T.TimestampNTZType)
-    src = stream.withColumn(event, F.col(event_col).cast("timestamp") if ntz else F.col(event_col))
-    return (
-        src.withWatermark(event, delay)
-        .dropDuplicatesWithinWatermark(list(id_cols))
-        .drop(event)
-    )
-
-
 def duplicate_messages(df: DataFrame, id_cols: Sequence[str] = MESSAGE_ID) -> DataFrame:
     """Messages that landed more than once, with their copy count."""
     return (

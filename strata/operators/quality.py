@@ -74,13 +74,26 @@ class GateResult:
     failures: dict[str, int]
 
 
+class QualityGateFailed(RuntimeError):
+    def __init__(self, gate: GateResult):
+        super().__init__(f"quality gate: {gate.failures}")
+        self.gate = gate
+
+
+def gate_counts(checks: dict[str, DataFrame]) -> DataFrame:
+    """check_name, violations, passed: one row per check, each one aggregate."""
+    parts = [df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
+             for name, df in checks.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn("passed", F.col("violations") == 0)
+
+
 def quality_gate(checks: dict[str, DataFrame]) -> GateResult:
-    """M8: every check DataFrame must be empty.  Each is probed with
-    ``limit(1)``, so a clean table costs one short scan per check."""
-    failures = {}
-    for name, df in checks.items():
-        if df.limit(1).count():
-            failures[name] = 1
+    """M8: every check DataFrame must be empty; failures carry true counts."""
+    rows = gate_counts(checks).filter(~F.col("passed")).collect() if checks else []  # one row per check
+    failures = {r["check_name"]: r["violations"] for r in rows}
     return GateResult(passed=not failures, failures=failures)
 
 
@@ -93,8 +106,10 @@ def fanout_check(left: DataFrame, joined: DataFrame) -> DataFrame:
 
 __all__ = [
     "GateResult",
+    "QualityGateFailed",
     "constraint_violations",
     "fanout_check",
+    "gate_counts",
     "key_violations",
     "layer_reconciliation",
     "match_rate",

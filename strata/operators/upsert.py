@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.dedup import latest_per_key
@@ -24,6 +24,17 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateSourceKeys(f"duplicate source key {dup[0].asDict()}")
 
 
+def unique_source(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df``, failing at run time where several rows have one key (the MERGE
+    cardinality rule): the check is part of the plan, no job of its own."""
+    n = "_strata_rows"
+    text = F.concat(F.lit("duplicate source key "), F.to_json(F.struct(*keys)))
+    return (
+        df.withColumn(n, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+        .filter(F.when(F.col(n) > 1, F.raise_error(text).cast("boolean")).otherwise(F.lit(True))).drop(n)
+    )
+
+
 def _align(updates: DataFrame, target: DataFrame) -> DataFrame:
     return updates.select(*[F.col(c) for c in target.columns])
 
@@ -32,8 +43,8 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
            order: Sequence[str | Column] | None = None, strict: bool = False) -> DataFrame:
     """``MERGE INTO t USING s ON keys WHEN MATCHED UPDATE SET * WHEN NOT MATCHED INSERT *``.
 
-    * ``order=None``: the source row always wins (the plain MERGE).  With
-      ``strict`` a duplicate source key raises, as MERGE does.
+    * ``order=None``: the source row always wins (the plain MERGE).  A duplicate
+      source key raises when the plan runs, as MERGE does (``strict``: at once).
     * ``order`` given: a guarded merge, the row that is newest under ``order``
       wins whether it is in the target or the source.  This is idempotent and
       gives the same state for any split of a feed into batches.
@@ -43,6 +54,7 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     if order is None:
         if strict:
             assert_unique(updates, keys)
+        updates = unique_source(updates, keys)
         kept = target.join(updates.select(*keys), on=keys, how="left_anti")
         return kept.unionByName(updates)
     return latest_per_key(target.unionByName(updates), keys, order)
@@ -61,9 +73,10 @@ def upsert_columns(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     Matched rows take ``update_cols`` from the source and keep every other
     column (for example a generated id); new keys are inserted with source
     values, or ``insert_values`` (Columns over the source row) for columns the
-    source does not carry.
+    source does not carry.  Several source rows for one key are an error.
     """
     keys = list(keys)
+    updates = unique_source(updates, keys)
     insert_values = insert_values or {}
     t = target.withColumn("_in_t", F.lit(True)).alias("t")
     s_cols = [c for c in updates.columns]

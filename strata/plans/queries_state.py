@@ -14,29 +14,30 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.dedup import drop_duplicate_messages, drop_replayed_messages, duplicate_messages
+from strata.operators.dedup import drop_duplicate_messages, duplicate_messages
 from strata.operators.incremental import max_of, slice_after_target
-from strata.operators.quality import constraint_violations, fanout_check, state_diff
+from strata.operators.quality import constraint_violations, fanout_check, gate_counts, state_diff
 from strata.operators.rollup import duplicate_keys
 from strata.operators.upsert import insert_if_absent, sync_columns, upsert, upsert_columns
 from strata.plans import gold, reports, silver
 from strata.plans.queries import CDC_LONG, bronze_api, bronze_cdc, silver_api, silver_cdc, split_mark, table
 from strata.plans.refresh import Layout, refresh_all
-from strata.schemas import CDC_USER_COLUMNS
+from strata.schemas import CDC_USER_COLUMNS, MESSAGE_ID
 from strata.session import materialize, scratch_path
 from strata.sources.changes import envelope_payload, initial_snapshot, snapshot_changes
 from strata.sources.feeds import api_feed
 from strata.sources.files import read_json_tree, write_json_lines
 from strata.sources.tables import VersionedTable
 from strata.streaming.ingest import start_bronze
-from strata.streaming.upsert_stream import start_rate, start_upsert
+from strata.streaming.upsert_stream import start_dedup, start_rate, start_upsert
 
 BRONZE_FIELDS = ["kafka_topic", "kafka_partition", "kafka_offset", "kafka_ts", "ingested_at"]
 
 
 def _early_late(df: DataFrame, share: int = 6):
     mark = split_mark(df, "ingested_at", share)
-    return df.filter(F.col("ingested_at") <= mark), df.filter(F.col("ingested_at") > mark)
+    early = (F.col("ingested_at") <= mark) | F.col("ingested_at").isNull()  # unstamped rows come first
+    return df.filter(early), df.filter(F.col("ingested_at") > mark)
 
 
 def _slices(df: DataFrame, shares: list[int]) -> list[DataFrame]:
@@ -60,7 +61,8 @@ def _slices(df: DataFrame, shares: list[int]) -> list[DataFrame]:
         if prev is not None:
             cond = cond & (F.col("ingested_at") > prev)
         if m is not None:
-            cond = cond & (F.col("ingested_at") <= m)
+            upto = F.col("ingested_at") <= m
+            cond = cond & (upto if prev is not None else upto | F.col("ingested_at").isNull())
         out.append(df.filter(cond))
         prev = m
     return out
@@ -344,8 +346,7 @@ def q_snapshot_fold(spark, sf_dir):
 # -------------------------------------------------------------- streaming
 def _events_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-            .parquet(sf_dir))
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet")  # a file or a folder of part files
 
 
 def q_stream_ingest(spark, sf_dir):
@@ -410,9 +411,8 @@ def q_stream_message_dedup(spark, sf_dir):
         .write.mode("append").parquet(landing)
     stream = (spark.readStream.schema(b.schema).option("maxFilesPerTrigger", spark.sparkContext.defaultParallelism)
               .parquet(landing))
-    t = VersionedTable(spark, f"{root}/bronze")
-    q = start_bronze(drop_replayed_messages(stream, "kafka_ts", "1 hour"), t, f"{root}/_checkpoint",
-                     "bronze_dedup", {"availableNow": True})
+    t = VersionedTable(spark, f"{root}/bronze", buckets=8, bucket_keys=MESSAGE_ID)
+    q = start_dedup(stream, t, f"{root}/_checkpoint", "bronze_dedup", {"availableNow": True})
     q.awaitTermination()
     return t.read().select(*BRONZE_FIELDS)
 
@@ -440,15 +440,16 @@ def q_source_constraints(spark, sf_dir):
 
 
 def q_idempotence(spark, sf_dir):
-    """Run Silver twice over the same Bronze: the second run changes nothing."""
+    """Land the same rows twice and refresh Silver after each: the second run
+    merges them all again and changes nothing."""
     root = scratch_path(spark, "idempotence")
     bronze_t = VersionedTable(spark, f"{root}/bronze")
-    bronze_t.append(bronze_cdc(spark, sf_dir))
     silver_t = VersionedTable(spark, f"{root}/silver", buckets=8, bucket_keys=["id"])
     build = lambda b: silver.cdc_updates(b, "ignore", CDC_LONG)
     rows = []
     first = None
     for run in (1, 2):
+        bronze_t.append(bronze_cdc(spark, sf_dir))  # the second time the same rows land again
         silver.refresh(bronze_t, silver_t, build, ["id"], silver.CDC_ORDER, overlap="3650 DAYS")
         state = silver_t.read().select(*CDC_USER_COLUMNS)
         changed = 0 if first is None else state_diff(first, state).count()
@@ -471,12 +472,7 @@ def q_quality_gate(spark, sf_dir):
         "cdc_email_present": cdc.filter(F.col("email").isNull()),
         "api_birth_year_known": api.filter(F.col("birth_year").isNull()),
     }
-    parts = [df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
-             for name, df in checks.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("passed", F.col("violations") == 0)
+    return gate_counts(checks)
 
 
 REGISTRY = {

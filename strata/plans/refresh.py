@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from strata.operators.quality import QualityGateFailed, fanout_check, key_violations, quality_gate
 from strata.operators.upsert import live_rows
 from strata.plans import gold, silver
-from strata.schemas import API_USER_COLUMNS, CDC_USER_COLUMNS
+from strata.schemas import API_USER_COLUMNS, CDC_SCHEMA, CDC_USER_COLUMNS
 from strata.sources.tables import VersionedTable
 
 
@@ -20,6 +22,9 @@ class Layout:
 
     root: str
     buckets: int = 16
+    files_per_bucket: int = 1
+    #: envelope schema of the change feed: widen it for 64-bit ids or new fields
+    cdc_schema: T.StructType = field(default_factory=lambda: CDC_SCHEMA)
 
     def table(self, spark: SparkSession, name: str, keys: list[str] | None = None) -> VersionedTable:
         if keys:
@@ -31,12 +36,13 @@ def refresh_silver(spark: SparkSession, layout: Layout, deletes: str = "ignore")
     api = silver.refresh(
         layout.table(spark, "bronze/api_users_raw"),
         layout.table(spark, "silver/api_users", ["username"]),
-        silver.api_updates, ["username"], silver.API_ORDER,
+        silver.api_updates, ["username"], silver.API_ORDER, files_per_bucket=layout.files_per_bucket,
     )
     cdc = silver.refresh(
         layout.table(spark, "bronze/cdc_users_raw"),
         layout.table(spark, "silver/cdc_users", ["id"]),
-        lambda b: silver.cdc_updates(b, deletes), ["id"], silver.CDC_ORDER,
+        lambda b: silver.cdc_updates(b, deletes, layout.cdc_schema), ["id"], silver.CDC_ORDER,
+        files_per_bucket=layout.files_per_bucket,
     )
     return {"api_users": api, "cdc_users": cdc}
 
@@ -60,12 +66,30 @@ def refresh_gold(spark: SparkSession, layout: Layout, match: str = "all") -> dic
     return {"users_enriched": enriched_t.latest(), "user_stats": stats_t.latest()}
 
 
+def silver_checks(spark: SparkSession, layout: Layout, match: str = "all") -> dict[str, DataFrame]:
+    """What must be empty before Gold is published: repeated keys in Silver
+    and, where each user may have one record only, rows added by the enrichment join."""
+    api, cdc = read_silver(spark, layout)
+    checks = {"silver_api_unique_username": key_violations(api, ["username"]),
+              "silver_cdc_unique_id": key_violations(cdc, ["id"])}
+    if match == "latest":
+        checks["enrichment_no_fanout"] = fanout_check(api, gold.users_enriched(api, cdc, match))
+    return checks
+
+
 def refresh_all(spark: SparkSession, layout: Layout, deletes: str = "ignore", match: str = "all",
-                incremental_gold: bool = False) -> dict:
-    """Silver for both feeds, then Gold (I13); a failure stops the run.
+                incremental_gold: bool = False, checks=silver_checks) -> dict:
+    """Silver for both feeds, then the quality gate, then Gold (I13, M8); a failure
+    stops the run, and a failed check stops it before Gold (``QualityGateFailed``).
+    ``checks(spark, layout, match)`` gives the gate's frames, None skips it.
     ``incremental_gold`` refreshes Gold from the Silver change instead of
     rebuilding it (see ``refresh_gold_incremental``)."""
     out = refresh_silver(spark, layout, deletes)
+    if checks is not None and layout.table(spark, "silver/api_users").exists() \
+            and layout.table(spark, "silver/cdc_users").exists():
+        gate = quality_gate(checks(spark, layout, match))
+        if not gate.passed:
+            raise QualityGateFailed(gate)
     if incremental_gold:
         out.update(refresh_gold_incremental(spark, layout, match))
     else:
@@ -73,13 +97,18 @@ def refresh_all(spark: SparkSession, layout: Layout, deletes: str = "ignore", ma
     return out
 
 
+_GONE = "_strata_gone"
+
+
 def replace_keys(keys: list[str]):
     """``merge(combine=...)`` rule: every target row of a key present in the
     change is replaced by the change's rows for that key (a key may own
-    several rows, as an API user does under the fan-out join)."""
+    several rows, as an API user does under the fan-out join).  Change rows
+    flagged ``_strata_gone`` only take their key's rows away."""
 
     def combine(target: DataFrame, change: DataFrame) -> DataFrame:
-        return target.join(change.select(*keys).distinct(), keys, "left_anti").unionByName(change)
+        kept = target.drop(_GONE).join(change.select(*keys).distinct(), keys, "left_anti")
+        return kept.unionByName(change.filter(~F.col(_GONE)).drop(_GONE))
 
     return combine
 
@@ -141,10 +170,13 @@ def refresh_gold_incremental(spark: SparkSession, layout: Layout, match: str = "
         redo = api.join(users, "username", "left_semi")
         their_emails = redo.select(F.lower("email").alias("_e")).filter(F.col("_e").isNotNull()).distinct()
         records = cdc.join(their_emails, F.lower(cdc["email"]) == their_emails["_e"], "left_semi")
-        done = enriched_t.merge(gold.users_enriched(redo, records, match), ["username"],
+        # users that left Silver have no row to redo: they go as bare keys
+        rows = gold.users_enriched(redo, records, match).withColumn(_GONE, F.lit(False))
+        gone = users.join(api, "username", "left_anti").withColumn(_GONE, F.lit(True))
+        done = enriched_t.merge(rows.unionByName(gone, allowMissingColumns=True), ["username"],
                                 combine=replace_keys(["username"]), operation="refresh", mark=mark)
         if done is head:  # nobody to redo: only the mark moves
-            enriched_t._commit("mark", head.parts, enriched_t.schema(), mark=mark)
+            enriched_t._commit("mark", head.parts, enriched_t.schema(), base=head, mark=mark)
     stats_t = layout.table(spark, "gold/user_stats_inc")
     stats_t.overwrite(gold.user_stats(enriched_t.read()), operation="replace")
     return {"users_enriched": enriched_t.latest(), "user_stats": stats_t.latest()}

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.jsonpath import as_variant, json_first, json_path, parse_struct, variant_first
+from strata.functions.jsonpath import json_first, json_path, parse_struct
 from strata.functions.text import clean, concat_skip_nulls, norm
 from strata.functions.time import ms_to_ts, year_of
 from strata.operators.dedup import latest_per_key, newest_first
@@ -47,22 +47,24 @@ def __getattr__(name: str):
 
 
 # ----------------------------------------------------------------- API feed
-def parse_api(bronze: DataFrame, paths: dict[str, Sequence[str]] | None = None) -> DataFrame:
-    """Payload fields by shape-tolerant JSON paths (nested first, flat second).
-
-    The payload is parsed once into a VARIANT and every path reads from it;
-    the fence keeps the key filters that follow from re-parsing it.
-    """
-    paths = paths or API_USER_PATHS
-    parsed = bronze.select(as_variant("payload").alias("_v"), "ingested_at", *TRANSPORT)
+def _api_fields(bronze: DataFrame, paths: dict[str, Sequence[str]], keep: Sequence[str],
+                whole: str | None = None) -> DataFrame:
+    """Payload fields by JSON paths, each extracted once per row (the fence
+    keeps filters on them from extracting again).  ``whole`` also gives the
+    document itself, NULL where the payload is no JSON."""
     return fenced_select(
-        parsed,
-        *[variant_first("_v", *p).alias(name) for name, p in paths.items()],
-        "ingested_at",
-        *TRANSPORT,
+        bronze,
+        *[json_first("payload", *p).alias(name) for name, p in paths.items()],
+        *([json_path("payload", "$").alias(whole)] if whole else []),
+        *keep,
     )
 
 
+def parse_api(bronze: DataFrame, paths: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """Payload fields by shape-tolerant JSON paths (nested first, flat second)."""
+    return _api_fields(bronze, paths or API_USER_PATHS, ("ingested_at", *TRANSPORT))
+
+
 def clean_api(parsed: DataFrame) -> DataFrame:
     """Required keys (checked before trimming), then normalised columns.
     Fields parsed beyond the standard ones (a wider path map, I14) are
@@ -98,17 +100,13 @@ def api_users(bronze: DataFrame, paths: dict[str, Sequence[str]] | None = None)
 
 
 def api_rejects(bronze: DataFrame) -> DataFrame:
-    """Messages the API build drops, with the reason (M7)."""
-    p = bronze.select(
-        "kafka_topic", *TRANSPORT, "ingested_at", "payload",
-        json_path("payload", "$").alias("_doc"),
-        json_first("payload", *API_USER_PATHS["username"]).alias("_u"),
-        json_first("payload", *API_USER_PATHS["email"]).alias("_e"),
-    )
+    """Messages the API build drops, with the reason (M7): the same parse as the build."""
+    keep = ("kafka_topic", *TRANSPORT, "ingested_at", "payload")
+    p = _api_fields(bronze, {k: API_USER_PATHS[k] for k in ("username", "email")}, keep, whole="_doc")
     reason = (
         F.when(F.col("_doc").isNull(), F.lit("unparseable"))
-        .when(F.col("_u").isNull(), F.lit("missing_username"))
-        .when(F.col("_e").isNull(), F.lit("missing_email"))
+        .when(F.col("username").isNull(), F.lit("missing_username"))
+        .when(F.col("email").isNull(), F.lit("missing_email"))
     )
     return (
         p.withColumn("reason", reason)
@@ -180,15 +178,23 @@ def cdc_users(bronze: DataFrame, deletes: str = "ignore", schema: T.StructType =
     return latest.select(*CDC_USER_COLUMNS)
 
 
-def cdc_rejects(bronze: DataFrame, schema: T.StructType = CDC_SCHEMA) -> DataFrame:
-    """Change messages the build drops, with the reason (M7)."""
-    p = bronze.withColumn("_d", parse_struct("payload", schema))
+def cdc_rejects(bronze: DataFrame, schema: T.StructType = CDC_SCHEMA, deletes: str = "ignore") -> DataFrame:
+    """Change messages the build drops under the same delete mode, with the reason (M7)."""
+    p = fenced_select(
+        bronze.select(parse_struct("payload", schema).alias("_d"), "kafka_topic", *TRANSPORT, "ingested_at", "payload"),
+        F.col("_d.op").alias("op"), F.col("_d.before.id").alias("before_id"), F.col("_d.after.id").alias("id"),
+        F.col("_d.after.name").alias("name"), "kafka_topic", *TRANSPORT, "ingested_at", "payload")
+    is_del = F.col("op") == "d"
+    reason = F.when(F.col("op").isNull(), F.lit("no_envelope"))
+    if deletes == "ignore":
+        reason = reason.when(is_del, F.lit("delete_ignored"))
+    else:
+        reason = (reason.when(is_del & F.col("before_id").isNull(), F.lit("delete_without_id"))
+                  .when(is_del, F.lit(None).cast("string")))
     reason = (
-        F.when(F.col("_d").isNull() | F.col("_d.op").isNull(), F.lit("no_envelope"))
-        .when(F.col("_d.op") == "d", F.lit("delete_ignored"))
-        .when(~F.col("_d.op").isin(*UPSERT_OPS), F.lit("unknown_op"))
-        .when(F.col("_d.after.id").isNull(), F.lit("missing_id"))
-        .when(F.col("_d.after.name").isNull(), F.lit("missing_name"))
+        reason.when(~F.col("op").isin(*UPSERT_OPS), F.lit("unknown_op"))
+        .when(F.col("id").isNull(), F.lit("missing_id"))
+        .when(F.col("name").isNull(), F.lit("missing_name"))
     )
     return (
         p.withColumn("reason", reason)
@@ -218,15 +224,13 @@ def rebuild(bronze, silver, build: Callable[[DataFrame], DataFrame], files_per_b
 def unconsumed(bronze, mark: str | None, overlap: str | None = None) -> DataFrame | None:
     """Bronze rows a Silver table has not consumed yet, or None if nothing.
 
-    ``mark`` records the Bronze version (and newest landing time) consumed.
-    Folders linked by the head but not by the consumed version are read:
-    folders that appends added are read whole, so no row is lost to an equal
-    or older landing stamp (T10); folders that a compaction wrote (they hold
-    consumed rows too) are read from ``ingested_at >= mark`` (minus
-    ``overlap``), and the guarded merge makes re-read rows harmless.  Which
-    commit added a folder comes from the commits since the consumed version
-    (one Spark pass over the log).  Only if those commits have expired does it
-    fall back to ``ingested_at >= mark`` over the whole table.
+    ``mark`` records the Bronze version consumed.  Read are exactly the
+    folders that append commits added since then, taken from those commits,
+    so no row is lost to an equal or older landing stamp (T10), nor to a
+    compaction that has linked its rows into another folder since.  ``overlap`` re-reads,
+    besides, rows that landed up to that long before the mark's newest stamp.
+    Where a commit of the range has expired, or its folder is gone, all of Bronze is
+    read again; the guarded merge makes re-read rows harmless.
     """
     head = bronze.latest()
     if head is None:
@@ -236,56 +240,34 @@ def unconsumed(bronze, mark: str | None, overlap: str | None = None) -> DataFram
     m = json.loads(mark)
     if m["bronze_version"] == head.version:
         return None
-    bound = None
-    if m.get("ingested_at") is not None:
-        bound = F.lit(m["ingested_at"]).cast("timestamp_ntz")
-        if overlap:
-            bound = bound - F.expr(f"INTERVAL {overlap}")
-    try:
-        seen = bronze.commit_at(m["bronze_version"])
-        appended = _appended_since(bronze, seen.version, head.version)
-    except Exception:  # expired entries
-        seen = None
-    if seen is None:
-        return bronze.read() if bound is None else bronze.read().filter(F.col("ingested_at") >= bound)
-    fresh = [p for p in head.parts if p not in set(seen.parts)]
-    whole = [p for p in fresh if p in appended]
-    rewritten = [p for p in fresh if p not in appended]
-    frames = []
-    if whole:
-        frames.append(bronze._read_parts(head, whole))
-    if rewritten:
-        part = bronze._read_parts(head, rewritten)
-        frames.append(part if bound is None else part.filter(F.col("ingested_at") >= bound))
+    added = _appended_since(bronze, m["bronze_version"], head)
+    if added is None:
+        return bronze.read()
+    frames = [bronze._read_parts(head, added)] if added else []
+    if overlap and m.get("ingested_at") is not None:
+        bound = F.lit(m["ingested_at"]).cast("timestamp_ntz") - F.expr(f"INTERVAL {overlap}")
+        frames.append(bronze.read().filter(F.col("ingested_at") >= bound))
     if not frames:
         return None
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-def _appended_since(bronze, since: int, upto: int) -> set[str]:
-    """Folders that append commits added after version ``since`` (up to
-    ``upto``), from one Spark read of exactly those log entries: each
-    folder's first commit in the range is the one that added it.  Only
-    folder names reach the driver.  Raises if a commit of the range has
-    expired (a missing entry fails the read)."""
-    if upto <= since:
-        return set()
+    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+
+
+def _appended_since(bronze, since: int, head) -> list[str] | None:
+    """Folders that commits after version ``since`` appended, from one Spark read
+    of exactly those log entries: an append's own folder is the last it lists.
+    Only folder names reach the driver.  None where an entry of the range or
+    such a folder no longer exists, or something else than appends and compactions changed the table."""
     from strata.sources.tables import LOG_SCHEMA
 
-    entries = [bronze._entry(v) for v in range(since + 1, upto + 1)]  # exactly the range, read in parallel
-    log = bronze.spark.read.schema(LOG_SCHEMA).json(entries)
-    first = (
-        log.select("version", "operation", F.explode("parts").alias("part"))
-        .groupBy("part")
-        .agg(F.min_by("operation", "version").alias("op"))
-    )
-    rows = first.select("part", "op").collect()
-    if log.select("version").distinct().count() != upto - since:
-        raise LookupError(f"commits between {since} and {upto} have expired")
-    return {r["part"] for r in rows if r["op"] == "append"}
+    names = {bronze._entry(v) for v in range(since, head.version + 1)}  # the consumed version too
+    if not all(bronze._fs.exists(n) for n in names):
+        return None
+    log = bronze.spark.read.schema(LOG_SCHEMA).json(sorted(names)).filter(F.col("version") > since)
+    rows = log.select("operation", F.when(F.col("operation") == "append", F.element_at("parts", -1)).alias("part")).collect()
+    if any(r["operation"] not in ("append", "compact", "mark") for r in rows):
+        return None
+    added = [r["part"] for r in rows if r["part"]]
+    return added if all(bronze._fs.exists(f"{bronze.root}/{p}") for p in added) else None
 
 
 def refresh(
@@ -327,5 +309,5 @@ def refresh(
                           files_per_bucket=files_per_bucket)
     if commit is head:  # every fresh row was rejected: only the mark moves
         commit = silver._commit("mark", head.parts if head else [],
-                                silver.schema() if head else updates.schema, mark=consumed())
+                                silver.schema() if head else updates.schema, base=head, mark=consumed())
     return commit

@@ -79,28 +79,3 @@ def change_envelope(image: T.StructType | None = None) -> T.StructType:
 
 
 CDC_SCHEMA = change_envelope()
-
-ENRICHED_COLUMNS = [
-    "username",
-    "full_name",
-    "gender",
-    "email",
-    "birth_year",
-    "phone",
-    "postcode",
-    "db_id",
-    "department",
-    "last_db_update",
-    "api_ingested_at",
-]
-
-USER_STATS_COLUMNS = [
-    "gender",
-    "department",
-    "birth_year",
-    "total_users",
-    "unique_emails",
-    "matched_db_users",
-    "first_seen",
-    "last_seen",
-]

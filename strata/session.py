@@ -75,12 +75,15 @@ _LOCAL_ROOT: dict[str, str] = {}
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; when unset (tests only) a private folder is created
-    once per session and registered as the checkpoint dir.
+    Read from the session; when unset (tests on a ``local`` master only) a
+    private folder is created once per session and registered as the checkpoint
+    dir.  A cluster has to name a folder that all its executors share.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     key = spark.sparkContext.applicationId
     if key not in _LOCAL_ROOT:
         _LOCAL_ROOT[key] = tempfile.mkdtemp(prefix="strata-ckpt-")

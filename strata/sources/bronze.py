@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.jsonpath import as_variant, variant_first
+from strata.functions.jsonpath import json_first
 from strata.functions.time import to_millis_precision
 from strata.operators.fence import fenced_select
 from strata.schemas import BRONZE_COLUMNS
@@ -58,13 +58,8 @@ def split_by_topic(bronze: DataFrame, topics: Sequence[str]) -> dict[str, DataFr
 def typed_view(bronze: DataFrame, fields: dict[str, Sequence[str]],
                keep: Sequence[str] = ("ingested_at",)) -> DataFrame:
     """Typed projection over raw payloads, the query-time Bronze read.
-    The payload is parsed once (VARIANT) for all fields."""
-    parsed = bronze.select(as_variant("payload").alias("_v"), *keep)
-    return fenced_select(
-        parsed,
-        *[variant_first("_v", *paths).alias(name) for name, paths in fields.items()],
-        *keep,
-    )
+    Each field is extracted once per row, by the same paths as Silver's."""
+    return fenced_select(bronze, *[json_first("payload", *paths).alias(name) for name, paths in fields.items()], *keep)
 
 
 def spread_small_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

@@ -12,8 +12,10 @@ it is reading.
 
 Bucketed tables hash rows into ``pmod(hash(keys), buckets)``; an upsert
 rewrites only the buckets its updates touch and re-links the others, so its
-cost follows the change, not the table.  One writer per table; a second writer
-racing for the same version number fails on the exclusive create.
+cost follows the change, not the table.  Several writers may commit: a version
+number is created exclusively after the head its folders were linked from, and
+a writer that comes second links its folders after the first one's, or merges
+again, or raises ``CommitConflict``.
 
 When a catalog with native versioning is configured (Iceberg, Delta), use
 ``spark.table`` / ``MERGE`` / ``VERSION AS OF`` directly; see ``catalog_*``.
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import json
 import math
+import time
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
@@ -32,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.time import ts_literal
+from strata.operators.upsert import assert_unique
 from strata.session import scratch_path
 
 BUCKET_COL = "sb"
@@ -155,6 +159,12 @@ class Commit:
         return Commit(**d)
 
 
+def widen(schema: T.StructType, other: T.StructType) -> T.StructType:
+    """``schema`` with the columns of ``other`` that it lacks, at its end."""
+    have = set(schema.names)
+    return T.StructType(schema.fields + [T.StructField(f.name, f.dataType, True) for f in other.fields if f.name not in have])
+
+
 def encode_layout(parts: list[str]) -> dict[str, str]:
     """Bucket folders ``<folder>/sb=<n>`` as ``{folder: "0-41,43,45-63"}``."""
     by_folder: dict[str, list[int]] = {}
@@ -267,7 +277,7 @@ class VersionedTable:
         if self._fs.exists(pointer):
             try:
                 v = int(self._fs.read_text(pointer).strip())
-            except (ValueError, Exception):
+            except ValueError:  # a pointer that another writer is just replacing
                 v = None
         if v is None or not self._fs.exists(self._entry(v)):
             versions = self._versions()
@@ -280,8 +290,32 @@ class VersionedTable:
         return self._head_version() is not None
 
     def commit_at(self, version: int) -> Commit:
+        # the entry becomes visible with its creation, a moment before its text
+        for wait in (0.01, 0.1, 1.0):
+            try:
+                return Commit.from_json(self._fs.read_text(self._entry(version)))
+            except json.JSONDecodeError:
+                time.sleep(wait)
         return Commit.from_json(self._fs.read_text(self._entry(version)))
 
+    def _relink(self, operation: str, base: Commit | None, parts_on, schema_on, keep_mark: bool = False,
+                **extra) -> Commit:
+        """Commit ``parts_on(head)`` on ``base``; where another commit came
+        first, on that one, until it holds.  ``parts_on`` raises
+        ``CommitConflict`` where the newer head leaves no room for the change."""
+        head = base
+        while True:
+            parts, schema = parts_on(head), schema_on(head)
+            if keep_mark:
+                extra["mark"] = head.mark
+            try:
+                return self._commit(operation, parts, schema, base=head, **extra)
+            except CommitConflict:
+                newer = self.latest()
+                if newer is None or (head is not None and newer.version <= head.version):
+                    raise
+                head = newer
+
     def latest(self) -> Commit | None:
         v = self._head_version()
         return None if v is None else self.commit_at(v)
@@ -298,8 +332,12 @@ class VersionedTable:
             return self.spark.createDataFrame([], LOG_SCHEMA)
         return self.spark.read.schema(LOG_SCHEMA).option("pathGlobFilter", "*.json").json(self._log)
 
-    def _commit(self, operation: str, parts: list[str], schema: T.StructType, **extra) -> Commit:
-        head = self.latest()
+    def _commit(self, operation: str, parts: list[str], schema: T.StructType, *, base: Commit | None,
+                **extra) -> Commit:
+        """Publish the version after ``base``, the head that ``parts`` was made
+        from.  A commit that another writer made meanwhile owns that version
+        already, so this raises ``CommitConflict`` and nothing is lost."""
+        head = base
         version = 0 if head is None else head.version + 1
         # commit time is strictly increasing even on a coarse clock
         now = datetime.now(timezone.utc).replace(tzinfo=None)
@@ -370,8 +408,9 @@ class VersionedTable:
     def schema(self, version: int | None = None) -> T.StructType:
         return T.StructType.fromJson(json.loads(self.resolve(version).schema))
 
-    def _read_parts(self, commit: Commit, parts: list[str] | None = None) -> DataFrame:
-        schema = T.StructType.fromJson(json.loads(commit.schema))
+    def _read_parts(self, commit: Commit, parts: list[str] | None = None,
+                    schema: T.StructType | None = None) -> DataFrame:
+        schema = schema or T.StructType.fromJson(json.loads(commit.schema))
         parts = commit.parts if parts is None else parts
         if not parts:
             return self.spark.createDataFrame([], schema)
@@ -448,9 +487,9 @@ class VersionedTable:
             return None
         now = self.latest()
         old, new = self._bucket_map(then), self._bucket_map(now)
-        touched = [b for b in sorted(new) if old.get(b) != new[b]]
+        touched = [b for b in sorted(old.keys() | new.keys()) if old.get(b) != new.get(b)]
         return (self._read_parts(then, [old[b] for b in touched if b in old]),
-                self._read_parts(now, [new[b] for b in touched]))
+                self._read_parts(now, [new[b] for b in touched if b in new]))
 
     def _bucket_map(self, commit: Commit | None) -> dict[int, str]:
         if commit is None or not self.buckets:
@@ -495,7 +534,9 @@ class VersionedTable:
 
     def overwrite(self, df: DataFrame, operation: str = "overwrite", files_per_bucket: int = 1,
                   **extra) -> Commit:
-        """Publish ``df`` as the whole new state (replace-table, A9)."""
+        """Publish ``df`` as the whole new state (replace-table, A9).  Raises
+        ``CommitConflict`` if another commit was made meanwhile."""
+        base = self.latest()
         rel, path = self._next_data_dir()
         if self.buckets:
             self._write_bucketed(df, rel, path, files_per_bucket, self.buckets)
@@ -507,13 +548,15 @@ class VersionedTable:
         else:
             df.write.parquet(path)
             parts = [rel]
-        return self._commit(operation, parts, df.schema, **extra)
+        return self._commit(operation, parts, df.schema, base=base, **extra)
 
     def append(self, df: DataFrame, skip_empty: bool = False, **extra) -> Commit | None:
         """Add rows as a new version (Bronze); the row count is observed
         during the write and recorded in the commit summary.  With
         ``skip_empty`` an empty input commits nothing and returns the head
-        (its empty folder is never linked; expiry removes it)."""
+        (its empty folder is never linked; expiry removes it).  Columns the
+        table does not have yet are added to its schema (NULL in older rows).
+        A commit made meanwhile stays: the folder is linked after it."""
         if self.buckets:
             raise ValueError("append on a bucketed table: use merge")
         head = self.latest()
@@ -525,9 +568,11 @@ class VersionedTable:
         summary = dict(extra.pop("summary", {}) or {})
         summary["records"] = str(seen.get["records"])
         extra["summary"] = summary
-        parts = (head.parts if head else []) + [rel]
-        schema = df.schema if head is None else T.StructType.fromJson(json.loads(head.schema))
-        return self._commit("append", parts, schema, **extra)
+        return self._relink(
+            "append", head,
+            lambda h: (h.parts if h else []) + [rel],
+            lambda h: df.schema if h is None else widen(T.StructType.fromJson(json.loads(h.schema)), df.schema),
+            **extra)
 
     def merge(
         self,
@@ -543,7 +588,7 @@ class VersionedTable:
         """Upsert ``updates`` into the table, rewriting only touched buckets.
 
         ``order=None`` is the plain MERGE (update rows replace target rows;
-        update keys must be unique).  With ``order`` the merge is guarded: the
+        update keys must be unique, else ``DuplicateSourceKeys``).  With ``order`` the merge is guarded: the
         newest row under ``order`` wins whichever side it is on.
 
         ``updates`` is computed once: it is written to a fresh folder under
@@ -556,7 +601,10 @@ class VersionedTable:
         already satisfies, and each task writes its buckets directly: a
         single shuffle.  ``combine(target_slice, updates)`` plugs in any
         other row algebra instead (one more shuffle to regroup by bucket).
-        Returns the head unchanged when ``updates`` is empty.
+        Returns the head unchanged when ``updates`` is empty.  New columns of
+        ``updates`` are added to the table (NULL in older rows).  Where another
+        writer committed meanwhile, the new buckets are linked after that
+        commit, or, if it rewrote one of them, merged again onto its rows.
         """
         if not self.buckets:
             raise ValueError("merge needs a bucketed table")
@@ -584,34 +632,53 @@ class VersionedTable:
             if not touched:
                 return head
             staged = self.spark.read.schema(updates.schema).parquet(stage)
-            current = self._bucket_map(head)
-            schema = (
-                T.StructType.fromJson(json.loads(head.schema)) if head is not None else updates.schema
-            )
-            if head is not None:
-                target = self._read_parts(head, [current[b] for b in touched if b in current])
-            else:
-                target = self.spark.createDataFrame([], schema)
-            rel, path = self._next_data_dir()
-            if combine is not None:
-                merged = combine(target, staged)
-                self._write_bucketed(merged, rel, path, files_per_bucket, len(touched))
-            else:
-                merged = self._merge_rows(target, staged, keys, order, len(touched), files_per_bucket)
-                merged.write.partitionBy(BUCKET_COL).parquet(path)
-                merged = merged.drop(BUCKET_COL)
-            for b in touched:
-                current[b] = f"{rel}/{BUCKET_COL}={b}"
-            parts = [current[b] for b in sorted(current)]
-            summary = dict(extra.pop("summary", {}) or {})
-            summary.update({"touched_buckets": str(len(touched)), "total_buckets": str(self.buckets),
-                            "change_rows": str(got["rows"])})
-            return self._commit(operation, parts, merged.schema, summary=summary, **extra)
+            if combine is None and order is None:
+                assert_unique(staged, keys)
+            extra["summary"] = {**(extra.pop("summary", None) or {}), "touched_buckets": str(len(touched)),
+                                "total_buckets": str(self.buckets), "change_rows": str(got["rows"])}
+            while True:
+                rel, schema = self._write_merge(head, staged, touched, keys, order, combine, files_per_bucket)
+                base = self._bucket_map(head)
+
+                def relinked(h: Commit | None) -> list[str]:
+                    now = self._bucket_map(h)
+                    if any(now.get(b) != base.get(b) for b in touched):
+                        raise CommitConflict(f"{self.root}: a touched bucket was rewritten meanwhile")
+                    return [f for _, f in sorted({**now, **{b: f"{rel}/{BUCKET_COL}={b}" for b in touched}}.items())]
+
+                try:
+                    return self._relink(operation, head, relinked,
+                                        lambda h: schema if h is None else widen(
+                                            T.StructType.fromJson(json.loads(h.schema)), schema), **extra)
+                except CommitConflict:
+                    newer = self.latest()
+                    if newer is None or (head is not None and newer.version <= head.version):
+                        raise
+                    head = newer  # another writer changed a touched bucket: merge again, onto its state
         finally:
             # the staged change is only an input of this merge: once the merge
             # committed (or failed) it goes, so scratch does not grow per batch
             _FS(self.spark, stage).delete(stage)
 
+    def _write_merge(self, head: Commit | None, staged: DataFrame, touched: list[int], keys: list[str],
+                     order: list[Column] | None, combine, files_per_bucket: int) -> tuple[str, T.StructType]:
+        """Write the merged rows of the touched buckets; their folder and schema."""
+        current = self._bucket_map(head)
+        schema = staged.schema if head is None else widen(T.StructType.fromJson(json.loads(head.schema)), staged.schema)
+        if head is not None:
+            target = self._read_parts(head, [current[b] for b in touched if b in current], schema)
+        else:
+            target = self.spark.createDataFrame([], schema)
+        rel, path = self._next_data_dir()
+        if combine is not None:
+            merged = combine(target, staged)
+            self._write_bucketed(merged, rel, path, files_per_bucket, len(touched))
+        else:
+            merged = self._merge_rows(target, staged, keys, order, len(touched), files_per_bucket)
+            merged.write.partitionBy(BUCKET_COL).parquet(path)
+            merged = merged.drop(BUCKET_COL)
+        return rel, merged.schema
+
     def _merge_rows(self, target: DataFrame, updates: DataFrame, keys: list[str],
                     order: list[Column] | None, n_touched: int, files_per_bucket: int) -> DataFrame:
         """Newest row per key over target slice + updates, clustered by
@@ -620,7 +687,7 @@ class VersionedTable:
 
         src = "_strata_src"
         both = target.withColumn(src, F.lit(0)).unionByName(
-            updates.select(*target.columns).withColumn(src, F.lit(1)))
+            updates.withColumn(src, F.lit(1)), allowMissingColumns=True)
         both, cols = self._cluster(both, n_touched, files_per_bucket, keys)
         # updates win ties, so the plain MERGE is "updates first"
         rank = [*(order or []), F.col(src).desc()]
@@ -664,10 +731,20 @@ class VersionedTable:
         out_files = max(1, math.ceil(total / target_file_bytes))
         rel, path = self._next_data_dir()
         self._read_parts(head, [p for p in head.parts if p in small]).repartition(out_files).write.parquet(path)
-        kept = [p for p in head.parts if p not in small]
-        self._commit("compact", kept + [rel], T.StructType.fromJson(json.loads(head.schema)),
-                     mark=head.mark, summary={"rewritten_files": str(n_files)})
-        return {"status": "compacted", "rewritten_files": n_files, "added_files": self.size_summary()[0]}
+
+        def relinked(h: Commit) -> list[str]:
+            if not set(small) <= set(h.parts):
+                raise CommitConflict(f"{self.root}: a compacted folder was replaced meanwhile")
+            return [p for p in h.parts if p not in small] + [rel]
+
+        self._relink("compact", head, relinked, lambda h: T.StructType.fromJson(json.loads(h.schema)),
+                     keep_mark=True, summary={"rewritten_files": str(n_files)})
+        return {"status": "compacted", "rewritten_files": n_files, "added_files": self._files_in(rel)}
+
+    def _files_in(self, rel: str) -> int:
+        """Data files under one data folder."""
+        return (self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                .option("recursiveFileLookup", "true").load(f"{self.root}/{rel}").select("path").count())
 
     def _compact_buckets(self, head: Commit, target_file_bytes: int, min_input_files: int) -> dict:
         per_bucket = (
@@ -694,12 +771,16 @@ class VersionedTable:
         slices = max(1, math.ceil(frag_bytes / target_file_bytes / len(frag)))
         keyed, _ = self._cluster(self._read_parts(head, [current[b] for b in frag]), len(frag), slices)
         keyed.drop(SUB_COL).write.partitionBy(BUCKET_COL).parquet(path)
-        for b in frag:
-            current[b] = f"{rel}/{BUCKET_COL}={b}"
-        self._commit("compact", [current[b] for b in sorted(current)],
-                     T.StructType.fromJson(json.loads(head.schema)), mark=head.mark,
+
+        def relinked(h: Commit) -> list[str]:
+            now = self._bucket_map(h)
+            if any(now.get(b) != current[b] for b in frag):
+                raise CommitConflict(f"{self.root}: a compacted bucket was rewritten meanwhile")
+            return [f for _, f in sorted({**now, **{b: f"{rel}/{BUCKET_COL}={b}" for b in frag}}.items())]
+
+        self._relink("compact", head, relinked, lambda h: T.StructType.fromJson(json.loads(h.schema)), keep_mark=True,
                      summary={"rewritten_files": str(rewritten), "rewritten_buckets": str(len(frag))})
-        return {"status": "compacted", "rewritten_files": rewritten, "added_files": self.size_summary()[0]}
+        return {"status": "compacted", "rewritten_files": rewritten, "added_files": self._files_in(rel)}
 
     def expirable(self, older_than: datetime, retain_last: int) -> DataFrame:
         """Versions older than ``older_than`` beyond the ``retain_last`` newest.

@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions.time import truncate
+from strata.operators.dedup import drop_duplicate_messages
+from strata.schemas import MESSAGE_ID
 from strata.sources.tables import VersionedTable
 
 
@@ -41,6 +43,16 @@ def start_upsert(stream: DataFrame, table: VersionedTable, build: Callable[[Data
     return writer.start()
 
 
+def start_dedup(stream: DataFrame, table: VersionedTable, checkpoint: str, query_name: str,
+                trigger: dict | None = None, first_by: str = "ingested_at") -> StreamingQuery:
+    """Land each message once (K4): a guarded merge on the message identity
+    keeps the earliest landed copy.  No watermark: a first copy that comes late
+    is kept however late it is, and any later copy changes nothing.  ``table`` is
+    bucketed by the message identity, which is its state."""
+    return start_upsert(stream, table, lambda b: drop_duplicate_messages(b, first_by=first_by), MESSAGE_ID,
+                        [F.col(first_by).asc_nulls_last()], checkpoint, query_name, trigger)
+
+
 def windowed_counts(stream: DataFrame, ts: str, window: str = "1 minute",
                     watermark: str = "10 minutes", alias: str = "events") -> DataFrame:
     """Event-time counts per window with a watermark bounding the state (K6).
@@ -101,6 +113,7 @@ def progress_offsets(query: StreamingQuery) -> list[dict]:
 __all__ = [
     "merge_batches",
     "progress_offsets",
+    "start_dedup",
     "start_rate",
     "start_upsert",
     "truncate",

@@ -23,16 +23,16 @@ def by_key(df, key):
 
 def test_fx1_api_users(spark):
     got = by_key(silver.api_users(api_bronze(spark)), "username")
-    assert set(got) == {"anna1", "bobby", "hoangnv", "objdob", "solo"}
-    assert got["anna1"] == dict(first_name="Anna", last_name="Lind", full_name="Anna Lind", gender="female",
-                                email="anna@example.com", username="anna1", birth_year=1988, phone="555-01",
-                                postcode="70123", ingested_at=ts(1))
-    assert got["hoangnv"]["full_name"] == "Hoang Le"  # tie on time: higher offset wins
-    assert got["hoangnv"]["phone"] == "0911111111"
-    assert got["bobby"]["email"] == "bob@example.com" and got["bobby"]["birth_year"] == 1990
-    assert got["objdob"]["full_name"] == "" and got["objdob"]["birth_year"] is None  # T4, T5
-    assert got["solo"]["full_name"] == "Solo" and got["solo"]["birth_year"] is None  # T3
-    assert got["solo"]["gender"] is None
+    assert set(got) == {"agedob", "iokafor", "kofi", "mono", "teo.b"}
+    assert got["teo.b"] == dict(first_name="Teodor", last_name="Brandt", full_name="Teodor Brandt", gender="male",
+                                email="teo@mail.test", username="teo.b", birth_year=2001, phone="07-77",
+                                postcode="9020", ingested_at=ts(1))
+    assert got["iokafor"]["full_name"] == "Ines Silva"  # tie on time: higher offset wins
+    assert got["iokafor"]["phone"] == "222"
+    assert got["kofi"]["email"] == "kofi@mail.test" and got["kofi"]["birth_year"] == 1984
+    assert got["agedob"]["full_name"] == "" and got["agedob"]["birth_year"] is None  # T4, T5
+    assert got["mono"]["full_name"] == "Mono" and got["mono"]["birth_year"] is None  # T3
+    assert got["mono"]["gender"] is None
 
 
 def test_fx1_rejects(spark):
@@ -42,17 +42,17 @@ def test_fx1_rejects(spark):
 
 def test_fx2_cdc_ignore(spark):
     got = by_key(silver.cdc_users(cdc_bronze(spark)), "id")
-    assert set(got) == {1, 2, 4}
-    assert got[2]["name"] == "Bob Tran" and got[2]["email"] == "bob@example.com"
-    assert got[2]["department"] == "Marketing"
-    assert got[4]["department"] == "Platform" and got[4]["op"] == "u"
-    assert got[4]["source_ts"] == datetime(2026, 1, 1, 0, 0, 2, 500000)
-    assert got[1]["source_ts"] == datetime(2026, 1, 1)
+    assert set(got) == {11, 12, 14}
+    assert got[12]["name"] == "Kofi Zed" and got[12]["email"] == "kofi@mail.test"
+    assert got[12]["department"] == "Support"
+    assert got[14]["department"] == "Research" and got[14]["op"] == "u"
+    assert got[14]["source_ts"] == datetime(2026, 1, 1, 0, 0, 2, 500000)
+    assert got[11]["source_ts"] == datetime(2026, 1, 1)
 
 
 def test_fx2_cdc_apply(spark):
     got = by_key(silver.cdc_users(cdc_bronze(spark), deletes="apply"), "id")
-    assert set(got) == {2, 4}
+    assert set(got) == {12, 14}
 
 
 def test_fx2_op_frequency(spark):
@@ -71,15 +71,15 @@ def test_fx4_gold(spark):
     enriched = gold.users_enriched(api, cdc)
     e = by_key(enriched, "username")
     assert len(e) == 5
-    assert (e["bobby"]["db_id"], e["bobby"]["department"]) == (2, "Marketing")
-    assert (e["hoangnv"]["db_id"], e["hoangnv"]["department"]) == (4, "Platform")
-    assert all(e[u]["db_id"] is None for u in ("anna1", "objdob", "solo"))
+    assert (e["kofi"]["db_id"], e["kofi"]["department"]) == (12, "Support")
+    assert (e["iokafor"]["db_id"], e["iokafor"]["department"]) == (14, "Research")
+    assert all(e[u]["db_id"] is None for u in ("teo.b", "agedob", "mono"))
     rate = reports.overall_match_rate(enriched).first()
     assert (rate["total"], rate["matched"], rate["match_pct"]) == (5, 2, 40.0)
     stats = {(r["gender"], r["department"], r["birth_year"]): r.asDict()
              for r in gold.user_stats(enriched).collect()}
-    assert set(stats) == {("female", "unknown", 1988), ("male", "Marketing", 1990),
-                          ("male", "Platform", 1995), ("unknown", "unknown", None)}
+    assert set(stats) == {("male", "unknown", 2001), ("male", "Support", 1984),
+                          ("female", "Research", 1979), ("unknown", "unknown", None)}
     u = stats[("unknown", "unknown", None)]
     assert (u["total_users"], u["unique_emails"], u["matched_db_users"]) == (2, 2, 0)
     assert (u["first_seen"], u["last_seen"]) == (ts(3), ts(4))
@@ -88,16 +88,16 @@ def test_fx4_gold(spark):
 
 
 def test_fx5_walkthrough(spark):
-    users = [("hoangnv", "male", 1995)] + [(f"user{i}", "female", 1990 + i) for i in range(1, 6)]
+    users = [("walker0", "male", 1971)] + [(f"walker{i}", "female", 1960 + i) for i in range(1, 6)]
     payloads = [
-        f'{{"first_name":"F{u}","last_name":"L","gender":"{g}","email":"{u}@example.com",'
+        f'{{"first_name":"F{u}","last_name":"L","gender":"{g}","email":"{u}@mail.test",'
         f'"username":"{u}","dob":"{y}-01-01"}}' for u, g, y in users
     ]
     api = silver.api_users(bronze_rows(spark, "users_created", payloads, [1] * 6))
     seeds = [
-        '{"after":{"id":1,"name":"Seed One","email":"seed1@example.com","department":"IT"},"op":"r","ts_ms":1}',
-        '{"after":{"id":2,"name":"Seed Two","email":"seed2@example.com","department":"HR"},"op":"r","ts_ms":1}',
-        '{"after":{"id":3,"name":"Seed Three","email":"seed3@example.com","department":"Ops"},"op":"r","ts_ms":1}',
+        '{"after":{"id":1,"name":"First Row","email":"row1@mail.test","department":"Ops"},"op":"r","ts_ms":1}',
+        '{"after":{"id":2,"name":"Second Row","email":"row2@mail.test","department":"Lab"},"op":"r","ts_ms":1}',
+        '{"after":{"id":3,"name":"Third Row","email":"row3@mail.test","department":"Desk"},"op":"r","ts_ms":1}',
     ]
     cdc = silver.cdc_users(bronze_rows(spark, "postgres.public.users", seeds, [1, 1, 1]))
     enriched = gold.users_enriched(api, cdc)

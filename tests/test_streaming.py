@@ -101,9 +101,9 @@ def test_two_topics_two_queries(spark, tmp_path):
     assert tables["postgres.public.users"].read().count() == bronze_cdc(spark, SF_SMALL).count()
 
 
-def test_stream_dedup_drops_copies_across_micro_batches(spark, tmp_path):
-    from strata.operators.dedup import drop_replayed_messages
-    from strata.schemas import BRONZE_SCHEMA
+def test_stream_dedup_keeps_first_copies_however_late(spark, tmp_path):
+    from strata.schemas import BRONZE_SCHEMA, MESSAGE_ID
+    from strata.streaming.upsert_stream import start_dedup
     from conftest import ts
 
     def rows(offsets, second, landed):
@@ -111,14 +111,15 @@ def test_stream_dedup_drops_copies_across_micro_batches(spark, tmp_path):
             [("{}", "t", 0, o, ts(second), ts(landed)) for o in offsets], BRONZE_SCHEMA)
 
     landing = str(tmp_path / "landing")
-    rows(range(0, 5), 10, 10).coalesce(1).write.mode("append").parquet(landing)
-    # copies of 3 and 4 in the next batch, within the delay, plus new messages
-    rows([3, 4, 5, 6], 11, 20).coalesce(1).write.mode("append").parquet(landing)
+    rows(range(0, 5), 50, 10).coalesce(1).write.mode("append").parquet(landing)
+    # copies of 3 and 4, and new messages
+    rows([3, 4, 5, 6], 51, 20).coalesce(1).write.mode("append").parquet(landing)
+    # first copies whose event time is far behind all that came before
+    rows([7, 8], 1, 30).withColumn("kafka_ts", F.lit("2020-01-01").cast("timestamp")) \
+        .coalesce(1).write.mode("append").parquet(landing)
     stream = spark.readStream.schema(BRONZE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(landing)
-    t = VersionedTable(spark, str(tmp_path / "bronze"))
-    q = start_bronze(drop_replayed_messages(stream, "kafka_ts", "1 hour"), t, str(tmp_path / "ck"), "dedup",
-                     {"availableNow": True})
+    t = VersionedTable(spark, str(tmp_path / "bronze"), buckets=4, bucket_keys=MESSAGE_ID)
+    q = start_dedup(stream, t, str(tmp_path / "ck"), "dedup", {"availableNow": True})
     q.awaitTermination()
     got = sorted((r["kafka_offset"], r["ingested_at"].second) for r in t.read().collect())
-    assert got == [(0, 10), (1, 10), (2, 10), (3, 10), (4, 10), (5, 20), (6, 20)]
-    assert len(t.history().collect()) == 2  # two micro-batches, one commit each
+    assert got == [(0, 10), (1, 10), (2, 10), (3, 10), (4, 10), (5, 20), (6, 20), (7, 30), (8, 30)]

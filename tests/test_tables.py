@@ -68,10 +68,79 @@ def test_expiry_respects_age(spark, tmp_path):
 def test_commit_conflict(spark, tmp_path):
     t = VersionedTable(spark, str(tmp_path / "race"))
     t.append(fx1(spark))
-    other = VersionedTable(spark, str(tmp_path / "race"))
-    other._fs.write_exclusive(f"{other.root}/_commits/0000000001.json", t.latest().to_json())
+    seen = t.latest()
+    VersionedTable(spark, str(tmp_path / "race")).append(fx1(spark))
     with pytest.raises(CommitConflict):
-        t._commit("append", [], fx1(spark).schema)
+        t._commit("append", [], fx1(spark).schema, base=seen)
+
+
+def interleave(table, action):
+    """Run ``action`` once, inside the table's next write."""
+    whole, done = table._next_data_dir, []
+
+    def hook():
+        if not done:
+            done.append(1)
+            action()
+        return whole()
+
+    table._next_data_dir = hook
+
+
+def test_append_during_compaction_is_kept(spark, tmp_path):
+    root = str(tmp_path / "busy")
+    rows = spark.range(70)
+    t = VersionedTable(spark, root)
+    for k in range(6):
+        t.append(rows.filter(f"id >= {10 * k} AND id < {10 * k + 10}"))
+    interleave(t, lambda: VersionedTable(spark, root).append(rows.filter("id >= 60")))
+    assert t.compact(min_input_files=1)["status"] == "compacted"
+    assert sorted(r[0] for r in t.read().collect()) == list(range(70))
+
+
+def test_append_during_append_is_kept(spark, tmp_path):
+    root = str(tmp_path / "two")
+    t = VersionedTable(spark, root)
+    t.append(spark.range(10))
+    interleave(t, lambda: VersionedTable(spark, root).append(spark.range(10, 20)))
+    t.append(spark.range(20, 30))
+    assert sorted(r[0] for r in t.read().collect()) == list(range(30))
+
+
+def test_overlapping_merges_keep_all_rows(spark, tmp_path):
+    root = str(tmp_path / "merges")
+    rows = spark.range(30).selectExpr("id AS k", "0 AS v")
+    t = VersionedTable(spark, root, buckets=4, bucket_keys=["k"])
+    t.merge(rows.filter("k < 10"), ["k"])
+    interleave(t, lambda: VersionedTable(spark, root).merge(rows.filter("k >= 20"), ["k"]))
+    t.merge(rows.filter("k >= 10 AND k < 20"), ["k"])
+    assert sorted(r["k"] for r in t.read().collect()) == list(range(30))
+
+
+def test_duplicate_source_keys_raise(spark, tmp_path):
+    from strata.operators.upsert import DuplicateSourceKeys, upsert_columns
+
+    t = VersionedTable(spark, str(tmp_path / "dup"), buckets=2, bucket_keys=["k"])
+    two = spark.createDataFrame([(1, "a"), (1, "b")], "k long, v string")
+    with pytest.raises(DuplicateSourceKeys):
+        t.merge(two, ["k"])
+    assert t.latest() is None
+    with pytest.raises(Exception, match="duplicate source key"):
+        upsert_columns(two.limit(0), two, ["k"], ["v"]).collect()
+
+
+def test_new_columns_are_stored(spark, tmp_path):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    new = spark.createDataFrame([(2, "B", "x"), (3, "c", "y")], "k long, v string, extra string")
+    t = VersionedTable(spark, str(tmp_path / "merged"), buckets=4, bucket_keys=["k"])
+    t.merge(old, ["k"])
+    t.merge(new, ["k"])
+    assert sorted(map(tuple, t.read().collect())) == [(1, "a", None), (2, "B", "x"), (3, "c", "y")]
+    a = VersionedTable(spark, str(tmp_path / "appended"))
+    a.append(old)
+    a.append(new)
+    assert sorted(map(tuple, a.read().collect())) == [
+        (1, "a", None), (2, "B", "x"), (2, "b", None), (3, "c", "y")]
 
 
 def test_bucketed_merge_rewrites_only_touched_buckets(spark, tmp_path):
