@@ -127,6 +127,29 @@ SELECT 'users_created' AS kafka_topic, kafka_partition, kafka_offset, kafka_ts,
   CASE WHEN value >= 480 THEN NULL WHEN value < 200 THEN 'Male' WHEN value < 400 THEN ' FEMALE ' END
     AS gender
 FROM api_src""",
+    "kafka_envelope": with_(API_SRC) + """
+SELECT kafka_partition, kafka_offset, kafka_ts,
+  CASE WHEN value >= 480 THEN NULL
+       WHEN event_type <> 'error' THEN 'User' || CAST(user_id AS VARCHAR)
+         || (CASE WHEN user_id % 7 = 0 THEN '@Other.ORG' ELSE '@Example.COM' END) END AS email,
+  CASE WHEN value >= 480 THEN NULL
+       ELSE (CASE WHEN event_id % 3 = 0 THEN ' ' ELSE '' END) || 'User' || CAST(user_id AS VARCHAR) END
+    AS username,
+  CASE WHEN value >= 480 THEN NULL WHEN value < 200 THEN 'Male' WHEN value < 400 THEN ' FEMALE ' END
+    AS gender
+FROM api_src""",
+    "silver_api_users_sqlmodel": with_(*API) + "SELECT * FROM api_users",
+    "any_rows": with_(*API) + """
+SELECT least(5, count(*)) AS n_rows, least(5, count(*)) AS in_table FROM api_users""",
+    "api_accounted": with_(API_SRC, API_CLEAN) + """
+SELECT (SELECT count(*) FROM api_src) AS bronze, (SELECT count(*) FROM api_clean) AS kept,
+  (SELECT count(*) FROM api_src) - (SELECT count(*) FROM api_clean) AS rejected, true AS complete""",
+    "cdc_accounted": with_(CDC_SRC, CDC_CLEAN) + """
+SELECT (SELECT count(*) FROM cdc_src) AS bronze, (SELECT count(*) FROM cdc_clean) AS kept,
+  (SELECT count(*) FROM cdc_src) - (SELECT count(*) FROM cdc_clean) AS rejected, true AS complete""",
+    "cdc_accounted_apply": with_(CDC_SRC, CDC_APPLY) + """
+SELECT (SELECT count(*) FROM cdc_src) AS bronze, (SELECT count(*) FROM cdc_apply_events) AS kept,
+  (SELECT count(*) FROM cdc_src) - (SELECT count(*) FROM cdc_apply_events) AS rejected, true AS complete""",
     "json_first_paths": with_(API_SRC) + """
 SELECT kafka_offset,
   CASE WHEN value < 480 THEN (CASE WHEN event_id % 5 = 0 THEN ' ' ELSE '' END)

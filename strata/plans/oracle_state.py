@@ -187,4 +187,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY username
                                    ORDER BY ingested_at DESC, kafka_partition DESC, kafka_offset DESC) AS rn
       FROM api_clean)
 WHERE rn = 1""",
+    "describe_table": """
+SELECT * FROM (VALUES ('first_name', 'string'), ('last_name', 'string'), ('full_name', 'string'), ('gender', 'string'),
+  ('email', 'string'), ('username', 'string'), ('birth_year', 'int'), ('phone', 'string'), ('postcode', 'string'),
+  ('ingested_at', 'timestamp_ntz')) AS t(col_name, data_type)""",
 }

@@ -14,10 +14,11 @@ from pyspark.sql import types as T
 from strata.functions.jsonpath import json_first
 from strata.functions.time import add_interval
 from strata.operators.dedup import latest_per_key, newest_first
+from strata.operators.rollup import side_by_side_counts
 from strata.plans import gold, reports, silver
 from strata.schemas import change_envelope, row_image
 from strata.session import materialize
-from strata.sources.bronze import spread_small_scan
+from strata.sources.bronze import split_by_topic, spread_small_scan, to_bronze, typed_view
 from strata.sources.feeds import api_feed, change_feed
 
 # Change-feed schema for keys derived from customer keys: 64-bit ids, so the
@@ -197,7 +198,47 @@ def q_topk_by_id(spark, sf_dir):
 
 
 def q_any_rows(spark, sf_dir):
-    return reports.any_rows(silver_api(spark, sf_dir), 5)
+    """Any five users: which ones is open, so how many there are and how many of them are in the table."""
+    api = materialize(silver_api(spark, sf_dir), "silver_api")
+    some = materialize(reports.any_rows(api, 5), "any_rows")
+    return side_by_side_counts({"n_rows": some, "in_table": some.join(api, "username", "left_semi")})
+
+
+def q_silver_api_users_sqlmodel(spark, sf_dir):
+    return silver.api_users(bronze_api(spark, sf_dir), null_names=True)
+
+
+def q_kafka_envelope(spark, sf_dir):
+    """The feed in a Kafka source's shape (bytes, topic, partition, offset,
+    timestamp), projected to Bronze, split by topic and read through a typed view."""
+    b = bronze_api(spark, sf_dir)
+    messages = b.select(
+        F.col("payload").cast("binary").alias("value"), F.col("kafka_topic").alias("topic"),
+        F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset"),
+        F.col("kafka_ts").alias("timestamp"))
+    topic = split_by_topic(to_bronze(messages), ["users_created"])["users_created"]
+    return typed_view(topic, {"email": ["$.email"], "username": ["$.login.username", "$.username"],
+                              "gender": ["$.gender"]}, ["kafka_partition", "kafka_offset", "kafka_ts"])
+
+
+def _accounted(bronze: DataFrame, kept: DataFrame, rejected: DataFrame) -> DataFrame:
+    c = side_by_side_counts({"bronze": bronze, "kept": kept, "rejected": rejected})
+    return c.withColumn("complete", F.col("bronze") == F.col("kept") + F.col("rejected"))
+
+
+def q_api_accounted(spark, sf_dir):
+    b = bronze_api(spark, sf_dir)
+    return _accounted(b, silver.clean_api(silver.parse_api(b)), silver.api_rejects(b))
+
+
+def q_cdc_accounted(spark, sf_dir):
+    b = bronze_cdc(spark, sf_dir)
+    return _accounted(b, silver.clean_cdc(silver.parse_cdc(b, CDC_LONG)), silver.cdc_rejects(b, CDC_LONG))
+
+
+def q_cdc_accounted_apply(spark, sf_dir):
+    b = bronze_cdc(spark, sf_dir)
+    return _accounted(b, silver.clean_cdc(silver.parse_cdc(b, CDC_LONG), "apply"), silver.cdc_rejects(b, CDC_LONG, "apply"))
 
 
 def q_layer_counts(spark, sf_dir):
@@ -270,6 +311,11 @@ REGISTRY = {
     "topk_by_name": q_topk_by_name,
     "topk_by_id": q_topk_by_id,
     "any_rows": q_any_rows,
+    "silver_api_users_sqlmodel": q_silver_api_users_sqlmodel,
+    "kafka_envelope": q_kafka_envelope,
+    "api_accounted": q_api_accounted,
+    "cdc_accounted": q_cdc_accounted,
+    "cdc_accounted_apply": q_cdc_accounted_apply,
     "layer_counts": q_layer_counts,
     "bronze_vs_silver": q_bronze_vs_silver,
     "partition_progress": q_partition_progress,

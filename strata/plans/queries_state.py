@@ -34,38 +34,32 @@ from strata.streaming.upsert_stream import start_dedup, start_rate, start_upsert
 BRONZE_FIELDS = ["kafka_topic", "kafka_partition", "kafka_offset", "kafka_ts", "ingested_at"]
 
 
-def _early_late(df: DataFrame, share: int = 6):
-    mark = split_mark(df, "ingested_at", share)
-    early = (F.col("ingested_at") <= mark) | F.col("ingested_at").isNull()  # unstamped rows come first
-    return df.filter(early), df.filter(F.col("ingested_at") > mark)
+def _cut_points(df: DataFrame, shares: list[int]) -> list:
+    """Whole-second time points at the given tenths of the landing span, as
+    literals: one aggregate over one column, two values to the driver; empty for an empty feed."""
+    span = df.agg(F.min("ingested_at").alias("lo"), F.max("ingested_at").alias("hi")).first()
+    if span["lo"] is None:
+        return []
+    seconds = int((span["hi"] - span["lo"]).total_seconds())
+    return [F.lit((span["lo"] + timedelta(seconds=seconds * s // 10)).isoformat(sep=" ")).cast("timestamp_ntz")
+            for s in shares]
 
 
 def _slices(df: DataFrame, shares: list[int]) -> list[DataFrame]:
-    """Consecutive landing-time slices cut at the given tenths of the span.
-
-    The span is one aggregate over the feed; its two end points are the only
-    values that reach the driver, and every slice filters on literal bounds
-    (no per-slice subquery over the whole feed).  Cut points are whole
-    seconds, as in ``split_mark``.
-    """
-    span = df.agg(F.min("ingested_at").alias("lo"), F.max("ingested_at").alias("hi")).first()
-    if span["lo"] is None:
+    """Consecutive landing-time slices cut at the given tenths of the span;
+    rows without a landing time are in the first one.  Every slice filters on
+    literal bounds (no per-slice subquery over the whole feed)."""
+    marks = _cut_points(df, shares)
+    if not marks:
         return [df] + [df.filter(F.lit(False)) for _ in shares]
-    lo, hi = span["lo"], span["hi"]
-    seconds = int((hi - lo).total_seconds())
-    marks = [F.lit((lo + timedelta(seconds=seconds * s // 10)).isoformat(sep=" ")).cast("timestamp_ntz")
-             for s in shares]
-    out, prev = [], None
-    for m in marks + [None]:
-        cond = F.lit(True)
-        if prev is not None:
-            cond = cond & (F.col("ingested_at") > prev)
-        if m is not None:
-            upto = F.col("ingested_at") <= m
-            cond = cond & (upto if prev is not None else upto | F.col("ingested_at").isNull())
-        out.append(df.filter(cond))
-        prev = m
-    return out
+    at = F.col("ingested_at")
+    out = [df.filter((at <= marks[0]) | at.isNull())]
+    out += [df.filter((at > lo) & (at <= hi)) for lo, hi in zip(marks, marks[1:])]
+    return out + [df.filter(at > marks[-1])]
+
+
+def _early_late(df: DataFrame, share: int = 6) -> list[DataFrame]:
+    return _slices(df, [share])
 
 
 # ----------------------------------------------------------- incremental
@@ -272,8 +266,8 @@ def q_describe_table(spark, sf_dir):
     t = VersionedTable(spark, scratch_path(spark, "describe"))
     t.append(silver_api(spark, sf_dir))
     return spark.createDataFrame(
-        [(f.name, f.dataType.simpleString(), f.nullable) for f in t.schema().fields],
-        "col_name string, data_type string, nullable boolean",
+        [(f.name, f.dataType.simpleString()) for f in t.schema().fields],
+        "col_name string, data_type string",
     )
 
 
@@ -346,7 +340,8 @@ def q_snapshot_fold(spark, sf_dir):
 # -------------------------------------------------------------- streaming
 def _events_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet")  # a file or a folder of part files
+    # as a pattern, the path may be a file or a folder of part files
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events[.]parquet")
 
 
 def q_stream_ingest(spark, sf_dir):

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.jsonpath import json_first, json_path, parse_struct
-from strata.functions.text import clean, concat_skip_nulls, norm
+from strata.functions.text import clean, concat_nullable, concat_skip_nulls, norm
 from strata.functions.time import ms_to_ts, year_of
 from strata.operators.dedup import latest_per_key, newest_first
 from strata.operators.fence import fenced_select
@@ -65,8 +65,9 @@ def parse_api(bronze: DataFrame, paths: dict[str, Sequence[str]] | None = None)
     return _api_fields(bronze, paths or API_USER_PATHS, ("ingested_at", *TRANSPORT))
 
 
-def clean_api(parsed: DataFrame) -> DataFrame:
+def clean_api(parsed: DataFrame, null_names: bool = False) -> DataFrame:
     """Required keys (checked before trimming), then normalised columns.
+    ``null_names`` is the SQL model's full name: NULL if either part is.
     Fields parsed beyond the standard ones (a wider path map, I14) are
     carried through as they are."""
     standard = set(API_USER_PATHS) | {"ingested_at", *TRANSPORT}
@@ -74,7 +75,8 @@ def clean_api(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("username").isNotNull() & F.col("email").isNotNull()).select(
         clean("first_name").alias("first_name"),
         clean("last_name").alias("last_name"),
-        concat_skip_nulls(" ", clean("first_name"), clean("last_name")).alias("full_name"),
+        (concat_nullable if null_names else concat_skip_nulls)(
+            " ", clean("first_name"), clean("last_name")).alias("full_name"),
         norm("gender").alias("gender"),
         norm("email").alias("email"),
         norm("username").alias("username"),
@@ -87,16 +89,18 @@ def clean_api(parsed: DataFrame) -> DataFrame:
     )
 
 
-def api_updates(bronze: DataFrame, paths: dict[str, Sequence[str]] | None = None) -> DataFrame:
+def api_updates(bronze: DataFrame, paths: dict[str, Sequence[str]] | None = None,
+                null_names: bool = False) -> DataFrame:
     """Newest row per username, keeping the ordering columns for merging."""
-    return latest_per_key(clean_api(parse_api(bronze, paths)), ["username"], api_order())
+    return latest_per_key(clean_api(parse_api(bronze, paths), null_names), ["username"], api_order())
 
 
-def api_users(bronze: DataFrame, paths: dict[str, Sequence[str]] | None = None) -> DataFrame:
+def api_users(bronze: DataFrame, paths: dict[str, Sequence[str]] | None = None,
+              null_names: bool = False) -> DataFrame:
     """Silver ``api_users`` from a Bronze slice (I3).  ``paths`` may widen the
     default path map; extra fields follow the standard columns."""
     extra = [c for c in (paths or {}) if c not in API_USER_PATHS]
-    return api_updates(bronze, paths).select(*API_USER_COLUMNS, *extra)
+    return api_updates(bronze, paths, null_names).select(*API_USER_COLUMNS, *extra)
 
 
 def api_rejects(bronze: DataFrame) -> DataFrame:

@@ -639,12 +639,17 @@ class VersionedTable:
             while True:
                 rel, schema = self._write_merge(head, staged, touched, keys, order, combine, files_per_bucket)
                 base = self._bucket_map(head)
+                # a bucket that lost all its rows has no folder
+                written = {int(n.rpartition("=")[2]) for n in self._fs.list_names(f"{self.root}/{rel}")
+                           if n.startswith(f"{BUCKET_COL}=")}
+                gone = set(touched) - written
 
                 def relinked(h: Commit | None) -> list[str]:
                     now = self._bucket_map(h)
                     if any(now.get(b) != base.get(b) for b in touched):
                         raise CommitConflict(f"{self.root}: a touched bucket was rewritten meanwhile")
-                    return [f for _, f in sorted({**now, **{b: f"{rel}/{BUCKET_COL}={b}" for b in touched}}.items())]
+                    kept = {b: f for b, f in now.items() if b not in gone}
+                    return [f for _, f in sorted({**kept, **{b: f"{rel}/{BUCKET_COL}={b}" for b in written}}.items())]
 
                 try:
                     return self._relink(operation, head, relinked,

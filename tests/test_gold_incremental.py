@@ -93,3 +93,17 @@ def test_one_record_change_rewrites_one_gold_bucket(spark, tmp_path):
     assert out["users_enriched"].summary["touched_buckets"] == "1"
     by_user = {r["username"]: r for r in layout.table(spark, "gold/users_enriched_inc").read().collect()}
     assert by_user["u4"]["department"] == "Legal" and len(by_user) == 40
+
+
+def test_users_that_leave_silver_leave_gold(spark, tmp_path):
+    layout = Layout(str(tmp_path / "left"), buckets=8)
+    api_t = layout.table(spark, "silver/api_users", ["username"])
+    cdc_t = layout.table(spark, "silver/cdc_users", ["id"])
+    api_t.overwrite(api_rows(spark, 12))
+    cdc_t.overwrite(cdc_rows(spark))
+    refresh_gold_incremental(spark, layout)
+    api_t.overwrite(api_rows(spark, 3))  # a rebuild without most of the users
+    refresh_gold_incremental(spark, layout)
+    api, cdc = read_silver(spark, layout)
+    got = layout.table(spark, "gold/users_enriched_inc").read()
+    assert rows(got) == rows(gold.users_enriched(api, cdc)) and got.count() == 3

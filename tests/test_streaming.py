@@ -123,3 +123,11 @@ def test_stream_dedup_keeps_first_copies_however_late(spark, tmp_path):
     q.awaitTermination()
     got = sorted((r["kafka_offset"], r["ingested_at"].second) for r in t.read().collect())
     assert got == [(0, 10), (1, 10), (2, 10), (3, 10), (4, 10), (5, 20), (6, 20), (7, 30), (8, 30)]
+
+
+def test_stream_queries_read_a_folder_of_part_files(spark, tmp_path):
+    from strata.plans.queries_state import REGISTRY
+
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    assert REGISTRY["stream_ingest"](spark, str(tmp_path)).count() == bronze_api(spark, SF_SMALL).count()
+    assert REGISTRY["stream_rate"](spark, str(tmp_path)).count() > 0
