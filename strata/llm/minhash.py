@@ -15,18 +15,20 @@ would weigh less than the few words in which they differ.)
    documents under the threshold have no partner and go no further (this loses
    no pair).
 3. The others get 64 samples (16 bands of 4) and one row per distinct text.
-4. In each band bucket the members are compared with a few leaders, those with
-   the least weight on unshared shingles (the text the others were made from
-   comes first), by weighted Jaccard similarity of their whole shingle vectors.
-   Members that no leader of their bucket matches stay for the next round, which
-   takes four times as many leaders, until every member of every bucket is a leader or has one.
-   A third of all rows in one bucket are as many rows of a join with a few leaders, split by Spark.
+4. In each band bucket the members are compared with two leaders, those with the
+   least weight on unshared shingles (the text the others were made from comes
+   first), by weighted Jaccard similarity of their whole shingle vectors.  A third of all
+   rows in one bucket are as many rows of a join with two leaders, split by Spark.
+   What is then linked, through whatever bucket, is one component already.  Members of a
+   bucket that are not in its main component are compared with all its members of other
+   components, chunk by chunk: the weights give an upper bound, the samples an
+   estimate of the similarity, and pairs with a bound of 0.8 and an estimate of 0.62 or more
+   are verified, the best few of each member first, as long as they would join two components.  Pairs that could not change a class are left out.
 5. Classes are the connected components of the links, found by label propagation
    with pointer jumping over tables in the checkpoint folder.
 
-A pair of similarity 0.8 shares a band with probability 0.9998; within a
-bucket two members with different leaders are not compared with each other.
-Equal texts need no link: they are one node.
+A pair of similarity 0.8 shares a band with probability 0.9998, and its estimate
+is under 0.62 with probability 0.0003.  Equal texts need no link: they are one node.
 
 Shingle hashes have 48 bits for counting and comparing.
 
@@ -52,13 +54,17 @@ from strata.session import materialize
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 16, 4
-LEADERS = 4
+LEADERS = 2
+#: standard deviations that an estimate may fall short of the threshold
+SLACK = 3.5
+FIRST_BEST = 4
+CHUNK_OTHERS, CHUNK_ALL = 256, 2048
 #: Word bytes are digits, letters and bytes from 128 on; A-Z fold to a-z.
 IS_WORD = np.array([48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)])
 FOLD = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 LOW = np.uint64(0xFFFFFFFFFFFF)
 COMMON = 1 / 3
-SKETCH = "node string, unshared double, vector binary, bands array<long>"
+SKETCH = "node string, unshared double, weight double, vector binary, bands array<long>, samples binary"
 
 
 def shingles(texts: list[bytes], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -175,7 +181,7 @@ def weighted_jaccard(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def _sketch(rows: int, threshold: float, bands: int, per_band: int):
-    schema = pa.schema([("node", pa.string()), ("unshared", pa.float64()), ("vector", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("node", pa.string()), ("unshared", pa.float64()), ("weight", pa.float64()), ("vector", pa.binary()), ("bands", pa.list_(pa.int64())), ("samples", pa.binary())])
 
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
         import hashlib
@@ -216,8 +222,10 @@ def _sketch(rows: int, threshold: float, bands: int, per_band: int):
         vector["h"], vector["w"] = h, weight
         last = np.append(first[1:], len(h))
         return pa.table({"node": pa.array([node[i] for i in ids.tolist()]), "unshared": pa.array(1 - with_others[ids] / total[ids]),
+                         "weight": pa.array(total[ids]),
                          "vector": pa.array([vector[a:b].tobytes() for a, b in zip(first, last)], pa.binary()),
-                         "bands": pa.array(key.view(np.int64).tolist(), pa.list_(pa.int64()))}, schema)
+                         "bands": pa.array(key.view(np.int64).tolist(), pa.list_(pa.int64())),
+                         "samples": pa.array([x.astype("<u2").tobytes() for x in sample], pa.binary())}, schema)
     return run
 
 
@@ -230,46 +238,123 @@ def _similar(threshold: float):
     return run
 
 
-def near_links(sketches: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Verified links (a, b) between nodes that share a band bucket."""
+def _entry(samples: int) -> np.dtype:
+    return np.dtype([("node", "S32"), ("label", "S32"), ("u", "<f8"), ("w", "<f8"), ("samples", "<u2", (samples,))])
+
+
+def most_similar(ua, wa, ub, wb, least, greatest):
+    """Upper bound of the weighted Jaccard similarity of two vectors of weight
+    wa and wb, of which the shares ua and ub are on shingles of no other
+    document: those are outside the intersection, and all of them in the union."""
+    return least((1 - ua) * wa, (1 - ub) * wb) / greatest(wa + ub * wb, wb + ua * wa)
+
+
+def _to_chunk(samples: int):
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by("node")
+        out = np.empty(t.num_rows, _entry(samples))
+        out["node"], out["label"] = t.column("node").to_pylist(), t.column("label").to_pylist()
+        out["u"], out["w"] = t.column("unshared").to_numpy(), t.column("weight").to_numpy()
+        out["samples"] = np.frombuffer(b"".join(t.column("samples").to_pylist()), "<u2").reshape(-1, samples)
+        return pa.table({"band": t.column("band").slice(0, 1), "key": t.column("key").slice(0, 1),
+                         "members": pa.array([out.tobytes()], pa.binary())})
+    return run
+
+
+def _candidates(bands: int, per_band: int, threshold: float, floor: float, best: int, seen: int):
+    """Pairs of two chunks of a bucket whose samples agree often enough, whose weights
+    allow the threshold, that share no earlier band and whose components differ: those of the ranks from ``seen``
+    to ``best`` for each member of the first chunk, and one row without a
+    partner where such pairs of higher ranks remain."""
+    dtype = _entry(bands * per_band)
+
+    def run(batches):
+        for batch in batches:
+            for band, x, y in zip(batch.column("band").to_pylist(), batch.column("others").to_pylist(), batch.column("members").to_pylist()):
+                x, y = np.frombuffer(x, dtype), np.frombuffer(y, dtype)
+                a, b = [], []
+                for lo in range(0, len(x), 16):
+                    part = x[lo:lo + 16]
+                    equal = part["samples"][:, None, :] == y["samples"][None, :, :]
+                    good = equal.mean(2) * (part["node"][:, None] != y["node"][None, :])
+                    most = most_similar(part["u"][:, None], part["w"][:, None], y["u"], y["w"], np.minimum, np.maximum)
+                    good[most < threshold - 1e-6] = 0
+                    if band:
+                        good[equal.reshape(len(part), len(y), bands, per_band)[:, :, :band].all(3).any(2)] = 0
+                    for i in range(len(part)):
+                        near = np.flatnonzero(good[i] >= floor)
+                        near = near[np.argsort(-good[i][near], kind="stable")]
+                        differs = part["label"][i] != y["label"][near]
+                        pick = near[seen:best][differs[seen:best]]
+                        node = part["node"][i].decode()
+                        a += [node] * len(pick)
+                        b += [v.decode() for v in y["node"][pick]]
+                        if differs[best:].any():
+                            a.append(node)
+                            b.append(None)
+                yield pa.record_batch({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string())})
+    return run
+
+
+def _verified(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
+    """The pairs that are similar enough.  Copies of one member's vector meet its
+    many partners in joins that Spark splits."""
+    both = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    tested = (
+        both.join(vectors.select(F.col("node").alias("a"), F.col("vector").alias("va")), "a")
+        .join(vectors.select(F.col("node").alias("b"), F.col("vector").alias("vb")), "b")
+        .select("a", "b", "va", "vb").mapInArrow(_similar(threshold), "a string, b string, ok boolean")
+    )
+    return materialize(tested.filter("ok").select("a", "b"), "near-verified")
+
+
+def near_links(sketches: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS,
+               per_band: int = ROWS) -> tuple[DataFrame, DataFrame]:
+    """Verified links (a, b) between nodes that share a band bucket, as many as it
+    takes to connect every pair of a bucket that is similar enough, and the
+    components (node, label) of the linked nodes."""
     vectors = sketches.select("node", "vector")
-    member = sketches.select("node", "unshared", F.posexplode("bands").alias("band", "key"))
+    member = sketches.select("node", "unshared", "weight", "samples", F.posexplode("bands").alias("band", "key"))
     bucket = ["band", "key"]
-    often = member.groupBy(*bucket).count().filter("count > 1").select(*bucket)
+    often = member.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     member = materialize(member.join(often, bucket), "near-members")
-    links, leaders = None, LEADERS
+    order = Window.partitionBy(*bucket).orderBy("unshared", "node")
+    own = member.select(*bucket, F.col("node").alias("a"), F.col("unshared").alias("ua"), F.col("weight").alias("wa"))
+    lead = (member.select(*bucket, "node", "unshared", "weight").withColumn("_r", F.row_number().over(order))
+            .filter(F.col("_r") <= LEADERS)
+            .select(*bucket, F.col("node").alias("b"), F.col("unshared").alias("ub"), F.col("weight").alias("wb")))
+    most = most_similar(*map(F.col, ("ua", "wa", "ub", "wb")), F.least, F.greatest)
+    pairs = own.join(lead, bucket).filter((F.col("a") != F.col("b")) & (most >= threshold - 1e-6)).select("a", "b")
+    links = _verified(pairs, vectors, threshold)
+    samples = bands * per_band
+    floor = threshold - SLACK * (threshold * (1 - threshold) / samples) ** 0.5
+    seen, best = 0, FIRST_BEST
+    label = components(links)
     while True:
-        order = Window.partitionBy(*bucket).orderBy("unshared", "node")
-        lead = (member.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= leaders)
-                .select(*bucket, F.col("node").alias("b"), F.col("_n").alias("_lead")))
-        # a leader is compared with the leaders before it, the others with all of them
-        pairs = (
-            member.select(*bucket, F.col("node").alias("a"), F.col("unshared").alias("_u")).join(lead, bucket)
-            .filter(F.col("a") != F.col("b"))
-        )
-        pairs = materialize(pairs.select(*bucket, "a", "b"), "near-pairs")
-        both = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        # the copies of one leader's vector meet its many partners in a join that Spark splits
-        tested = materialize(
-            both.join(vectors.select(F.col("node").alias("a"), F.col("vector").alias("va")), "a")
-            .join(vectors.select(F.col("node").alias("b"), F.col("vector").alias("vb")), "b")
-            .select("a", "b", "va", "vb").mapInArrow(_similar(threshold), "a string, b string, ok boolean"), "near-tested")
-        good = tested.filter("ok").select("a", "b")
-        links = good if links is None else links.unionByName(good)
-        # members that are no leader and that no leader of the bucket matches stay
-        found = (
-            pairs.select(*bucket, F.col("a").alias("node"), F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            .join(good, ["a", "b"]).select(*bucket, "node").distinct()
-        )
-        rest = (
-            member.join(found, [*bucket, "node"], "left_anti")
-            .join(lead.select(*bucket, F.col("b").alias("node")), [*bucket, "node"], "left_anti")
-        )
-        again = rest.groupBy(*bucket).count().filter("count > 1").select(*bucket)
-        member = materialize(rest.join(again, bucket), "near-members")
-        if member.isEmpty():
-            return links.distinct()
-        leaders *= 4
+        now = member.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        # the main component of a bucket is that of its first leader
+        state = now.groupBy(*bucket).agg(F.min_by("label", F.struct("unshared", "node")).alias("_main"),
+                                         F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo != _hi")
+        now = now.join(state.select(*bucket, "_main"), bucket)
+        other = now.filter(F.col("label") != F.col("_main"))
+        other = other.join(other.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_m")), bucket)
+
+        def chunks(df: DataFrame, n: str, size: int, name: str) -> DataFrame:
+            part = F.pmod(F.xxhash64("node"), F.ceil(F.col(n) / size)).alias("_chunk")
+            return df.select(*bucket, part, "node", "label", "unshared", "weight", "samples").groupBy(*bucket, "_chunk").applyInArrow(
+                _to_chunk(samples), "band int, key long, members binary").withColumnRenamed("members", name)
+
+        met = chunks(other, "_m", CHUNK_OTHERS, "others").join(chunks(now, "_n", CHUNK_ALL, "members"), bucket)
+        found = materialize(met.select("band", "others", "members").mapInArrow(
+            _candidates(bands, per_band, threshold, floor, best, seen), "a string, b string"), "near-candidates")
+        pairs = found.filter(F.col("b").isNotNull())
+        more = None if pairs.isEmpty() else _verified(pairs, vectors, threshold)
+        if more is not None and not more.isEmpty():
+            links = materialize(links.unionByName(more).distinct(), "near-links")
+            label = components(links)
+        if found.filter(F.col("b").isNull()).isEmpty():
+            return links, label
+        seen, best = best, best * 8
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -305,9 +390,9 @@ def text_classes(rows: DataFrame, threshold: float, bands: int, per_band: int) -
     blocks.unpersist()
     # equal texts of several blocks: any of the equal rows
     sketches = materialize(made.dropDuplicates(["node"]), "near-nodes")
-    links = materialize(near_links(sketches, threshold), "near-links")
+    links, label = near_links(sketches, threshold, bands, per_band)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    labels = components(links).join(degree, "node")
+    labels = label.join(degree, "node")
     return (
         rows.groupBy(text_node().alias("node")).agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
         .join(labels, "node", "left")
