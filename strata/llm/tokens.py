@@ -1,23 +1,41 @@
 """Encoding whole texts with the tokenizers library.
 
-The encoder cuts a text at spaces where both neighbours are no white space,
-keeps what each piece encodes to, and joins.  For the tokenizers used here no
-token reaches over such a space (their patterns let a space only begin one),
-so the ids equal those of the whole text; tests compare both.  Words
-repeat, so most pieces come from the table of known pieces, which is kept by
-the Python worker, bounded, and emptied when full.
+A text is cut where no token can reach over, every piece is encoded once, and
+the pieces' ids are joined.  First it is cut at spaces whose two neighbours are
+no white space (the tokenizers' patterns let a space only begin a token); most
+pieces are known then.  A new piece is cut further, between a letter and a
+full stop, comma or the like, and around a single newline; what is left of plain letters goes
+to the library's model directly, all else through its whole pipeline.  Tests
+compare with the library's encoding of whole texts.
+
+Known pieces are kept by the Python worker in two generations of bounded size:
+when the young one is full it becomes the old one, and pieces in use return.
+Pieces over a line's end are not kept.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 
-import numpy as np
-
-KNOWN_PIECES = 600_000
+KNOWN_PIECES = 500_000
 CUT = re.compile(r"(?<=\S)(?= \S)")
-_ENCODERS: dict[tuple, "Encoder"] = {}
+BESIDE = re.compile(r"\s | \s")
+#: Letters of ASCII and Latin-1, which every pattern here counts as letters.
+LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+FINER = re.compile(rf"(?<=[{LETTER}])(?=[,.;:!?])|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
+PLAIN = re.compile(rf" ?[{LETTER}]+")
+PROBES = [" the", "The", "zebra", " Éte", "straße", " naïveté", "ÀÉÎ", " Ünder", "a", " Z"]
+_ENCODERS: dict[str, "Encoder"] = {}
+
+
+def byte_letters() -> dict[int, str]:
+    """The printable letter that stands for each byte in a byte-level
+    vocabulary: printable Latin-1 bytes stand for themselves, the others follow from 256 on."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 class Encoder:
@@ -28,12 +46,43 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
         self.known = known
-        self.pieces: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        # the form in which the model wants a word: as it is, or lower-cased without its space
+        self.form = next((f for f in (str, lambda p: p.lstrip(" ").lower())
+                          if all(self._model(f(p)) == self._whole([p])[0] for p in PROBES)), None)
+
+    def _whole(self, pieces: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
+
+    def _model(self, word: str) -> bytes:
+        word = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    def _known(self, piece: str) -> bytes | None:
+        got = self.young.get(piece)
+        if got is None and (got := self.old.get(piece)) is not None:
+            self.young[piece] = got
+        return got
 
-    def learn(self, new: list[str]) -> None:
-        for e, p in zip(self.tokenizer.encode_batch(new, add_special_tokens=False), new):
-            self.pieces[p] = np.array(e.ids, "<u4").tobytes()
+    def learn(self, pieces: list[str]) -> None:
+        """Ids of pieces that are not known yet."""
+        cut = [[p] if PLAIN.fullmatch(p) else FINER.split(p) for p in pieces]
+        hard = []
+        for p in {p for parts in cut for p in parts}:
+            if self._known(p) is None:
+                if self.form is not None and PLAIN.fullmatch(p):
+                    self.young[p] = self._model(self.form(p))
+                else:
+                    hard.append(p)
+        for a in range(0, len(hard), 4096):
+            self.young.update(zip(hard[a:a + 4096], self._whole(hard[a:a + 4096])))
+        for p, parts in zip(pieces, cut):
+            if p not in self.young:
+                self.young[p] = b"".join([self.young[x] for x in parts])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text (null: none)."""
@@ -42,23 +91,25 @@ class Encoder:
             if not text:
                 out.append(b"")
                 continue
-            if len(self.pieces) > self.known:
-                self.pieces = {}
+            if len(self.young) > self.known:
+                self.old, self.young = self.young, {}
             cut = split_at_spaces(text)
-            table = self.pieces
-            new = [p for p in set(cut) if p not in table]
-            for a in range(0, len(new), 4096):
-                self.learn(new[a:a + 4096])
-            out.append(b"".join([table[p] for p in cut]))
+            new = [p for p in set(cut).difference(self.young) if self._known(p) is None]
+            if new:
+                self.learn(new)
+            table = self.young
+            out.append(b"".join(map(table.__getitem__, cut)))
+            for p in new:
+                if "\n" in p:  # two words with the newline between them hardly come again
+                    del table[p]
         return out
 
 
 def split_at_spaces(text: str) -> list[str]:
     """Pieces that join to ``text``, each but the first beginning with a space."""
-    parts = text.split(" ")
-    first, rest = parts[0], [" " + p for p in parts[1:]]
-    plain = all(p and not p[0].isspace() and not p[-1].isspace() for p in parts)
-    return [first, *rest] if plain else CUT.split(text)
+    if text[:1].isspace() or text[-1:].isspace() or "\0" in text or BESIDE.search(text):
+        return CUT.split(text)
+    return text.replace(" ", "\0 ").split("\0")
 
 
 def encoder(path: str) -> Encoder:
