@@ -23,7 +23,7 @@ from strata.llm.ranges import cut_points, range_of
 from strata.llm.tables import ship_package, text_bytes
 from strata.llm.token_store import mix
 
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 4 << 20
 BUCKET_HASHES = 2 << 20
 BLOCKS = "block int, rank int, docs binary"
 HASHES = "bucket int, rank int, block int, hashes binary"
@@ -33,6 +33,9 @@ REPLY = "block int, hashes binary"
 # ------------------------------------------------------------------ blocks
 def _pack(cuts: np.ndarray, null_ranges: int):
     def run(batches):
+        from strata.llm.tokens import forget
+
+        forget()  # a reused worker may still hold an encoder's pieces
         options = pa.ipc.IpcWriteOptions(compression="zstd")
         for b in batches:
             null = np.array(b.column("doc_id").is_null())
@@ -87,7 +90,7 @@ class Block:
 _BYTE = mix(np.arange(256, dtype=np.uint64), 21)
 _BASE = 0xD1342543DE82EF95
 _BASE_INV = pow(_BASE, -1, 1 << 64)
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 _POWERS: dict[int, np.ndarray] = {}
 
 

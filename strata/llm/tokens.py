@@ -19,7 +19,7 @@ import os
 import re
 from array import array
 
-KNOWN_PIECES = 500_000
+KNOWN_PIECES = 250_000
 CUT = re.compile(r"(?<=\S)(?= \S)")
 BESIDE = re.compile(r"\s | \s")
 #: Letters of ASCII and Latin-1, which every pattern here counts as letters.
@@ -112,6 +112,12 @@ def split_at_spaces(text: str) -> list[str]:
     return text.replace(" ", "\0 ").split("\0")
 
 
+def forget() -> None:
+    """Give the memory of known pieces back."""
+    for e in _ENCODERS.values():
+        e.young, e.old = {}, {}
+
+
 def encoder(path: str) -> Encoder:
     """One encoder for each vocabulary and Python worker."""
     if path not in _ENCODERS:

@@ -57,9 +57,11 @@ def slots_of(text: str | None, bits: int) -> np.ndarray:
 def _slot_batches(bits: int):
     def run(batches):
         for b in batches:
-            yield pa.record_batch({
-                "label": b.column("label"),
-                "slots": pa.array([slots_of(t, bits).astype("<i4").tobytes() for t in b.column("text").to_pylist()], pa.binary())})
+            for a in range(0, b.num_rows, 256):
+                texts = b.column("text").slice(a, 256).to_pylist()
+                yield pa.record_batch({
+                    "label": b.column("label").slice(a, 256),
+                    "slots": pa.array([slots_of(t, bits).astype("<i4").tobytes() for t in texts], pa.binary())})
     return run
 
 
@@ -168,6 +170,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, bits: int = BITS, factors:
 
 def _score_batches(model, bits: int):
     def run(batches):
+        from strata.llm.tokens import forget
+
+        forget()  # a reused worker may still hold an encoder's pieces
         fm = model.value
         for b in batches:
             at = b.schema.get_field_index("text")
