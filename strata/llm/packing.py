@@ -76,11 +76,21 @@ def directions(ids: np.ndarray, dims: int = DIMS, seed: int = 11) -> np.ndarray:
     return (h.astype(np.float64) / 2.0 ** 53 - 0.5) * sqrt(12)
 
 
+_TABLE = [np.empty((0, DIMS))]
+
+
+def known_directions(ids: np.ndarray) -> np.ndarray:
+    """``directions`` from a table that covers the ids seen so far."""
+    if len(ids) and int(ids.max()) >= len(_TABLE[0]):
+        _TABLE[0] = directions(np.arange(max(65536, int(ids.max()) + 1), dtype=np.uint64))
+    return _TABLE[0][ids]
+
+
 def curve_cell(ids: np.ndarray) -> list[int]:
     """Cell of a document: directions of its distinct ids, weighted by log(1 + count), scaled to unit variance."""
     ids, n = np.unique(ids, return_counts=True)
     w = np.log1p(n)
-    z = w @ directions(ids) / sqrt((w * w).sum())
+    z = w @ known_directions(ids) / sqrt((w * w).sum())
     return [min(int((1 + erf(a / 2 / sqrt(2))) / 2 * (1 << BITS)), (1 << BITS) - 1) for a in z]
 
 
