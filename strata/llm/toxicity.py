@@ -41,6 +41,8 @@ BITS = 18
 FACTORS = 4
 MAX_ROWS = 24_000
 EPOCHS = 10
+#: small samples are passed over more often, to at least so many steps
+MIN_STEPS = 300
 MIN_ROWS, MIN_CHI2 = 4, 10.0
 THRESHOLD = 0.3
 TERM = re.compile(r"[^\W\d_]+")
@@ -100,6 +102,8 @@ class FactorizationMachine:
         rows = [r[keep[r]] for r in rows]
         gw, gv = np.full_like(self.w, 1e-3), np.full_like(self.v, 1e-3)
         g0 = 1e-3
+        self.w0 = float(np.log(y.sum() / (1 - y).sum()))  # rows without any telling term
+        epochs = max(epochs, -(-MIN_STEPS * batch // max(len(rows), 1)))
         rng = np.random.default_rng(seed)
         for _ in range(epochs):
             order = rng.permutation(len(rows))
