@@ -1,21 +1,30 @@
-"""Line dedup (operator 6): content-defined chunks of lines.
+"""Line dedup (operator 6): repeated runs of lines.
 
-A document is cut into lines at newlines.  A rolling hash over the hashes of 2
+``line_run_dedup`` (the query) compares every window of 2 consecutive lines, so
+every run of 2 or more lines that stands earlier, by doc_id and place, is removed
+whole, wherever it begins and ends.  The first occurrence of every line stays; a run's
+first occurrence loses only lines that end or begin an earlier run.  Blocks exchange the windows' hashes; each then sends
+one window of every text whose hash another block has too, with its bytes, and
+is told which of them stand in an earlier block.  Spark compares them by hash and
+bytes, one row per block and text; within a block their bytes are compared too.
+
+``line_dedup`` compares content-defined chunks only: most of a short repeated run
+stays.  A document is cut into lines at newlines.  A rolling hash over the hashes of 2
 consecutive lines decides where a chunk ends (1 of 4 places, from 2 lines on; at
 the latest after 16), so the same run of lines is cut alike wherever it
 stands, a few lines after its beginning.  Chunks of 2 lines or more are
 compared over all documents: the first occurrence, by doc_id and place, stays, and
 every later one of the same bytes is removed.
 
-Blocks exchange chunk hashes as in the other operators.  Blocks then send the bytes of
+Blocks exchange chunk hashes as in the other operators, and then send the bytes of
 chunks whose hash occurs more than once; Spark groups them by hash and bytes, so
 chunks of equal hash and different bytes stay apart, and a chunk that a third of the
 documents share is one row per map task in that grouping.  The removals go back to the blocks.
 
-Defined results: null or empty text is one empty line and loses nothing; chunks
+Defined results: null or empty text is one empty line and loses nothing; windows and chunks
 of white space alone stay; documents of equal doc_ids are ordered by a hash of their
 texts, null doc_ids are largest; repeated rows lose
-their repeated chunks; a text that loses all is empty; an empty table gives no rows;
+their repeated lines; a text that loses all is empty; an empty table gives no rows;
 further columns are ignored.
 """
 
@@ -23,11 +32,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.blocks import (HASHES, REPLY, Block, buckets_for, hash_rows, is_in, make_blocks, powers, read_reply, spans_hash,
-                               prefix_sums)
+from strata.llm.blocks import (HASHES, REPLY, SEGMENT, Block, buckets_for, hash_rows, is_in, make_blocks, powers, prefix_sums,
+                               read_reply, runs, spans_hash)
 from strata.llm.suffixes import _shared, local_repeats
 from strata.llm.substring import SPANS
 from strata.llm.tables import id_text
@@ -37,6 +46,7 @@ ROLL, ONE_IN, LEAST, MOST = 2, 4, 2, 16
 #: lines are rarely shorter than this on average: only sizes the buckets
 LINE_BYTES = 40
 RESULT = "doc_id long, n_lines long, n_removed long, spans array<struct<start:int,end:int>>, kept_text string"
+WINDOWS = "hash long, body binary, doc_id long, salt long, window int, block int"
 CHUNKS = "hash long, body binary, doc_id long, salt long, doc int, chunk int, block int"
 
 
@@ -150,3 +160,102 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         .select("block", "doc", "chunk")
     )
     return blocks.groupBy("block").cogroup(later.groupBy("block")).applyInArrow(_remove, RESULT)
+
+
+class Windows:
+    """All windows of ``LEAST`` lines of a block that are not white space alone."""
+
+    def __init__(self, block: Block):
+        self.text = b"".join(t + b"\n" for t in block.texts)
+        data = np.frombuffer(self.text, np.uint8)
+        self.end = np.flatnonzero(data == 10)
+        self.start = np.append(0, self.end + 1)[:-1]
+        #: first line of every document, and one past the last
+        self.first = np.searchsorted(self.start, np.cumsum([0] + [len(t) + 1 for t in block.texts]))
+        doc = np.repeat(np.arange(len(block.texts)), np.diff(self.first))
+        line = np.empty(len(self.start), np.uint64)
+        a = 0
+        while a < len(line):
+            lo = self.start[a]
+            b = max(a + 1, int(np.searchsorted(self.end, lo + SEGMENT, "right")))
+            line[a:b] = spans_hash(prefix_sums(data[lo:self.end[b - 1]]), self.start[a:b] - lo, self.end[a:b] - lo)
+            a = b
+        line = mix(line + (self.end - self.start).astype(np.uint64), 61)
+        ink = np.append(0, np.cumsum(~np.isin(data, np.frombuffer(b" \t\n\r\x0b\f", np.uint8))))
+        n = max(len(line) - LEAST + 1, 0)
+        h = line[:n].copy()
+        for j in range(1, LEAST):
+            h = mix(h, 66 + j) + line[j:j + n]
+        #: first lines of the windows, ascending by (document, place)
+        self.at = np.flatnonzero((doc[:n] == doc[LEAST - 1:][:n]) & (ink[self.end[LEAST - 1:][:n]] > ink[self.start[:n]]))
+        self.hash, self.doc = mix(h[self.at], 66), doc[self.at]
+
+    def body(self, i: int) -> bytes:
+        return self.text[self.start[self.at[i]]:self.end[self.at[i] + LEAST - 1]]
+
+    def firsts(self) -> np.ndarray:
+        """Of every window, the first one of the block with the same bytes."""
+        _, first, inverse = np.unique(self.hash, return_index=True, return_inverse=True)
+        out = first[inverse]
+        odd: dict[bytes, int] = {}  # equal hash, other bytes
+        for i in np.flatnonzero(out != np.arange(len(out))).tolist():
+            body = self.body(i)
+            if body != self.body(out[i]):
+                out[i] = odd.setdefault(body, i)
+        return out
+
+
+def _emit_windows(buckets: int):
+    def run(t: pa.Table) -> pa.Table:
+        block = Block(t)
+        return hash_rows(block, np.unique(Windows(block).hash), buckets)
+    return run
+
+
+def _shared_windows(docs: pa.Table, reply: pa.Table) -> pa.Table:
+    block = Block(docs)
+    w = Windows(block)
+    at = np.flatnonzero((w.firsts() == np.arange(len(w.at))) & is_in(w.hash, read_reply(reply)))
+    pick = w.doc[at]
+    return pa.table({"hash": pa.array(w.hash[at].view(np.int64)), "body": pa.array([w.body(i) for i in at], pa.binary()),
+                     "doc_id": block.doc_id.take(pa.array(pick)), "salt": pa.array(block.salt[pick], pa.int64()),
+                     "window": pa.array(at, pa.int32()),
+                     "block": pa.array([block.block] * len(at), pa.int32())})
+
+
+def _remove_runs(docs: pa.Table, gone: pa.Table) -> pa.Table:
+    block = Block(docs)
+    w = Windows(block)
+    first = w.firsts()
+    later = first != np.arange(len(first))
+    earlier_block = np.zeros(len(first), bool)
+    earlier_block[gone.column("window").to_numpy()] = True
+    at = w.at[later | earlier_block[first]]
+    mask = np.zeros(len(w.start), bool)
+    for j in range(LEAST):
+        mask[at + j] = True
+    n_gone, spans, kept = [], [], []
+    for d, text in enumerate(block.texts):
+        cut = mask[w.first[d]:w.first[d + 1]]
+        if not cut.any():
+            n_gone.append(0), spans.append([]), kept.append(text)
+            continue
+        a, b = runs(cut)
+        n_gone.append(int((b - a).sum()))
+        spans.append([{"start": x, "end": y} for x, y in zip(a.tolist(), b.tolist())])
+        a, b = runs(~cut)
+        kept.append(b"\n".join([w.text[x:y] for x, y in zip(w.start[a + w.first[d]].tolist(), w.end[b + w.first[d] - 1].tolist())]))
+    return pa.table({"doc_id": block.doc_id, "n_lines": pa.array(np.diff(w.first), pa.int64()), "n_removed": pa.array(n_gone, pa.int64()),
+                     "spans": pa.array(spans, SPANS), "kept_text": pa.array(kept, pa.binary()).cast(pa.string())})
+
+
+def line_run_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Like ``line_dedup``, and every repeated run of ``LEAST`` lines or more is removed whole."""
+    blocks, total = make_blocks(id_text(docs, doc_id, text))
+    hashes = blocks.groupBy("block").applyInArrow(_emit_windows(buckets_for(total / LINE_BYTES)), HASHES)
+    shared = hashes.groupBy("bucket").applyInArrow(_shared, REPLY)
+    found = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_shared_windows, WINDOWS)
+    place = F.struct(F.isnull("doc_id").alias("null"), "doc_id", "salt", "block", "window")
+    first = found.withColumn("_first", F.min(place).over(Window.partitionBy("hash", "body")))
+    later = first.filter(F.col("block") != F.col("_first.block")).select("block", "window")
+    return blocks.groupBy("block").cogroup(later.groupBy("block")).applyInArrow(_remove_runs, RESULT)

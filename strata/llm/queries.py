@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.decontaminate import contamination
 from strata.llm.exact import exact_groups
-from strata.llm.lines import line_dedup
+from strata.llm.lines import line_run_dedup
 from strata.llm.minhash import near_classes
 from strata.llm.packing import pack_sequences
 from strata.llm.sharding import ROW_OVERHEAD, shuffle_into_shards
@@ -51,7 +51,7 @@ def op5_packing(spark, sf_dir):
 
 
 def op6_line_dedup(spark, sf_dir):
-    kept = line_dedup(documents(spark, sf_dir))
+    kept = line_run_dedup(documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_removed", F.size("spans").cast("long").alias("n_spans"),
                        F.sha2("kept_text", 256).alias("kept_sha256"))
 
