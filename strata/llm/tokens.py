@@ -5,7 +5,8 @@ the pieces' ids are joined.  First it is cut at spaces whose two neighbours are
 no white space (the tokenizers' patterns let a space only begin a token); most
 pieces are known then.  A new piece is cut further, between a letter and a
 full stop, comma or the like, and around a single newline; what is left of plain letters goes
-to the library's model directly, all else through its whole pipeline.  Tests
+to the library's model directly, all else through its whole pipeline.  No cut falls
+into the string of a special token, which the loaded tokenizer gives its one id.  Tests
 compare with the library's encoding of whole texts.
 
 Known pieces are kept by the Python worker in two generations of bounded size:
@@ -45,7 +46,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.tokenizer.model
         self.letters = byte_letters()
         self.known = known
