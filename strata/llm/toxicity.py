@@ -10,7 +10,8 @@ rows, or whose chi-square with the label is under 10, get no weights.
 
 The machine is fitted on the driver, on a bounded sample of labelled rows:
 ``max_rows`` (24,000 by default) rows with the smallest hashes of their ids,
-half of them for either label where there are enough.  Terms are hashed in the
+half of them for either label where there are enough, and of the rows of one id
+the one whose text has the smallest hash.  Terms are hashed in the
 tasks into ``2 ** bits`` slots, and a text brings at most its distinct slots.
 The weights (a fixed 2 ** bits x (1 + factors) floats) are the only thing sent to
 the tasks.  Sampling by label shifts the prior; the intercept is moved
@@ -155,9 +156,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, bits: int = BITS, factors:
     for label, want in ((1, want1), (0, want0)):
         part = known.filter(F.col("label") == label).orderBy(order).limit(want)
         picked = part if picked is None else picked.unionByName(part)
-    # the sample is bounded by max_rows, so it can be broadcast; each text brings its distinct slots
-    sample = (docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("label", "text")
-              .mapInArrow(_slot_batches(bits), "label int, slots binary").toArrow())
+    # at most max_rows ids, so they can be broadcast; of an id's rows one stays, whichever tasks hold them
+    one = F.min(F.struct(F.xxhash64("text").alias("salt"), "text"))["text"].alias("text")
+    sample = (docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(one)
+              .select("label", "text").mapInArrow(_slot_batches(bits), "label int, slots binary").toArrow())
     rows = [np.frombuffer(x, "<i4") for x in sample.column("slots").to_pylist()]
     y = np.array(sample.column("label").to_pylist(), float)
     if not 0 < y.sum() < len(y):  # no labelled row of one class has a document
