@@ -408,7 +408,8 @@ def text_node(text: str = "text"):
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
                  bands: int = BANDS, per_band: int = ROWS) -> DataFrame:
     """Per document row: doc_id, text_md5, class_id (smallest doc_id of its class),
-    class_size (rows), n_links (links of its text)."""
+    class_size (rows), n_links (verified links of its text: leaders of its buckets and pairs
+    that joined components; similar texts of one component that were not compared are not in it)."""
     rows = id_text(docs, doc_id, text)
     texts = materialize(text_classes(rows, threshold, bands, per_band), "near-classes")
     classes = texts.groupBy("label").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"))
