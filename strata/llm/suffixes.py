@@ -1,5 +1,5 @@
-"""Suffix dedup over bytes (operator 7): difference-cover, one suffix bucket at
-a time.
+"""Suffix dedup over bytes (operator 7): hashes at the places of a difference cover, one bucket at
+a time.  No suffix is sorted by its bytes: a rank is a hash, and buckets are in the order of hashes.
 
 Removed is every byte covered by a 400-byte string that also starts anywhere
 else.  So only suffixes that agree on 400 bytes matter, and the suffix order is
