@@ -1,6 +1,5 @@
 import os
 import sys
-from datetime import datetime
 
 import pytest
 
@@ -8,8 +7,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -25,16 +22,3 @@ def spark():
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
-
-
-def ts(second: int, micro: int = 0) -> datetime:
-    return datetime(2026, 1, 1, 0, 0, second, micro)
-
-
-def bronze_rows(spark, topic, payloads, seconds):
-    """Bronze frame from (offset, second) positions: partition 0, kafka_ts =
-    ingested_at, as in FIXTURES.md."""
-    from strata.schemas import BRONZE_SCHEMA
-
-    rows = [(p, topic, 0, i, ts(s), ts(s)) for i, (p, s) in enumerate(zip(payloads, seconds))]
-    return spark.createDataFrame(rows, BRONZE_SCHEMA)

@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from conftest import bronze_rows, ts
+from helpers import bronze_rows, ts
 from fixtures import FX1, FX2
 
 from strata.plans import gold, reports, silver

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import bronze_rows
+from helpers import bronze_rows
 from fixtures import FX2, LATE_UPDATE_AFTER_DELETE
 
 from strata.operators.upsert import live_rows, upsert

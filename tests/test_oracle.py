@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry  # noqa: E402
 from check_oracle import digest, duck_connect  # noqa: E402
 
-from conftest import SF_SMALL  # noqa: E402
+from helpers import SF_SMALL  # noqa: E402
 
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()

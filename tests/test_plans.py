@@ -1,7 +1,7 @@
 """Plan-shape checks: pushed filters, pruned scans, partial top-1 before the
 shuffle, partial aggregation, no Python UDF anywhere."""
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 from strata.plans import gold, silver
 from strata.plans.queries import CDC_LONG, REGISTRY, bronze_api, bronze_cdc, table

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import bronze_rows
+from helpers import bronze_rows
 from fixtures import FX1, FX2
 
 from strata.operators.quality import QualityGateFailed

@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 from strata.operators.upsert import upsert
 from strata.plans import silver
@@ -104,7 +104,7 @@ def test_two_topics_two_queries(spark, tmp_path):
 def test_stream_dedup_keeps_first_copies_however_late(spark, tmp_path):
     from strata.schemas import BRONZE_SCHEMA, MESSAGE_ID
     from strata.streaming.upsert_stream import start_dedup
-    from conftest import ts
+    from helpers import ts
 
     def rows(offsets, second, landed):
         return spark.createDataFrame(

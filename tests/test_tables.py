@@ -3,7 +3,7 @@
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from conftest import bronze_rows
+from helpers import bronze_rows
 from fixtures import FX1
 
 from strata.plans.maintenance import maintain
