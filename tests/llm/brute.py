@@ -96,7 +96,6 @@ def encode(path, texts, end_id):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return [np.array(e.ids + [end_id], "<u4") for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
