@@ -5,10 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strata.llm.codes import codebooks_sha256, label_errors, vector_codes
 from strata.llm.decontaminate import contamination
 from strata.llm.exact import exact_groups
+from strata.llm.lexical import search
 from strata.llm.lines import line_run_dedup
 from strata.llm.minhash import near_classes
+from strata.llm.ngram_join import jaccard_components
 from strata.llm.packing import pack_sequences
 from strata.llm.sharding import ROW_OVERHEAD, shuffle_into_shards
 from strata.llm.substring import substring_dedup
@@ -84,5 +87,21 @@ def op10_benchmark_decontamination(spark, sf_dir):
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op11_vector_codes(spark, sf_dir):
+    codes, books = vector_codes(table(spark, sf_dir, "embeddings"))
+    digits = F.array_join(F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "")
+    return label_errors(codes).select("vec_id", digits.alias("code"), "error", "label_error",
+                                      F.lit(codebooks_sha256(books)).alias("codebooks_sha256"))
+
+
+def op12_ngram_jaccard(spark, sf_dir):
+    return jaccard_components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
+def op13_lexical_search(spark, sf_dir):
+    return search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 REGISTRY = {f.__name__: f for f in (
-    op1_minhash_neardup, op2_substring_dedup, op3_exact_dedup, op4_token_output, op5_packing, op6_line_dedup, op7_suffix_array_dedup, op8_toxicity, op9_sharding, op10_benchmark_decontamination)}
+    op1_minhash_neardup, op2_substring_dedup, op3_exact_dedup, op4_token_output, op5_packing, op6_line_dedup, op7_suffix_array_dedup, op8_toxicity, op9_sharding,
+    op10_benchmark_decontamination, op11_vector_codes, op12_ngram_jaccard, op13_lexical_search)}
