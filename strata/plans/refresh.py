@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 from strata.operators.quality import QualityGateFailed, fanout_check, key_violations, quality_gate
 from strata.operators.upsert import live_rows
 from strata.plans import gold, silver
+from strata.plans.stats_delta import refresh_stats
 from strata.schemas import API_USER_COLUMNS, CDC_SCHEMA, CDC_USER_COLUMNS
-from strata.sources.tables import VersionedTable
+from strata.sources.keyed import PLACE_BYTES, buckets_for
+from strata.sources.tables import _FS, VersionedTable
 
 
 @dataclass
@@ -26,6 +28,12 @@ class Layout:
     #: envelope schema of the change feed: widen it for 64-bit ids or new fields
     cdc_schema: T.StructType = field(default_factory=lambda: CDC_SCHEMA)
 
+    @classmethod
+    def sized(cls, root: str, silver_bytes: int, bucket_bytes: int = PLACE_BYTES, **more) -> Layout:
+        """As many buckets as the size the Silver tables have, or will have, asks for (``buckets`` can't
+        change once a table is written)."""
+        return cls(root, buckets_for(silver_bytes, bucket_bytes), **more)
+
     def table(self, spark: SparkSession, name: str, keys: list[str] | None = None) -> VersionedTable:
         if keys:
             return VersionedTable(spark, f"{self.root}/{name}", self.buckets, keys)
@@ -66,12 +74,28 @@ def refresh_gold(spark: SparkSession, layout: Layout, match: str = "all") -> dic
     return {"users_enriched": enriched_t.latest(), "user_stats": stats_t.latest()}
 
 
+def _passed(layout: Layout, spark: SparkSession) -> dict:
+    """Silver versions that the gate has passed last."""
+    path = f"{layout.root}/_gate.json"
+    fs = _FS(spark, layout.root)
+    return json.loads(fs.read_text(path)) if fs.exists(path) else {}
+
+
+def _unchecked(table: VersionedTable, since: int | None) -> DataFrame:
+    """Rows of the buckets rewritten after a version that passed; all rows without one.  A key lies
+    in one bucket, so buckets that passed and stand unchanged hold no new repetition."""
+    moved = table.changed_since(since) if since is not None else None
+    return table.read() if moved is None else moved[1]
+
+
 def silver_checks(spark: SparkSession, layout: Layout, match: str = "all") -> dict[str, DataFrame]:
-    """What must be empty before Gold is published: repeated keys in Silver
-    and, where each user may have one record only, rows added by the enrichment join."""
+    """What must be empty before Gold is published: repeated keys in what Silver has rewritten since
+    the gate last passed and, where each user may have one record only, rows added by the enrichment join."""
+    api_t, cdc_t = (layout.table(spark, f"silver/{n}", [k]) for n, k in (("api_users", "username"), ("cdc_users", "id")))
+    passed = _passed(layout, spark)
+    checks = {"silver_api_unique_username": key_violations(_unchecked(api_t, passed.get("api")), ["username"]),
+              "silver_cdc_unique_id": key_violations(_unchecked(cdc_t, passed.get("cdc")), ["id"])}
     api, cdc = read_silver(spark, layout)
-    checks = {"silver_api_unique_username": key_violations(api, ["username"]),
-              "silver_cdc_unique_id": key_violations(cdc, ["id"])}
     if match == "latest":
         checks["enrichment_no_fanout"] = fanout_check(api, gold.users_enriched(api, cdc, match))
     return checks
@@ -90,6 +114,9 @@ def refresh_all(spark: SparkSession, layout: Layout, deletes: str = "ignore", ma
         gate = quality_gate(checks(spark, layout, match))
         if not gate.passed:
             raise QualityGateFailed(gate)
+        if checks is silver_checks:
+            seen = {n: layout.table(spark, f"silver/{n}_users").latest().version for n in ("api", "cdc")}
+            _FS(spark, layout.root).write_text(f"{layout.root}/_gate.json", json.dumps(seen))
     if incremental_gold:
         out.update(refresh_gold_incremental(spark, layout, match))
     else:
@@ -130,8 +157,7 @@ def refresh_gold_incremental(spark: SparkSession, layout: Layout, match: str = "
     after).  Users to redo are those changed users plus, through a
     semi-join, every user holding one of those e-mails.  Only they are re-joined, against records pre-filtered to their
     e-mails, and their rows are replaced in the touched Gold buckets.  The
-    rollup has few groups and an exact distinct count, so it is re-aggregated
-    from the published table (partial aggregation map-side).  With no usable
+    rollup is kept by deltas of those buckets (``stats_delta``).  With no usable
     mark (first run, expired versions) it rebuilds in full.
     """
     api_t = layout.table(spark, "silver/api_users")
@@ -150,9 +176,7 @@ def refresh_gold_incremental(spark: SparkSession, layout: Layout, match: str = "
     if seen is None or api_delta is None or cdc_delta is None:
         enriched_t.overwrite(gold.users_enriched(api, cdc, match), operation="replace", mark=mark)
     elif (seen["api"], seen["cdc"]) == (api_head.version, cdc_head.version):
-        stats_t = layout.table(spark, "gold/user_stats_inc")
-        if stats_t.exists():  # nothing new: Gold and its rollup stand as they are
-            return {"users_enriched": head, "user_stats": stats_t.latest()}
+        pass  # nothing new in Silver: Gold stands as it is
     else:
         # exact changed rows: touched buckets as they were and as they are now,
         # minus what both hold (a touched bucket is mostly unchanged rows)
@@ -175,8 +199,6 @@ def refresh_gold_incremental(spark: SparkSession, layout: Layout, match: str = "
         gone = users.join(api, "username", "left_anti").withColumn(_GONE, F.lit(True))
         done = enriched_t.merge(rows.unionByName(gone, allowMissingColumns=True), ["username"],
                                 combine=replace_keys(["username"]), operation="refresh", mark=mark)
-        if done is head:  # nobody to redo: only the mark moves
+        if done.version == head.version:  # nobody to redo: only the mark moves
             enriched_t._commit("mark", head.parts, enriched_t.schema(), base=head, mark=mark)
-    stats_t = layout.table(spark, "gold/user_stats_inc")
-    stats_t.overwrite(gold.user_stats(enriched_t.read()), operation="replace")
-    return {"users_enriched": enriched_t.latest(), "user_stats": stats_t.latest()}
+    return {"users_enriched": enriched_t.latest(), "user_stats": refresh_stats(spark, layout, enriched_t)}

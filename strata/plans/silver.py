@@ -264,14 +264,16 @@ def _appended_since(bronze, since: int, head) -> list[str] | None:
     from strata.sources.tables import LOG_SCHEMA
 
     names = {bronze._entry(v) for v in range(since, head.version + 1)}  # the consumed version too
-    if not all(bronze._fs.exists(n) for n in names):
+    logged = set(bronze._fs.list_names(bronze._log))  # one listing, not a call for each entry
+    if not all(n.rsplit("/", 1)[1] in logged for n in names):
         return None
     log = bronze.spark.read.schema(LOG_SCHEMA).json(sorted(names)).filter(F.col("version") > since)
     rows = log.select("operation", F.when(F.col("operation") == "append", F.element_at("parts", -1)).alias("part")).collect()
     if any(r["operation"] not in ("append", "compact", "mark") for r in rows):
         return None
     added = [r["part"] for r in rows if r["part"]]
-    return added if all(bronze._fs.exists(f"{bronze.root}/{p}") for p in added) else None
+    stored = {f"{folder}/{n}" for folder in {p.rsplit("/", 1)[0] for p in added} for n in bronze._fs.list_names(f"{bronze.root}/{folder}")}
+    return added if all(p in stored for p in added) else None
 
 
 def refresh(
@@ -311,7 +313,7 @@ def refresh(
 
     commit = silver.merge(updates, list(keys), order, operation="merge", mark=consumed,
                           files_per_bucket=files_per_bucket)
-    if commit is head:  # every fresh row was rejected: only the mark moves
+    if commit is None or (head is not None and commit.version == head.version):  # every fresh row was rejected: only the mark moves
         commit = silver._commit("mark", head.parts if head else [],
                                 silver.schema() if head else updates.schema, base=head, mark=consumed())
     return commit

@@ -133,3 +133,15 @@ def test_unconsumed_falls_back_when_commits_expired(spark, tmp_path):
     b._fs.delete(b._entry(1))  # the commit that appended the second half has expired
     fresh = silver.unconsumed(b, mark).collect()
     assert {r["kafka_offset"] for r in fresh} >= set(range(n // 2, n))
+
+
+def test_a_run_of_rejects_moves_the_mark(spark, tmp_path):
+    """Only unusable messages landed: Silver stays, and they are not read again."""
+    bronze_t = VersionedTable(spark, str(tmp_path / "b"))
+    silver_t = VersionedTable(spark, str(tmp_path / "s"), buckets=2, bucket_keys=["username"])
+    run = lambda: silver.refresh(bronze_t, silver_t, silver.api_updates, ["username"], silver.API_ORDER)
+    bronze_t.append(bronze_rows(spark, "t", ['{"username":"a","email":"a@mail.test"}'], [1]))
+    run()
+    bronze_t.append(bronze_rows(spark, "t", ["garbage"], [2]))
+    assert run().operation == "mark" and run() is None
+    assert [r["username"] for r in silver_t.read().collect()] == ["a"]
