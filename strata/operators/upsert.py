@@ -54,9 +54,9 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     if order is None:
         if strict:
             assert_unique(updates, keys)
-        updates = unique_source(updates, keys)
+        # the check stands on one side of the plan only: the other needs the keys, repeated or not
         kept = target.join(updates.select(*keys), on=keys, how="left_anti")
-        return kept.unionByName(updates)
+        return kept.unionByName(unique_source(updates, keys))
     return latest_per_key(target.unionByName(updates), keys, order)
 
 

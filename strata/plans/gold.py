@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from strata.functions.text import label_unknown
 from strata.operators.dedup import latest_per_key, newest_first
+from strata.operators.skew import split_left_join
 
 
-def users_enriched(api: DataFrame, cdc: DataFrame, match: str = "all") -> DataFrame:
+def users_enriched(api: DataFrame, cdc: DataFrame, match: str = "all", split_above: int | None = None) -> DataFrame:
     """Every API user, with the source-database record that shares its
     e-mail (case-insensitive) when there is one (C1).
 
@@ -33,6 +34,12 @@ def users_enriched(api: DataFrame, cdc: DataFrame, match: str = "all") -> DataFr
     records = cdc.filter(F.col("email").isNotNull()).withColumn(key, F.lower(F.col("email")))
     if match == "latest":
         records = latest_per_key(records, [key], newest_first("source_ts", "id"))
+    if split_above is not None:
+        named = records.select(F.col("id").alias("db_id"), "department", F.col("source_ts").alias("last_db_update"),
+                               F.col(key).alias("_record_key"))
+        joined = split_left_join(api, named, F.lower("email"), F.col("_record_key"), split_above)
+        return joined.select("username", "full_name", "gender", "email", "birth_year", "phone", "postcode", "db_id", "department",
+                             "last_db_update", F.col("ingested_at").alias("api_ingested_at"))
     a, c = api.alias("a"), records.alias("c")
     return a.join(c, F.lower(F.col("a.email")) == F.col(f"c.{key}"), "left").select(
         F.col("a.username"),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.dedup import drop_duplicate_messages, duplicate_messages
 from strata.operators.incremental import max_of, slice_after_target
-from strata.operators.quality import constraint_violations, fanout_check, gate_counts, state_diff
+from strata.operators.quality import constraint_violations, fanout_check, gate_counts, state_changes
 from strata.operators.rollup import duplicate_keys
 from strata.operators.upsert import insert_if_absent, sync_columns, upsert, upsert_columns
 from strata.plans import gold, reports, silver
@@ -447,7 +447,7 @@ def q_idempotence(spark, sf_dir):
         bronze_t.append(bronze_cdc(spark, sf_dir))  # the second time the same rows land again
         silver.refresh(bronze_t, silver_t, build, ["id"], silver.CDC_ORDER, overlap="3650 DAYS")
         state = silver_t.read().select(*CDC_USER_COLUMNS)
-        changed = 0 if first is None else state_diff(first, state).count()
+        changed = 0 if first is None else state_changes(first, state, keys=["id"]).count()
         first = state if first is None else first
         rows.append(state.agg(F.count(F.lit(1)).alias("silver_rows"))
                     .select(F.lit(run).alias("run"), "silver_rows", F.lit(changed).cast("long")

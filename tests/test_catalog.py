@@ -28,3 +28,27 @@ def test_create_probe_drop(spark, tmp_path):
 
 def test_versioned_table_probe(spark, tmp_path):
     assert not table_exists(spark, str(tmp_path / "nothing"))
+
+
+def test_partitions_whole_and_append(spark, tmp_path):
+    from strata.sources import catalog
+
+    ns = f"ns_{uuid.uuid4().hex[:6]}"
+    name = f"{ns}.t"
+    df = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(6)], "v long, p string")
+    try:
+        catalog.create(spark, name, df.schema, location=str(tmp_path / "t"), partition_by=("p",))
+        catalog.append(df.select("p", "v"), name)  # by name
+        catalog.append(df.limit(0), name)
+        read = lambda: sorted(tuple(r) for r in spark.table(name).select("v", "p").collect())
+        assert read() == sorted((i, "ab"[i % 2]) for i in range(6))
+        catalog.replace_partitions(spark.createDataFrame([(9, "a")], "v long, p string"), name)
+        assert read() == [(1, "b"), (3, "b"), (5, "b"), (9, "a")]
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+        catalog.replace(spark.table(name).filter("v < 4"), name)  # from itself
+        assert read() == [(1, "b"), (3, "b")]
+        assert [tuple(r) for r in catalog.describe(spark, name).orderBy("position").collect()] == [(0, "v", "bigint", False), (1, "p", "string", True)]
+        assert [tuple(r) for r in catalog.tables(spark, ns).collect()] == [("t", False)]
+    finally:
+        catalog.drop_namespace(spark, ns)
+    assert not catalog.exists(spark, name)
