@@ -5,22 +5,20 @@ ceil(t n) elements, n the size of either, so under *any* order of all shingles t
 first n - ceil(t n) + 1 elements of both, their prefixes, share an element.  Three orders are used: A, by hash;
 C, by another hash; B, rarest first.
 
-1. Blocks send the prefixes under A and C to hash buckets and hear which of their elements
-   other blocks have too.  A document without a shared element in either prefix has no partner.
-2. The documents left send all their shingles, and hear the document frequencies of
-   those that others have.  Elements of one document alone count as missing: of the rest, in the order B, only
-   the first n - ceil(t n) + 1 - missing are a prefix, and a document without one has no partner.
-3. Documents of equal sets are one node.  Nodes meet in the buckets of their B prefixes; buckets of
+1. Blocks count document frequencies (``frequencies``).  An element of one document alone is in no intersection, so it counts as
+   missing: of the others, in any order, only the first n - ceil(t n) + 1 - missing are a prefix.  A document
+   without one has no partner.
+2. Documents of equal sets are one node.  Nodes meet in the buckets of their B prefixes; buckets of
    the same members are one.  A pair of nodes is a candidate only if its sizes allow t and its
    prefixes overlap under A and under C as well; what passes all filters is verified on the whole sets.
-4. First every node is tested against one node only: of the first members of its buckets (those with
+3. First every node is tested against one node only: of the first members of its buckets (those with
    the fewest missing elements) the best one.  That turns a big family into one component with one pair for
    each member.  Then members of a bucket outside of its main component are compared with
    its members of other components, chunk by chunk: sizes and 512-bit parity maps of the sets
    (two maps differ in at most as many bits as the sets in elements) leave the pairs that can reach t, the closest few
    of each member go first, until no untested pair is left between two components.
 
-So a link may go untested only within a component.  All of 1 to 3 is exact: no pair is lost.  Shingles are told
+So a link may go untested only within a component.  All of that is exact: no pair is lost.  Shingles are told
 apart by 64-bit hashes, sets by 128 bits of those.
 
 Defined results: a text of fewer words, but not none, is one shingle; null texts and those without words have
@@ -38,8 +36,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.blocks import (HASHES, REPLY, Block, Words, buckets_for, hash_rows, is_in, make_blocks, open_bucket,
-                               read_reply, reply_rows)
+from strata.llm.blocks import HASHES, Block, Words, buckets_for, is_in, make_blocks
+from strata.llm.frequencies import FREQUENCIES, codes_for, counted_rows, frequencies
 from strata.llm.graph import joined, settle
 from strata.llm.tables import id_text
 from strata.llm.token_store import mix
@@ -53,7 +51,6 @@ MAP_BITS = 512
 #: Blanks are the bytes 9 to 13 and 32; A-Z fold to a-z.
 IS_WORD = np.array([not (b == 32 or 9 <= b <= 13) for b in range(256)])
 FOLD = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
-DF = np.dtype([("h", "<u8"), ("df", "<u4")])
 DOCS = ("doc_id long, n long, node binary, missing long, prefix array<long>, under_a array<int>, under_c array<int>, "
         "map binary, rest binary")
 MEMBER = np.dtype([("node", "S16"), ("label", "S16"), ("n", "<i8"), ("map", "u1", (MAP_BITS // 8,))])
@@ -88,13 +85,6 @@ def order_c(h: np.ndarray) -> np.ndarray:
     return mix(h, 63)
 
 
-def _prefixes(s: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Prefixes under A and C.  The latter as the values that order it, so those of the two don't meet."""
-    p = len(s) - least_shared(len(s), percent) + 1
-    c = order_c(s)
-    return s[:p], np.sort(np.partition(c, p - 1)[:p]) if p < len(c) else np.sort(c)
-
-
 def _by_set(texts: list[bytes]) -> tuple[list[np.ndarray], list[bytes], np.ndarray]:
     """Sets, their names, and which texts are the first of their set in the block."""
     sets = shingle_sets(texts)
@@ -104,82 +94,26 @@ def _by_set(texts: list[bytes]) -> tuple[list[np.ndarray], list[bytes], np.ndarr
     return sets, names, first
 
 
-def _emit(buckets: int, percent: int):
-    def run(t: pa.Table) -> pa.Table:
-        block = Block(t)
-        sets, _, first = _by_set(block.texts)
-        parts = [x for s, f in zip(sets, first) if f for x in _prefixes(s, percent)]
-        return hash_rows(block, np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64), buckets)
-    return run
-
-
-def _shared(t: pa.Table) -> pa.Table:
-    """Tell blocks which of their hashes other blocks have too."""
-    h, _, block = open_bucket(t)
-    _, group, n = np.unique(h, return_inverse=True, return_counts=True)
-    many = n[group] > 1
-    return reply_rows(block[many], h[many])
+def _known(sets: list[np.ndarray], first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of a block's sets, and how many of them have each."""
+    parts = [s for s, f in zip(sets, first) if f]
+    return np.unique(np.concatenate(parts), return_counts=True) if parts else (np.empty(0, np.uint64), np.empty(0, np.int64))
 
 
-def _alive(sets, first, told: np.ndarray, percent: int) -> list[bool]:
-    """Which first sets share an element of each of their prefixes, with the block's others or with other blocks."""
-    prefixes = [_prefixes(s, percent) if f else None for s, f in zip(sets, first)]
-    flat = [x for p in prefixes if p for x in p]
-    if not flat:
-        return [False] * len(sets)
-    h, n = np.unique(np.concatenate(flat), return_counts=True)
-    known = np.union1d(h[n > 1], told)
-    return [bool(p) and bool(is_in(p[0], known).any()) and bool(is_in(p[1], known).any()) for p in prefixes]
-
-
-def _emit_all(buckets: int, percent: int):
-    """All shingles of the documents that may have a partner, each with the number of its sets."""
-    def run(docs: pa.Table, told: pa.Table) -> pa.Table:
-        block = Block(docs)
+def _emit(buckets: int):
+    def run(t: pa.Table) -> pa.Table:
+        block = Block(t)
         sets, _, first = _by_set(block.texts)
-        alive = _alive(sets, first, read_reply(told), percent)
-        parts = [s for s, a in zip(sets, alive) if a]
-        if not parts or block.block is None:
-            return hash_rows(block, np.empty(0, np.uint64), buckets)
-        h, n = np.unique(np.concatenate(parts), return_counts=True)
-        rows = hash_rows(block, h, buckets)
-        # counts as far as they are over 1, as (hash, count) after the hashes
-        counts = dict(zip(h[n > 1].tolist(), n[n > 1].tolist()))
-        out = []
-        for blob in rows.column("hashes").to_pylist():
-            own = np.frombuffer(blob, "<u8")
-            many = [(x, counts[x]) for x in own.tolist() if x in counts]
-            out.append(len(own).to_bytes(4, "little") + blob + np.array(many, DF).tobytes())
-        return rows.set_column(3, "hashes", pa.array(out, pa.binary()))
+        return counted_rows(block, *_known(sets, first), buckets)
     return run
 
 
-def _frequencies(t: pa.Table) -> pa.Table:
-    """Tell blocks the document frequency of their shingles, where it is over 1."""
-    parts, counts = [], []
-    for blob in t.column("hashes").to_pylist():
-        m = int.from_bytes(blob[:4], "little")
-        h, n = np.frombuffer(blob, "<u8", m, 4), np.ones(m, np.int64)
-        many = np.frombuffer(blob, DF, offset=4 + 8 * m)
-        n[np.searchsorted(h, many["h"])] = many["df"]  # the block's hashes ascend
-        parts.append(h)
-        counts.append(n)
-    block = np.repeat(t.column("block").to_numpy(), [len(p) for p in parts])
-    h, n = np.concatenate(parts), np.concatenate(counts)
-    _, group = np.unique(h, return_inverse=True)
-    df = np.bincount(group, n).astype(np.int64)[group]
-    many = df > 1
-    out = np.empty(int(many.sum()), DF)
-    out["h"], out["df"] = h[many], np.minimum(df[many], (1 << 32) - 1)
-    return reply_rows(block[many], out)
-
-
 def parity_map(s: np.ndarray, bits: int = MAP_BITS) -> bytes:
     """One bit for each of ``bits`` classes of elements: is their number odd?"""
     return np.packbits(np.bincount((mix(s, 64) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).tobytes()
 
 
-def _nodes(percent: int):
+def _nodes(buckets: int, percent: int):
     """A row for every document; the first of a set that may have a partner holds what the join needs."""
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.binary()), ("missing", pa.int64()),
                         ("prefix", pa.list_(pa.int64())), ("under_a", pa.list_(pa.int32())), ("under_c", pa.list_(pa.int32())),
@@ -188,18 +122,16 @@ def _nodes(percent: int):
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
         block = Block(docs)
         sets, names, first = _by_set(block.texts)
-        kinds = told.column("kind").to_numpy()
-        alive = _alive(sets, first, read_reply(told.filter(pa.array(kinds == 1))), percent)
-        df = np.sort(read_reply(told.filter(pa.array(kinds == 2)), DF), order="h")
+        known, _ = _known(sets, first)
+        codes = codes_for(known, buckets, told)
         rows = []
-        for s, name, a in zip(sets, names, alive):
+        for s, name, f in zip(sets, names, first):
             extra = None
-            if a:
-                hit = is_in(s, df["h"])
-                rest = s[hit]
+            if f:
+                often = codes[np.searchsorted(known, s)]
+                rest, often = s[often > 0], often[often > 0]
                 p = len(s) - int(least_shared(len(s), percent)) + 1 - (len(s) - len(rest))
                 if p > 0:
-                    often = df["df"][np.searchsorted(df["h"], rest)]
                     b = rest[np.lexsort((rest, often))[:p]]
                     c = order_c(rest)
                     c = c[np.argpartition(c, p - 1)[:p]] if p < len(c) else c
@@ -332,15 +264,10 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     component_size (rows)."""
     rows = id_text(docs, doc_id, text)
     blocks, total = make_blocks(rows)
-    words = total / 6
-    shared = (blocks.groupBy("block").applyInArrow(_emit(buckets_for(words / 3), percent), HASHES)
-              .groupBy("bucket").applyInArrow(_shared, REPLY))
-    shared = materialize(shared, "ngram-shared")
+    buckets = buckets_for(total / 5)
     of_block = blocks.groupBy("block")
-    counted = (of_block.cogroup(shared.groupBy("block")).applyInArrow(_emit_all(buckets_for(words), percent), HASHES)
-               .groupBy("bucket").applyInArrow(_frequencies, REPLY))
-    told = shared.withColumn("kind", F.lit(1)).unionByName(counted.withColumn("kind", F.lit(2)))
-    made = materialize(of_block.cogroup(told.groupBy("block")).applyInArrow(_nodes(percent), DOCS), "ngram-documents")
+    told = of_block.applyInArrow(_emit(buckets), HASHES).groupBy("bucket").applyInArrow(frequencies, FREQUENCIES)
+    made = materialize(of_block.cogroup(told.groupBy("block")).applyInArrow(_nodes(buckets, percent), DOCS), "ngram-documents")
     blocks.unpersist()
     nodes = materialize(made.filter(F.col("rest").isNotNull()).drop("doc_id").dropDuplicates(["node"]), "ngram-nodes")
     label = _labels(nodes, percent)
