@@ -1,7 +1,7 @@
 """Upsert algebra (I4, I6, I9, I10, I12) as pure DataFrame functions.
 
 Storage is separate: ``VersionedTable.merge`` feeds these the touched slice
-of a bucketed table; a catalog with ``MERGE`` uses ``catalog_merge``.
+of a bucketed table; a catalog with ``MERGE`` uses ``sources.catalog.merge``.
 """
 
 from __future__ import annotations

@@ -10,20 +10,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.sources.tables import catalog_create_namespace, catalog_create_table, catalog_drop
+from strata.session import materialize
+
+
+def create_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
+    """Created where it is absent."""
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}{loc}")
 
 
 def create(spark: SparkSession, name: str, schema: T.StructType, location: str | None = None, using: str = "parquet",
-           partition_by: tuple[str, ...] = ()) -> None:
+           partition_by: tuple[str, ...] = (), properties: dict[str, str] | None = None) -> None:
     """Declared table, created where it is absent (A5), with its namespace."""
     namespace = name.rpartition(".")[0]
     if namespace:
-        catalog_create_namespace(spark, namespace)
-    if not partition_by:
-        return catalog_create_table(spark, name, schema, using, location=location)
+        create_namespace(spark, namespace)
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {using} PARTITIONED BY ({', '.join(partition_by)}){loc}")
+    props = f" TBLPROPERTIES ({', '.join(f"'{k}' = '{v}'" for k, v in properties.items())})" if properties else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {using}{parts}{loc}{props}")
 
 
 def exists(spark: SparkSession, name: str) -> bool:
@@ -39,8 +45,6 @@ def append(df: DataFrame, name: str) -> None:
 def replace(df: DataFrame, name: str) -> None:
     """The rows become the whole table; its declaration stays.  The rows may come from the table itself: they are
     written out first."""
-    from strata.session import materialize
-
     materialize(df.select(*df.sparkSession.table(name).columns), "catalog-replace").write.insertInto(name, overwrite=True)
 
 
@@ -70,8 +74,16 @@ def describe(spark: SparkSession, name: str) -> DataFrame:
 
 def drop(spark: SparkSession, name: str) -> None:
     """A10: also where it is absent."""
-    catalog_drop(spark, name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def drop_namespace(spark: SparkSession, namespace: str) -> None:
     spark.sql(f"DROP NAMESPACE IF EXISTS {namespace} CASCADE")
+
+
+def merge(df: DataFrame, name: str, keys: list[str], delete_when: str | None = None) -> None:
+    """I4: ``MERGE INTO`` by key, on a catalog whose tables support it (the session catalog's Parquet tables don't)."""
+    on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+    gone = f"WHEN MATCHED AND {delete_when} THEN DELETE " if delete_when else ""
+    df.sparkSession.sql(f"MERGE INTO {name} t USING {{updates}} s ON {on} {gone}"
+                        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *", updates=df)

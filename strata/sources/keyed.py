@@ -10,7 +10,7 @@ Guarantees: Spark moves finished partitions into place when the job commits, so
 executor or a failed job leaves the table as it was.  The moves of one commit are not one step: a driver that
 dies among them leaves some places new and some old.  Running the same upsert again heals that, as
 every rule here gives the same state when it is applied twice.  One writer at a time; readers of one
-place during its move may have to retry.  Where that isn't enough, use a catalog with ``MERGE`` (``catalog_merge``).
+place during its move may have to retry.  Where that isn't enough, use a catalog with ``MERGE`` (``catalog.merge``).
 """
 
 from __future__ import annotations

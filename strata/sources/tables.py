@@ -838,53 +838,10 @@ class VersionedTable:
         return {"expired_versions": hi - lo + 1, "deleted_data_dirs": deleted}
 
 
-# --------------------------------------------------------------- catalog use
+# -------------------------------------------------------------------- probe
 def table_exists(spark: SparkSession, name_or_path: str) -> bool:
     """Table-exists probe (A8): catalog name or versioned-table folder.  Only
     absence is reported as False; other errors propagate."""
     if "/" in name_or_path:
         return VersionedTable(spark, name_or_path).exists()
     return spark.catalog.tableExists(name_or_path)
-
-
-def catalog_create_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
-    """``CREATE NAMESPACE IF NOT EXISTS``."""
-    loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}{loc}")
-
-
-def catalog_create_table(spark: SparkSession, name: str, schema: T.StructType,
-                         using: str = "parquet", properties: dict[str, str] | None = None,
-                         location: str | None = None) -> None:
-    """``CREATE TABLE IF NOT EXISTS`` with a declared schema (A5)."""
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    props = ""
-    if properties:
-        props = " TBLPROPERTIES (" + ", ".join(f"'{k}' = '{v}'" for k, v in properties.items()) + ")"
-    loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {using}{loc}{props}")
-
-
-def catalog_replace(df: DataFrame, name: str, using: str | None = None) -> None:
-    """Atomic replace-table on a catalog that supports it."""
-    writer = df.writeTo(name)
-    if using:
-        writer = writer.using(using)
-    writer.createOrReplace()
-
-
-def catalog_drop(spark: SparkSession, name: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-
-
-def catalog_merge(spark: SparkSession, target: str, updates: DataFrame, keys: list[str],
-                  delete_when: str | None = None) -> None:
-    """``MERGE INTO`` for catalogs that support it (Iceberg / Delta)."""
-    view = f"_strata_updates_{abs(hash(target)) % 10**8}"
-    updates.createOrReplaceTempView(view)
-    on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
-    delete = f"WHEN MATCHED AND {delete_when} THEN DELETE " if delete_when else ""
-    spark.sql(
-        f"MERGE INTO {target} t USING {view} s ON {on} {delete}"
-        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
-    )

@@ -100,19 +100,8 @@ def start_rate(stream: DataFrame, table: VersionedTable, ts: str, checkpoint: st
     )
 
 
-def progress_offsets(query: StreamingQuery) -> list[dict]:
-    """Per-source start/end offsets of the last micro-batch (K7)."""
-    p = query.lastProgress or {}
-    return [
-        {"source": s.get("description"), "start": s.get("startOffset"), "end": s.get("endOffset"),
-         "rows": s.get("numInputRows")}
-        for s in p.get("sources", [])
-    ]
-
-
 __all__ = [
     "merge_batches",
-    "progress_offsets",
     "start_dedup",
     "start_rate",
     "start_upsert",

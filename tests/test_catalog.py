@@ -2,27 +2,25 @@
 
 import uuid
 
+import pytest
+
 from strata.schemas import BRONZE_SCHEMA
-from strata.sources.tables import (
-    catalog_create_namespace,
-    catalog_create_table,
-    catalog_drop,
-    table_exists,
-)
+from strata.sources import catalog
+from strata.sources.tables import table_exists
 
 
 def test_create_probe_drop(spark, tmp_path):
     ns = f"ns_{uuid.uuid4().hex[:6]}"
-    catalog_create_namespace(spark, ns, str(tmp_path / "ns"))
-    catalog_create_namespace(spark, ns)  # idempotent
+    catalog.create_namespace(spark, ns, str(tmp_path / "ns"))
+    catalog.create_namespace(spark, ns)  # idempotent
     name = f"{ns}.api_users_raw"
     assert not table_exists(spark, name)
-    catalog_create_table(spark, name, BRONZE_SCHEMA, location=str(tmp_path / "t"))
-    catalog_create_table(spark, name, BRONZE_SCHEMA, location=str(tmp_path / "t"))  # IF NOT EXISTS
+    catalog.create(spark, name, BRONZE_SCHEMA, location=str(tmp_path / "t"))
+    catalog.create(spark, name, BRONZE_SCHEMA, location=str(tmp_path / "t"))  # IF NOT EXISTS
     assert table_exists(spark, name)
     assert [f.name for f in spark.table(name).schema.fields] == [f.name for f in BRONZE_SCHEMA.fields]
-    catalog_drop(spark, name)
-    catalog_drop(spark, name)
+    catalog.drop(spark, name)
+    catalog.drop(spark, name)
     assert not table_exists(spark, name)
 
 
@@ -31,8 +29,6 @@ def test_versioned_table_probe(spark, tmp_path):
 
 
 def test_partitions_whole_and_append(spark, tmp_path):
-    from strata.sources import catalog
-
     ns = f"ns_{uuid.uuid4().hex[:6]}"
     name = f"{ns}.t"
     df = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(6)], "v long, p string")
@@ -52,3 +48,31 @@ def test_partitions_whole_and_append(spark, tmp_path):
     finally:
         catalog.drop_namespace(spark, ns)
     assert not catalog.exists(spark, name)
+
+
+def test_mark_of_a_catalog_table(spark, tmp_path):
+    from strata.operators.incremental import table_mark
+
+    ns = f"ns_{uuid.uuid4().hex[:6]}"
+    try:
+        assert table_mark(spark, f"{ns}.t", "v") is None  # absent
+        df = spark.createDataFrame([(1,), (7,)], "v long")
+        catalog.create(spark, f"{ns}.t", df.schema, location=str(tmp_path / "t"), properties={"owner": "tests"})
+        assert table_mark(spark, f"{ns}.t", "v") is None  # empty
+        catalog.append(df, f"{ns}.t")
+        assert table_mark(spark, f"{ns}.t", "v") == 7
+        assert ("owner", "tests") in {tuple(r) for r in spark.sql(f"SHOW TBLPROPERTIES {ns}.t").collect()}
+        # the statement is understood; Parquet tables of the session catalog have no MERGE
+        with pytest.raises(Exception, match="MERGE INTO TABLE"):
+            catalog.merge(df, f"{ns}.t", ["v"], delete_when="s.v > 5")
+    finally:
+        catalog.drop_namespace(spark, ns)
+
+
+def test_kafka_needs_its_connector(spark):
+    from strata.sources import read_kafka, write_kafka
+
+    for use in (lambda: read_kafka(spark, ["a", "b"], "localhost:1", maxOffsetsPerTrigger="10"),
+                lambda: write_kafka(spark.range(1), "a", "localhost:1", key="id")):
+        with pytest.raises(Exception, match="(?i)kafka"):
+            use()
