@@ -3,40 +3,36 @@ TF-IDF shingles, banded, verified by weighted Jaccard similarity.
 
 Shingles are 5 consecutive words (runs of digits, letters and all that is not
 ASCII, A-Z lower-cased); a text of fewer words, but not none, is one shingle.  The
-weight of a shingle is its count times idf = min(1, ln(N / df) / ln 3): full for
-shingles in up to a third of the N documents, less for what is more common.  (A
-steeper idf would push copies of a popular text apart: their shared shingles
-would weigh less than the few words in which they differ.)
+weight of a shingle is its count times idf = 0.9 + 0.1 ln(N / df) / ln(N): 1 for what one of the N documents has, 0.9 for
+what all have.  (A steeper idf would push copies of a popular text apart: their shared shingles
+would weigh less than the few words in which they differ.  With this floor, a pair of one family of any share of
+the documents that has a plain similarity of s gets 0.9 s / (1 - 0.1 s) at least: 0.8 from s = 0.817 on.)
 
 1. Blocks count document frequencies: distinct shingle hashes go to hash
-   buckets, and each block hears which of its shingles other documents have too.
+   buckets, and each block hears the frequencies of those that other documents have too.
 2. A shingle of one document alone matches nothing, so the share of a
    document's weight on shared shingles bounds its similarity to any other;
    documents under the threshold have no partner and go no further (this loses
    no pair).
 3. The others get 64 samples (16 bands of 4) and one row per distinct text.
-4. In each band bucket the members are compared with two leaders, those with the
-   least weight on unshared shingles (the text the others were made from comes
-   first), by weighted Jaccard similarity of their whole shingle vectors.  A third of all
-   rows in one bucket are as many rows of a join with two leaders, split by Spark.
-   What is then linked, through whatever bucket, is one component already.  Members of a
-   bucket that are not in its main component are compared with all its members of other
+4. The leaders of a band bucket are the two members with the least weight on unshared shingles (the text
+   the others were made from comes first).  Every node is tested against one of the leaders of its buckets only, the one it
+   meets most often, by weighted Jaccard similarity of their whole shingle vectors.  That makes a family of any size
+   one component with one pair for each member.  Members of a
+   bucket that are not in its main component are then compared with all its members of other
    components, chunk by chunk: the weights give an upper bound, the samples an
    estimate of the similarity, and pairs with a bound of 0.8 and an estimate of 0.62 or more
    are verified, the best few of each member first, as long as they would join two components.  Pairs that could not change a class are left out.
-5. Classes are the connected components of the links, found by label propagation
-   with pointer jumping over tables in the checkpoint folder.
+5. Classes are the connected components of the links (``graph``), kept as tables in the checkpoint folder.
 
 A pair of similarity 0.8 shares a band with probability 0.9998, and its estimate
 is under 0.62 with probability 0.0003.  Equal texts need no link: they are one node.
 
-Shingle hashes have 48 bits for counting and comparing.
-
 Defined results: null and empty texts, and texts without words, are near
 duplicates of equal texts only; a class's id is the smallest doc_id in it (null
 if all are null); rows that repeat doc_id or text get their text's class;
 an empty table gives no rows; further columns are ignored by ``near_classes`` and kept
-by ``near_dedup``.
+by ``near_dedup`` (of rows that repeat doc_id and text, the one whose JSON has the smallest hash).
 """
 
 from __future__ import annotations
@@ -46,7 +42,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.blocks import (HASHES, REPLY, Block, Words, buckets_for, deal, is_in, make_blocks, read_reply, reply_rows)
+from strata.llm.blocks import HASHES, Block, Words, buckets_for, make_blocks
+from strata.llm.frequencies import FREQUENCIES, codes_for, counted_rows, frequencies, frequency_of
+from strata.llm.graph import joined, settle
 from strata.llm.tables import id_text
 from strata.llm.token_store import mix
 from strata.session import materialize
@@ -62,13 +60,13 @@ CHUNK_OTHERS, CHUNK_ALL = 256, 2048
 #: Word bytes are digits, letters and bytes from 128 on; A-Z fold to a-z.
 IS_WORD = np.array([48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)])
 FOLD = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
-LOW = np.uint64(0xFFFFFFFFFFFF)
-COMMON = 1 / 3
+#: idf of a shingle that all documents have
+FLOOR = 0.9
 SKETCH = "node string, unshared double, weight double, vector binary, bands array<long>, samples binary"
 
 
 def shingles(texts: list[bytes], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (document, 48-bit shingle hash) pairs in order, and counts."""
+    """Distinct (document, 64-bit shingle hash) pairs in order, and counts."""
     words = Words(texts, IS_WORD, FOLD)
     at, h = words.windows(k)
     doc = words.doc[at]
@@ -78,7 +76,6 @@ def shingles(texts: list[bytes], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarr
         whole = np.array([mix(np.array([sum(int(x) * pow(0xD1342543DE82EF95, j, 1 << 64) for j, x in enumerate(
             words.hash[words.first[d]:words.first[d + 1]])) & (1 << 64) - 1], np.uint64), 24)[0] for d in short], np.uint64)
         doc, h = np.concatenate([doc, short]), np.concatenate([h, whole])
-    h = h & LOW
     order = np.lexsort((h, doc))
     doc, h = doc[order], h[order]
     new = np.ones(len(h), bool)
@@ -87,58 +84,16 @@ def shingles(texts: list[bytes], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarr
     return doc[first], h[first], np.diff(np.append(first, len(h)))
 
 
-def to6(h: np.ndarray) -> bytes:
-    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
-
-def from6(b: bytes) -> np.ndarray:
-    out = np.zeros((len(b) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(b, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel()
-
-
 def _emit(buckets: int):
     def run(t: pa.Table) -> pa.Table:
         block = Block(t)
-        h, n = np.unique(shingles(block.texts)[1], return_counts=True)
-        got = list(deal(h, buckets))
-        return pa.table({"bucket": pa.array([b for b, _ in got], pa.int32()), "rank": pa.array([0] * len(got), pa.int32()),
-                         "block": pa.array([block.block] * len(got), pa.int32()),
-                         # hashes, then counts as far as they are over 1: (place, count) pairs
-                         "hashes": pa.array([len(at).to_bytes(4, "little") + to6(h[at]) + np.stack(
-                             [np.flatnonzero(n[at] > 1), n[at][n[at] > 1]], 1).astype("<u4").tobytes() for _, at in got], pa.binary())})
+        return counted_rows(block, *np.unique(shingles(block.texts)[1], return_counts=True), buckets)
     return run
 
 
-def _count(rows: int):
-    """Tell blocks which of their shingles occur in more than one document, and
-    (as a second row) which in more than a third of them, with the number."""
-    def run(t: pa.Table) -> pa.Table:
-        parts, counts = [], []
-        for blob in t.column("hashes").to_pylist():
-            m = int.from_bytes(blob[:4], "little")
-            parts.append(from6(blob[4:4 + 6 * m]))
-            n = np.ones(m, np.int64)
-            many = np.frombuffer(blob[4 + 6 * m:], "<u4").reshape(-1, 2)
-            n[many[:, 0]] = many[:, 1]
-            counts.append(n)
-        block = np.repeat(t.column("block").to_numpy(), [len(p) for p in parts])
-        h, n = np.concatenate(parts), np.concatenate(counts)
-        order = np.argsort(h, kind="stable")
-        h, n, block = h[order], n[order], block[order]
-        new = np.ones(len(h), bool)
-        new[1:] = h[1:] != h[:-1]
-        group = np.cumsum(new) - 1
-        df = np.bincount(group, n).astype(np.int64)[group]
-        shared, common = df > 1, df > rows * COMMON
-        told = reply_rows(block[shared], h[shared])
-        told = told.set_column(1, "hashes", pa.array([to6(np.frombuffer(x, "<u8")) for x in told.column("hashes").to_pylist()], pa.binary()))
-        pairs = np.empty(int(common.sum()), np.dtype([("h", "<u8"), ("df", "<u8")]))
-        pairs["h"], pairs["df"] = h[common], df[common]
-        often = reply_rows(block[common], pairs)
-        return pa.concat_tables([told.append_column("kind", pa.array([1] * told.num_rows, pa.int32())),
-                                 often.append_column("kind", pa.array([2] * often.num_rows, pa.int32()))])
-    return run
+def idf(df: np.ndarray, rows: int) -> np.ndarray:
+    """From 1 (one document) to ``FLOOR`` (all of them); frequencies come in steps of a twelfth of a doubling."""
+    return FLOOR + (1 - FLOOR) * np.log(rows / df) / np.log(rows) if rows > 1 else np.ones(len(df))
 
 
 # --------------------------------------------------------------- sampling
@@ -172,15 +127,17 @@ def consistent_samples(h: np.ndarray, weight: np.ndarray, first: np.ndarray, sam
 VECTOR = np.dtype([("h", "<u8"), ("w", "<f4")])
 
 
-def weighted_jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    """sum of min over sum of max; vectors ascending by hash."""
+def weighted_jaccard(a: np.ndarray, b: np.ndarray, wa: float | None = None, wb: float | None = None) -> float:
+    """sum of min over sum of max; vectors ascending by hash.  Entries that one document alone has may be left out
+    where the vectors' whole weights are given."""
     _, i, j = np.intersect1d(a["h"], b["h"], assume_unique=True, return_indices=True)
     low = np.minimum(a["w"][i], b["w"][j]).sum(dtype=np.float64)
-    total = a["w"].sum(dtype=np.float64) + b["w"].sum(dtype=np.float64) - low
+    wa = a["w"].sum(dtype=np.float64) if wa is None else wa
+    total = wa + (b["w"].sum(dtype=np.float64) if wb is None else wb) - low
     return float(low / total) if total else 1.0
 
 
-def _sketch(rows: int, threshold: float, bands: int, per_band: int):
+def _sketch(rows: int, buckets: int, threshold: float, bands: int, per_band: int):
     schema = pa.schema([("node", pa.string()), ("unshared", pa.float64()), ("weight", pa.float64()), ("vector", pa.binary()), ("bands", pa.list_(pa.int64())), ("samples", pa.binary())])
 
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
@@ -188,17 +145,10 @@ def _sketch(rows: int, threshold: float, bands: int, per_band: int):
 
         block = Block(docs)
         doc, h, n = shingles(block.texts)
-        kinds = told.column("kind").to_numpy()
-        replies = told.column("hashes").to_pylist()
-        parts = [from6(x) for x, k in zip(replies, kinds) if k == 1]
-        shared = is_in(h, np.sort(np.concatenate(parts))) if parts else np.zeros(len(h), bool)
-        often = [np.frombuffer(x, np.dtype([("h", "<u8"), ("df", "<u8")])) for x, k in zip(replies, kinds) if k == 2]
-        weight = n.astype(np.float64)
-        if often:
-            often = np.sort(np.concatenate(often), order="h")
-            hit = is_in(h, often["h"])
-            idf = np.log(rows / often["df"][np.searchsorted(often["h"], h[hit])]) / np.log(1 / COMMON)
-            weight[hit] *= np.clip(idf, 1e-3, 1)
+        distinct, place = np.unique(h, return_inverse=True)
+        code = codes_for(distinct, buckets, told)[place]
+        shared = code > 0
+        weight = n * idf(np.minimum(frequency_of(code), rows), rows)
         total = np.bincount(doc, weight, len(block.texts))
         with_others = np.bincount(doc, weight * shared, len(block.texts))
         stay = (total > 0) & (with_others >= (threshold - 1e-6) * total)
@@ -218,9 +168,12 @@ def _sketch(rows: int, threshold: float, bands: int, per_band: int):
         key = np.zeros((len(ids), bands), np.uint64)
         for r in range(per_band):
             key = mix(key ^ sample[:, :, r], 53)
-        vector = np.empty(len(h), VECTOR)
-        vector["h"], vector["w"] = h, weight
-        last = np.append(first[1:], len(h))
+        # only what others have can be in an intersection
+        held = np.flatnonzero(shared[keep])
+        vector = np.empty(len(held), VECTOR)
+        vector["h"], vector["w"] = h[held], weight[held]
+        first = np.searchsorted(doc[held], ids)
+        last = np.append(first[1:], len(held))
         return pa.table({"node": pa.array([node[i] for i in ids.tolist()]), "unshared": pa.array(1 - with_others[ids] / total[ids]),
                          "weight": pa.array(total[ids]),
                          "vector": pa.array([vector[a:b].tobytes() for a, b in zip(first, last)], pa.binary()),
@@ -232,8 +185,8 @@ def _sketch(rows: int, threshold: float, bands: int, per_band: int):
 def _similar(threshold: float):
     def run(batches):
         for b in batches:
-            x, y = b.column("va").to_pylist(), b.column("vb").to_pylist()
-            s = [weighted_jaccard(np.frombuffer(p, VECTOR), np.frombuffer(q, VECTOR)) for p, q in zip(x, y)]
+            four = zip(*(b.column(c).to_pylist() for c in ("va", "vb", "wa", "wb")))
+            s = [weighted_jaccard(np.frombuffer(x, VECTOR), np.frombuffer(y, VECTOR), wx, wy) for x, y, wx, wy in four]
             yield pa.record_batch({"a": b.column("a"), "b": b.column("b"), "ok": pa.array([v >= threshold - 1e-6 for v in s])})
     return run
 
@@ -298,44 +251,58 @@ def _candidates(bands: int, per_band: int, threshold: float, floor: float, best:
 
 def _verified(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
     """The pairs that are similar enough.  Copies of one member's vector meet its
-    many partners in joins that Spark splits."""
+    partners in joins that Spark splits."""
     both = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     tested = (
-        both.join(vectors.select(F.col("node").alias("a"), F.col("vector").alias("va")), "a")
-        .join(vectors.select(F.col("node").alias("b"), F.col("vector").alias("vb")), "b")
-        .select("a", "b", "va", "vb").mapInArrow(_similar(threshold), "a string, b string, ok boolean")
+        both.join(vectors.select(F.col("node").alias("a"), F.col("vector").alias("va"), F.col("weight").alias("wa")), "a")
+        .join(vectors.select(F.col("node").alias("b"), F.col("vector").alias("vb"), F.col("weight").alias("wb")), "b")
+        .select("a", "b", "va", "vb", "wa", "wb").mapInArrow(_similar(threshold), "a string, b string, ok boolean")
     )
     return materialize(tested.filter("ok").select("a", "b"), "near-verified")
 
 
+def best_leaders(member: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): for every node a the leader b of its buckets that it meets most often.  A leader
+    comes before the node in the order of (unshared, node), so the pairs form a forest."""
+    bucket = ["band", "key"]
+    order = Window.partitionBy(*bucket).orderBy("unshared", "node")
+    lead = (member.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= LEADERS)
+            .select(*bucket, F.col("node").alias("b"), F.col("unshared").alias("ub"), F.col("weight").alias("wb")))
+    own = member.select(*bucket, F.col("node").alias("a"), F.col("unshared").alias("ua"), F.col("weight").alias("wa"))
+    most = most_similar(*map(F.col, ("ua", "wa", "ub", "wb")), F.least, F.greatest)
+    met = own.join(lead, bucket).filter((F.struct("ub", "b") < F.struct("ua", "a")) & (most >= threshold - 1e-6))
+    often = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_n"), F.first("ub").alias("ub"))
+    return often.groupBy("a").agg(F.max(F.struct("_n", -F.col("ub"), "b")).alias("_best")).select("a", F.col("_best.b").alias("b"))
+
+
 def near_links(sketches: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS,
                per_band: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """Verified links (a, b) between nodes that share a band bucket, as many as it
     takes to connect every pair of a bucket that is similar enough, and the
-    components (node, label) of the linked nodes."""
-    vectors = sketches.select("node", "vector")
-    member = sketches.select("node", "unshared", "weight", "samples", F.posexplode("bands").alias("band", "key"))
+    components (node, label) of the nodes that share a bucket."""
+    vectors = sketches.select("node", "vector", "weight")
+    member = sketches.select("node", "unshared", "weight", F.posexplode("bands").alias("band", "key"))
     bucket = ["band", "key"]
     often = member.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     member = materialize(member.join(often, bucket), "near-members")
-    order = Window.partitionBy(*bucket).orderBy("unshared", "node")
-    own = member.select(*bucket, F.col("node").alias("a"), F.col("unshared").alias("ua"), F.col("weight").alias("wa"))
-    lead = (member.select(*bucket, "node", "unshared", "weight").withColumn("_r", F.row_number().over(order))
-            .filter(F.col("_r") <= LEADERS)
-            .select(*bucket, F.col("node").alias("b"), F.col("unshared").alias("ub"), F.col("weight").alias("wb")))
-    most = most_similar(*map(F.col, ("ua", "wa", "ub", "wb")), F.least, F.greatest)
-    pairs = own.join(lead, bucket).filter((F.col("a") != F.col("b")) & (most >= threshold - 1e-6)).select("a", "b")
-    links = _verified(pairs, vectors, threshold)
+    links = _verified(best_leaders(member, threshold), vectors, threshold)
+    # the later of two nodes in the order of the leaders has the other for its parent
+    place = sketches.select("node", F.struct("unshared", "node").alias("_o"))
+    ends = (links.join(place.select(F.col("node").alias("a"), F.col("_o").alias("_a")), "a")
+            .join(place.select(F.col("node").alias("b"), F.col("_o").alias("_b")), "b"))
+    parent = ends.select(F.greatest("_a", "_b")["node"].alias("node"), F.least("_a", "_b")["node"].alias("label"))
+    label = settle(member.select("node").distinct().join(parent, "node", "left").select(
+        "node", F.coalesce("label", "node").alias("label")), "near-labels")
     samples = bands * per_band
     floor = threshold - SLACK * (threshold * (1 - threshold) / samples) ** 0.5
     seen, best = 0, FIRST_BEST
-    label = components(links)
     while True:
-        now = member.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        now = member.join(label, "node")
         # the main component of a bucket is that of its first leader
         state = now.groupBy(*bucket).agg(F.min_by("label", F.struct("unshared", "node")).alias("_main"),
                                          F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo != _hi")
-        now = now.join(state.select(*bucket, "_main"), bucket)
+        now = now.join(state.select(*bucket, "_main"), bucket).join(sketches.select("node", "samples"), "node")
+        now = materialize(now, "near-open")
         other = now.filter(F.col("label") != F.col("_main"))
         other = other.join(other.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_m")), bucket)
 
@@ -351,48 +318,27 @@ def near_links(sketches: DataFrame, threshold: float = THRESHOLD, bands: int = B
         more = None if pairs.isEmpty() else _verified(pairs, vectors, threshold)
         if more is not None and not more.isEmpty():
             links = materialize(links.unionByName(more).distinct(), "near-links")
-            label = components(links)
+            label = joined(label, more, "near-labels")
         if found.filter(F.col("b").isNull()).isEmpty():
             return links, label
         seen, best = best, best * 8
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node, label: the smallest node of each connected component.
-
-    Every round hands each node the smallest label around it, then the label of
-    that label; it ends when no label changes."""
-    edges = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "near-edges")
-    label = materialize(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("_m"))
-                        .select("node", F.least("node", "_m").alias("label")), "near-labels")
-    while True:
-        around = (
-            edges.join(label.select(F.col("node").alias("b"), "label"), "b")
-            .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("_m"))
-        )
-        step = label.join(around, "node").select("node", F.col("label").alias("_old"), F.least("label", "_m").alias("_mid"))
-        jump = label.select(F.col("node").alias("_mid"), F.col("label").alias("_far"))
-        new = materialize(step.join(jump, "_mid").select(
-            "node", "_old", F.least("_mid", "_far").alias("label")), "near-labels")
-        if new.filter(F.col("label") != F.col("_old")).isEmpty():
-            return new.select("node", "label")
-        label = new.select("node", "label")
-
-
 def text_classes(rows: DataFrame, threshold: float, bands: int, per_band: int) -> DataFrame:
     """One row per distinct text: node (md5), first_id, copies, label, n_links."""
     blocks, total = make_blocks(rows)
     n = rows.count()
-    hashes = blocks.groupBy("block").applyInArrow(_emit(buckets_for(total / 6)), HASHES)
-    told = hashes.groupBy("bucket").applyInArrow(_count(n), REPLY + ", kind int")
+    buckets = buckets_for(total / 6)
+    hashes = blocks.groupBy("block").applyInArrow(_emit(buckets), HASHES)
+    told = hashes.groupBy("bucket").applyInArrow(frequencies, FREQUENCIES)
     made = materialize(blocks.groupBy("block").cogroup(told.groupBy("block"))
-                       .applyInArrow(_sketch(n, threshold, bands, per_band), SKETCH), "near-sketches")
+                       .applyInArrow(_sketch(n, buckets, threshold, bands, per_band), SKETCH), "near-sketches")
     blocks.unpersist()
     # equal texts of several blocks: any of the equal rows
     sketches = materialize(made.dropDuplicates(["node"]), "near-nodes")
     links, label = near_links(sketches, threshold, bands, per_band)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    labels = label.join(degree, "node")
+    labels = label.join(degree, "node", "left")
     return (
         rows.groupBy(text_node().alias("node")).agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
         .join(labels, "node", "left")
@@ -408,7 +354,7 @@ def text_node(text: str = "text"):
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
                  bands: int = BANDS, per_band: int = ROWS) -> DataFrame:
     """Per document row: doc_id, text_md5, class_id (smallest doc_id of its class),
-    class_size (rows), n_links (verified links of its text: leaders of its buckets and pairs
+    class_size (rows), n_links (verified links of its text: its leader, those it leads, and pairs
     that joined components; similar texts of one component that were not compared are not in it)."""
     rows = id_text(docs, doc_id, text)
     texts = materialize(text_classes(rows, threshold, bands, per_band), "near-classes")
@@ -425,5 +371,5 @@ def near_dedup(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS
     best = best.select(F.col("_b.node").alias("_node"), F.col("_b.first_id").alias("_id"))
     keyed = docs.select(F.struct(*docs.columns).alias("_row"), text_node().alias("_node"))
     stay = keyed.join(best, "_node").filter(F.col("_row.doc_id").eqNullSafe(F.col("_id")))
-    # one row per text, but for rows that repeat doc_id and text
-    return stay.groupBy("_node").agg(F.first("_row").alias("_row")).select("_row.*")
+    # one row per text, but for rows that repeat doc_id and text: of those the same one in every attempt
+    return stay.groupBy("_node").agg(F.min_by("_row", F.xxhash64(F.to_json("_row"))).alias("_row")).select("_row.*")
