@@ -4,8 +4,8 @@ A text is cut where no token can reach over, every piece is encoded once, and
 the pieces' ids are joined.  First it is cut at spaces whose two neighbours are
 no white space (the tokenizers' patterns let a space only begin a token); most
 pieces are known then.  A new piece is cut further, between a letter and a
-full stop, comma or the like, and around a single newline; what is left of plain letters goes
-to the library's model directly, all else through its whole pipeline.  No cut falls
+full stop, comma or the like, and around a single newline; what is left of plain letters with a space before goes
+through the library many words at a time, plain letters without one to its model directly, all else through its whole pipeline.  No cut falls
 into the string of a special token, which the loaded tokenizer gives its one id.  Tests
 compare with the library's encoding of whole texts.
 
@@ -20,7 +20,13 @@ import os
 import re
 from array import array
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 KNOWN_PIECES = 250_000
+#: new words that are encoded as one text; characters of texts whose pieces are looked up together
+TOGETHER, GROUP = 500, 600_000
 CUT = re.compile(r"(?<=\S)(?= \S)")
 BESIDE = re.compile(r"\s | \s")
 #: Letters of ASCII and Latin-1, which every pattern here counts as letters.
@@ -62,54 +68,111 @@ class Encoder:
         word = word.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
-    def _known(self, piece: str) -> bytes | None:
-        got = self.young.get(piece)
-        if got is None and (got := self.old.get(piece)) is not None:
-            self.young[piece] = got
-        return got
+    def _missing(self, pieces) -> list[str]:
+        """Pieces that are not known; those of the old generation come into the young one."""
+        young, old = self.young, self.old
+        out = [p for p in pieces if p not in young]
+        if old:
+            back = {p: old[p] for p in out if p in old}
+            young.update(back)
+            out = [p for p in out if p not in back]
+        return out
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of plain letters that begin with a space.  Hundreds of them go through the
+        tokenizer as one text: the space begins a word in every pattern here, and the encoding says which word a token is of."""
+        out = []
+        lots = [words[a:a + TOGETHER] for a in range(0, len(words), TOGETHER)]
+        for lot, e in zip(lots, self.tokenizer.encode_batch(["".join(lot) for lot in lots], add_special_tokens=False)):
+            ids, of = array("I", e.ids), e.word_ids
+            if of[-1] != len(lot) - 1:  # not a word each after all
+                out += self._whole(lot)
+                continue
+            raw, first = ids.tobytes(), [0]
+            first += [i for i in range(1, len(of)) if of[i] != of[i - 1]]
+            out += [raw[4 * a:4 * b] for a, b in zip(first, [*first[1:], len(of)])]
+        return out
 
     def learn(self, pieces: list[str]) -> None:
         """Ids of pieces that are not known yet."""
-        cut = [[p] if PLAIN.fullmatch(p) else FINER.split(p) for p in pieces]
-        hard = []
-        for p in {p for parts in cut for p in parts}:
-            if self._known(p) is None:
-                if self.form is not None and PLAIN.fullmatch(p):
-                    self.young[p] = self._model(self.form(p))
-                else:
-                    hard.append(p)
+        young, plain = self.young, PLAIN.fullmatch
+        words = [p for p in pieces if plain(p)]
+        seen = set(words)
+        mixed = [p for p in pieces if p not in seen]
+        cut = list(map(FINER.split, mixed))
+        parts = self._missing(set().union(*cut) - seen)
+        words += [p for p in parts if plain(p)]
+        spaced = [p for p in words if p[0] == " "]
+        young.update(zip(spaced, self._words(spaced)))
+        hard = [p for p in parts if not plain(p)]
+        if self.form is not None:
+            young.update((p, self._model(self.form(p))) for p in words if p[0] != " ")
+        else:
+            hard += [p for p in words if p[0] != " "]
         for a in range(0, len(hard), 4096):
-            self.young.update(zip(hard[a:a + 4096], self._whole(hard[a:a + 4096])))
-        for p, parts in zip(pieces, cut):
-            if p not in self.young:
-                self.young[p] = b"".join([self.young[x] for x in parts])
+            young.update(zip(hard[a:a + 4096], self._whole(hard[a:a + 4096])))
+        get = young.__getitem__
+        young.update([(p, b"".join(map(get, x))) for p, x in zip(mixed, cut)])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text (null: none)."""
-        out = []
+        out, group, size = [], [], 0
         for text in texts:
-            if not text:
-                out.append(b"")
-                continue
-            if len(self.young) > self.known:
-                self.old, self.young = self.young, {}
-            cut = split_at_spaces(text)
-            new = [p for p in set(cut).difference(self.young) if self._known(p) is None]
-            if new:
-                self.learn(new)
-            table = self.young
-            out.append(b"".join(map(table.__getitem__, cut)))
-            for p in new:
-                if "\n" in p:  # two words with the newline between them hardly come again
-                    del table[p]
-        return out
-
-
-def split_at_spaces(text: str) -> list[str]:
-    """Pieces that join to ``text``, each but the first beginning with a space."""
-    if text[:1].isspace() or text[-1:].isspace() or "\0" in text or BESIDE.search(text):
-        return CUT.split(text)
-    return text.replace(" ", "\0 ").split("\0")
+            group.append(text or "")
+            size += len(group[-1])
+            if size > GROUP:
+                out += self._group(group)
+                group, size = [], 0
+        return out + self._group(group)
+
+    def _group(self, texts: list[str]) -> list[bytes]:
+        if len(self.young) > self.known:
+            self.old, self.young = self.young, {}
+        pieces, sizes = split_texts(texts)
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        young = self.young
+        new = self._missing(distinct)
+        if new:
+            self.learn(new)
+        ids = [young[p] for p in distinct]
+        for p in new:
+            if "\n" in p:  # two words with the newline between them hardly come again
+                del young[p]
+        # the ids of every distinct piece, one after another; then those of all pieces, by number
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start = np.cumsum(length) - length
+        at = coded.indices.to_numpy()
+        n = length[at]
+        end = np.cumsum(n)
+        total = int(end[-1]) if len(end) else 0
+        flat = np.frombuffer(b"".join(ids), "<u4")[np.repeat(start[at] - end + n, n) + np.arange(total)].tobytes()
+        last = np.concatenate([[0], end])[np.cumsum([0, *sizes])].tolist()
+        return [flat[4 * a:4 * b] for a, b in zip(last, last[1:])]
+
+
+def split_texts(texts: list[str]) -> tuple[pa.Array, list[int]]:
+    """Pieces of all texts, one after another, and how many are of each."""
+    plain = [bool(t) and splits_plainly(t) for t in texts]
+    cut = [CUT.split(t) if t and not p else [] for t, p in zip(texts, plain)]
+    easy = pa.array([t for t, p in zip(texts, plain) if p], pa.string())
+    lists = pc.split_pattern(pc.replace_substring(easy, " ", "\0 "), "\0")
+    counts = iter(pc.list_value_length(lists).to_pylist())
+    sizes = [next(counts) if p else len(c) for p, c in zip(plain, cut)]
+    flat, parts, at, done = lists.flatten(), [], 0, 0
+    for p, c, n in zip(plain, cut, sizes):
+        if p:
+            at += n
+        elif c:
+            parts += [flat.slice(done, at - done), pa.array(c, pa.string())]
+            done = at
+    parts.append(flat.slice(done))
+    return pa.concat_arrays(parts), sizes
+
+
+def splits_plainly(text: str) -> bool:
+    """Is every space of the text between two characters that are no white space?"""
+    return not (text[:1].isspace() or text[-1:].isspace() or "\0" in text or BESIDE.search(text))
 
 
 def forget() -> None:
