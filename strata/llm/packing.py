@@ -5,8 +5,7 @@ seeded random direction in 4 dimensions, and the directions of its distinct ids
 are summed, weighted by log(1 + count).  Each dimension is cut into 256 levels by the
 normal distribution, and the cell's place on the Hilbert curve is the key:
 documents with similar content get neighbouring keys.  Documents are put in order of the key (ties,
-such as copies, by a hash of the id, so a group of copies of any size is spread
-over ranges like other rows), laid end to end and cut every 2048 ids.  So every
+such as copies, by a hash of the id; rows that repeat a key in whole ranges are dealt to all of those), laid end to end and cut every 2048 ids.  So every
 sequence is full but the very last one, and sequences hold neighbours.
 
 Ids are encoded once and written to the checkpoint folder; ranges of the key
@@ -28,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.ranges import cut_points
+from strata.llm.ranges import cut_points, range_of
 from strata.llm.tables import id_text, ship_package
 from strata.llm.token_store import mix, pack_ids, unpack_ids
 from strata.llm.tokens import encoder
@@ -98,7 +97,7 @@ def _encode(path: str, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        enc = encoder(path)
+        enc, seen = encoder(path), 0
         for b in batches:
             for a in range(0, b.num_rows, 512):
                 doc = b.column("doc_id").slice(a, 512)
@@ -106,7 +105,9 @@ def _encode(path: str, end_id: int):
                 cells = np.array([curve_cell(np.frombuffer(x, "<u4")) for x in raw]).reshape(-1, DIMS)
                 tie = np.array([zlib.crc32(str(d).encode()) for d in doc.to_pylist()], np.uint64)
                 key = (hilbert_key(cells) << np.uint64(31)) | (tie >> np.uint64(1))
-                yield pa.record_batch({"doc_id": doc, "key": pa.array(key.astype(np.int64)),
+                # rows of one key are told apart by their number, so they can be dealt to several ranges
+                salt, seen = np.arange(seen, seen + len(raw)), seen + len(raw)
+                yield pa.record_batch({"doc_id": doc, "key": pa.array(key.astype(np.int64)), "salt": pa.array(salt),
                                        "n": pa.array([len(x) // 4 for x in raw], pa.int64()),
                                        "packed": pa.array([pack_ids(x) for x in raw], pa.binary())})
     return run
@@ -115,7 +116,8 @@ def _encode(path: str, end_id: int):
 def _deal(cuts: np.ndarray):
     def run(batches):
         for b in batches:
-            part = np.searchsorted(cuts, b.column("key").to_numpy(), "left")
+            key = b.column("key").to_numpy()
+            part, _ = range_of(key, np.zeros(len(key), bool), mix(b.column("salt").to_numpy().view(np.uint64), 12), cuts)
             yield pa.record_batch([pa.array(part, pa.int32()), *b.columns], ["part", *b.schema.names])
     return run
 
@@ -143,13 +145,13 @@ def pack_sequences(docs: DataFrame, tokenizer: str, end_id: int, length: int = L
     spark = docs.sparkSession
     ship_package(spark)
     path = scratch_path(spark, "packing")
-    schema = "doc_id long, key long, n long, packed binary"
+    schema = "doc_id long, key long, salt long, n long, packed binary"
     id_text(docs, doc_id, text).mapInArrow(_encode(tokenizer, end_id), schema).write.option("compression", "none").parquet(path)
     coded = spark.read.schema(schema).parquet(path)
     total = coded.agg(F.sum("n")).first()[0] or 0
     cuts = cut_points(coded, "key", max(1, -(-total // range_ids)))
     dealt = coded.mapInArrow(_deal(cuts), "part int, " + schema)
     ids = np.zeros(len(cuts) + 1, np.int64)
-    for part, n in coded.select("key", "n").mapInArrow(_deal(cuts), "part int, key long, n long").groupBy("part").agg(F.sum("n")).collect():
+    for part, n in coded.select("key", "salt", "n").mapInArrow(_deal(cuts), "part int, key long, salt long, n long").groupBy("part").agg(F.sum("n")).collect():
         ids[part] = n  # one number per range
     return dealt.groupBy("part").applyInArrow(_cut(np.cumsum(ids) - ids, length), PIECE)
