@@ -90,6 +90,7 @@ class Block:
 _BYTE = mix(np.arange(256, dtype=np.uint64), 21)
 _BASE = 0xD1342543DE82EF95
 _BASE_INV = pow(_BASE, -1, 1 << 64)
+_BASE_2 = 0x9E6C63D0876A9A47
 SEGMENT = 1 << 18
 _POWERS: dict[int, np.ndarray] = {}
 
@@ -144,6 +145,17 @@ class Words:
             a = b
         self.hash = mix(out + (self.end - self.start).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25), 22)
 
+    def second(self, k: int, at: np.ndarray) -> np.ndarray:
+        """Hashes of the windows that start at the words ``at``, independent of those of ``windows``."""
+        if not len(at):
+            return np.empty(0, np.uint64)
+        words = mix(self.hash, 71)
+        h = words[at].copy()
+        for j in range(1, k):
+            h *= np.uint64(_BASE_2)
+            h += words[at + j]
+        return mix(h, 72)
+
     def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """First words of all windows of k words within one document, and their
         Rabin-Karp hashes over the word hashes."""
@@ -216,6 +228,16 @@ def is_in(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[at] == values
 
 
+def pair_groups(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A number for every pair (a, b): equal for equal pairs."""
+    order = np.lexsort((b, a))
+    new = np.ones(len(a), bool)
+    new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+    out = np.empty(len(a), np.int64)
+    out[order] = np.cumsum(new) - 1
+    return out
+
+
 def covered(start: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
     """Which of n places lie in any [start, end)."""
     return np.cumsum(np.bincount(start, minlength=n + 1) - np.bincount(end, minlength=n + 1))[:n] > 0
