@@ -57,4 +57,4 @@ def test_pipeline(spark, tmp_path):
 
 def test_entry_registers_all():
     names = set(entry.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
