@@ -57,11 +57,11 @@ def test_mark_of_a_catalog_table(spark, tmp_path):
     try:
         assert table_mark(spark, f"{ns}.t", "v") is None  # absent
         df = spark.createDataFrame([(1,), (7,)], "v long")
-        catalog.create(spark, f"{ns}.t", df.schema, location=str(tmp_path / "t"), properties={"owner": "tests"})
+        catalog.create(spark, f"{ns}.t", df.schema, location=str(tmp_path / "t"), properties={"made_by": "tests"})
         assert table_mark(spark, f"{ns}.t", "v") is None  # empty
         catalog.append(df, f"{ns}.t")
         assert table_mark(spark, f"{ns}.t", "v") == 7
-        assert ("owner", "tests") in {tuple(r) for r in spark.sql(f"SHOW TBLPROPERTIES {ns}.t").collect()}
+        assert ("made_by", "tests") in {tuple(r) for r in spark.sql(f"SHOW TBLPROPERTIES {ns}.t").collect()}
         # the statement is understood; Parquet tables of the session catalog have no MERGE
         with pytest.raises(Exception, match="MERGE INTO TABLE"):
             catalog.merge(df, f"{ns}.t", ["v"], delete_when="s.v > 5")
