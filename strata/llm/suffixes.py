@@ -9,8 +9,8 @@ needed up to there:
    positions i and j, a shift d < v that brings both into the sample (offsets in
    the document that are in D modulo v).  If 400 bytes agree at i and j, then the
    sampled suffixes at i + d and j + d agree on 400 - d >= 268 bytes.  Sampled suffixes (9 % of
-   all) are ranked by their first 268 bytes: they go to buckets by hash, and a bucket
-   is sorted at a time.  A rank held by one suffix alone ends there.
+   all) are ranked by their first 268 bytes: they go to buckets by hash (``frequencies``, so a rank travels in a few
+   bytes), and a bucket is sorted at a time.  A rank held by one suffix alone ends there.
 2. Ties.  Sampled suffixes of equal rank are sorted, a bucket of ranks at a time,
    by the bytes they bring with them: from 132 before to 400 behind (cut at the
    document's ends).  Equal contexts repeat as a whole, so all their 400-byte strings do.
@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.blocks import (HASHES, REPLY, SEGMENT, Block, buckets_for, covered, deal, hash_rows, is_in, make_blocks,
                                open_bucket, prefix_sums, read_reply, reply_rows, runs, spans_hash)
+from strata.llm.frequencies import FREQUENCIES, codes_for, counted_rows, frequencies
 from strata.llm.substring import SPANS
 from strata.llm.tables import id_text
 from strata.llm.token_store import mix
@@ -128,15 +129,16 @@ def _shared(t: pa.Table) -> pa.Table:
 def _emit_ranks(length: int, buckets: int):
     def run(t: pa.Table) -> pa.Table:
         block = Block(t)
-        return hash_rows(block, np.unique(Sample(block, length).rank), buckets)
+        return counted_rows(block, *np.unique(Sample(block, length).rank, return_counts=True), buckets)
     return run
 
 
-def _emit_contexts(length: int, buckets: int):
-    def run(docs: pa.Table, reply: pa.Table) -> pa.Table:
+def _emit_contexts(length: int, buckets: int, rank_buckets: int):
+    def run(docs: pa.Table, told: pa.Table) -> pa.Table:
         block = Block(docs)
         s = Sample(block, length)
-        s.keep(is_in(s.rank, read_reply(reply)) | local_repeats(s.rank))
+        ranks, place = np.unique(s.rank, return_inverse=True)
+        s.keep(codes_for(ranks, rank_buckets, told)[place] > 0)
         pairs = np.stack([s.rank, s.contexts()], 1)
         pairs, n = np.unique(pairs, axis=0, return_counts=True)
         out = np.empty(len(pairs), CONTEXT)
@@ -223,9 +225,10 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id",
     blocks, total = make_blocks(id_text(docs, doc_id, text))
     sampled = total * len(COVER) / PERIOD
     by_block = lambda: blocks.groupBy("block")
-    ranks = by_block().applyInArrow(_emit_ranks(length, buckets_for(sampled)), HASHES)
-    shared = ranks.groupBy("bucket").applyInArrow(_shared, REPLY)
-    contexts = by_block().cogroup(shared.groupBy("block")).applyInArrow(_emit_contexts(length, buckets_for(sampled / 2)), HASHES)
+    rank_buckets = buckets_for(sampled)
+    ranks = by_block().applyInArrow(_emit_ranks(length, rank_buckets), HASHES)
+    told = ranks.groupBy("bucket").applyInArrow(frequencies, FREQUENCIES)
+    contexts = by_block().cogroup(told.groupBy("block")).applyInArrow(_emit_contexts(length, buckets_for(sampled / 2), rank_buckets), HASHES)
     # read twice below: written once
     marks = materialize(contexts.groupBy("bucket").applyInArrow(_judge_contexts, REPLY), "suffix-marks")
     strings = by_block().cogroup(marks.groupBy("block")).applyInArrow(_emit_strings(length, buckets_for(sampled)), HASHES)
