@@ -7,6 +7,9 @@ is kept in memory between batches, and no row is counted twice.
 
 How many rows were behind the watermark is counted beside it: a contribution tells rows that came
 more than ``lateness`` after the newest event time of the batches before.  That is what a watermark of that length would have dropped.
+
+Each batch leaves one file of as many rows as it has windows, so the trigger should be minutes rather than seconds, and a reader
+of a long history sums many small files.
 """
 
 from __future__ import annotations
