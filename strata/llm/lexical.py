@@ -44,7 +44,8 @@ from strata.llm.tables import id_text, ship_package
 from strata.session import materialize
 
 TOP = 50
-TERM_BYTES = 64 << 20
+#: distinct terms of one automaton; it takes some 50 bytes for each of theirs in every worker
+TERM_BYTES = 4 << 20
 #: scores (documents x items) that a task holds at once
 SCORES = 1 << 20
 #: Word bytes are digits, letters and bytes from 128 on; A-Z fold to a-z.
