@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from strata.llm.blocks import HASHES, Block, Words, buckets_for, make_blocks
 from strata.llm.frequencies import FREQUENCIES, codes_for, counted_rows, frequencies, frequency_of
 from strata.llm.graph import joined, settle
-from strata.llm.tables import id_text
+from strata.llm.tables import id_text, release
 from strata.llm.token_store import mix
 from strata.session import materialize
 
@@ -188,6 +188,7 @@ def _similar(threshold: float):
             four = zip(*(b.column(c).to_pylist() for c in ("va", "vb", "wa", "wb")))
             s = [weighted_jaccard(np.frombuffer(x, VECTOR), np.frombuffer(y, VECTOR), wx, wy) for x, y, wx, wy in four]
             yield pa.record_batch({"a": b.column("a"), "b": b.column("b"), "ok": pa.array([v >= threshold - 1e-6 for v in s])})
+        release()
     return run
 
 
@@ -246,6 +247,7 @@ def _candidates(bands: int, per_band: int, threshold: float, floor: float, best:
                             a.append(node)
                             b.append(None)
                 yield pa.record_batch({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string())})
+        release()
     return run
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.ranges import cut_points, range_of
-from strata.llm.tables import id_text, ship_package
+from strata.llm.tables import id_text, release, ship_package
 from strata.llm.token_store import mix, pack_ids, unpack_ids
 from strata.llm.tokens import encoder
 from strata.session import scratch_path
@@ -110,6 +110,7 @@ def _encode(path: str, end_id: int):
                 yield pa.record_batch({"doc_id": doc, "key": pa.array(key.astype(np.int64)), "salt": pa.array(salt),
                                        "n": pa.array([len(x) // 4 for x in raw], pa.int64()),
                                        "packed": pa.array([pack_ids(x) for x in raw], pa.binary())})
+        release()
     return run
 
 

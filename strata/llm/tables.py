@@ -29,6 +29,22 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def release() -> None:
+    """Hand freed memory back to the system.  A Python worker is kept for later tasks, and what its allocators hold on to counts
+    against the executor meanwhile."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it keeps what it keeps
+        pass
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

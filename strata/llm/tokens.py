@@ -177,8 +177,11 @@ def splits_plainly(text: str) -> bool:
 
 def forget() -> None:
     """Give the memory of known pieces back."""
+    from strata.llm.tables import release
+
     for e in _ENCODERS.values():
         e.young, e.old = {}, {}
+    release()
 
 
 def encoder(path: str) -> Encoder:
