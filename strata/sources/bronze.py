@@ -16,6 +16,9 @@ from strata.functions.time import to_millis_precision
 from strata.operators.fence import fenced_select
 from strata.schemas import BRONZE_COLUMNS
 
+#: rows whose messages one task makes or parses: some tens of seconds
+ROWS_PER_TASK = 250_000
+
 
 def read_kafka(spark: SparkSession, topics: Sequence[str], bootstrap: str,
                starting_offsets: str = "earliest", **options: str) -> DataFrame:
@@ -62,23 +65,29 @@ def typed_view(bronze: DataFrame, fields: dict[str, Sequence[str]],
     return fenced_select(bronze, *[json_first("payload", *paths).alias(name) for name, paths in fields.items()], *keep)
 
 
-def spread_small_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
+def spread_small_scan(df: DataFrame, min_partitions: int | None = None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Spread a scan whose rows lie in too few of its splits.
 
-    A single unsplittable file (one row group, a gzip file) is read by one
-    task, and all per-row work before the first shuffle would run on one
-    core.  Only then is the input dealt round-robin over ``min_partitions``
-    (default: the cluster's parallelism); a normal large scan already has more
-    splits than that and is returned untouched, with no shuffle added.
+    A row group (or a gzip file) is read by one task however many splits its
+    bytes are cut into, and all per-row work before the first shuffle would run
+    there.  The rows of every split are counted first: a scan of no columns, from the
+    files' footers, two numbers to the driver.  Where one split has more than
+    ``rows_per_task`` rows, or twice its share of the cluster's cores, rows are
+    dealt round-robin over enough tasks for both (at least ``min_partitions``, default: the
+    cluster's parallelism); an even scan is returned untouched, with no
+    shuffle added.
     """
+    if df.isStreaming:
+        return df
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a remote session): leave the plan alone
+    except Exception:  # no Spark context (a remote session): leave the plan alone
         return df
-    if splits >= target:
+    splits = df.groupBy(F.spark_partition_id().alias("split")).agg(F.count(F.lit(1)).alias("n"))
+    total, most = splits.agg(F.sum("n"), F.max("n")).first()
+    if not total or (most <= rows_per_task and most * target <= 2 * total):
         return df
-    return df.repartition(target)
+    return df.repartition(max(target, -(-total // rows_per_task)))
 
 
 def select_bronze(df: DataFrame) -> DataFrame:
