@@ -31,12 +31,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # ------------------------------------------------------------ shared frames
-def bronze_api(spark, sf_dir) -> DataFrame:
-    return api_feed(spread_small_scan(table(spark, sf_dir, "events")))
+def bronze_api(spark, sf_dir, spread: bool = True) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    return api_feed(spread_small_scan(events) if spread else events)
 
 
-def bronze_cdc(spark, sf_dir) -> DataFrame:
-    return change_feed(spread_small_scan(table(spark, sf_dir, "orders")))
+def bronze_cdc(spark, sf_dir, spread: bool = True) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    return change_feed(spread_small_scan(orders) if spread else orders)
 
 
 def silver_api(spark, sf_dir) -> DataFrame:

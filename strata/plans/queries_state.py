@@ -45,11 +45,12 @@ def _cut_points(df: DataFrame, shares: list[int]) -> list:
             for s in shares]
 
 
-def _slices(df: DataFrame, shares: list[int]) -> list[DataFrame]:
-    """Consecutive landing-time slices cut at the given tenths of the span;
+def _slices(df: DataFrame, shares: list[int], span: DataFrame | None = None) -> list[DataFrame]:
+    """Consecutive landing-time slices cut at the given tenths of the span
+    (of ``span``, the same rows in a cheaper form, if given);
     rows without a landing time are in the first one.  Every slice filters on
     literal bounds (no per-slice subquery over the whole feed)."""
-    marks = _cut_points(df, shares)
+    marks = _cut_points(df if span is None else span, shares)
     if not marks:
         return [df] + [df.filter(F.lit(False)) for _ in shares]
     at = F.col("ingested_at")
@@ -58,6 +59,12 @@ def _slices(df: DataFrame, shares: list[int]) -> list[DataFrame]:
     return out + [df.filter(at > marks[-1])]
 
 
+def _feed_slices(feed, spark, sf_dir, shares: list[int]) -> list[DataFrame]:
+    """``_slices`` of a feed, its span taken straight from the scan: no message
+    is made for it, so its rows need not be dealt to other tasks."""
+    return _slices(feed(spark, sf_dir), shares, feed(spark, sf_dir, spread=False))
+
+
 def _early_late(df: DataFrame, share: int = 6) -> list[DataFrame]:
     return _slices(df, [share])
 
@@ -81,33 +88,33 @@ def q_slice_after_target(spark, sf_dir):
 
 # ---------------------------------------------------------------- upserts
 def q_upsert_merge(spark, sf_dir):
-    early, late = _early_late(bronze_api(spark, sf_dir))
+    early, late = _feed_slices(bronze_api, spark, sf_dir, [6])
     return upsert(silver.api_users(early), silver.api_users(late), ["username"])
 
 
 def q_upsert_guarded(spark, sf_dir):
-    early, late = _early_late(bronze_cdc(spark, sf_dir))
+    early, late = _feed_slices(bronze_cdc, spark, sf_dir, [6])
     t = silver.cdc_updates(early, "ignore", CDC_LONG)
     u = silver.cdc_updates(late, "ignore", CDC_LONG)
     return upsert(t, u, ["id"], silver.CDC_ORDER).select(*CDC_USER_COLUMNS)
 
 
 def q_upsert_plain_cdc(spark, sf_dir):
-    early, late = _early_late(bronze_cdc(spark, sf_dir))
+    early, late = _feed_slices(bronze_cdc, spark, sf_dir, [6])
     t = silver.cdc_users(early, "ignore", CDC_LONG)
     u = silver.cdc_users(late, "ignore", CDC_LONG)
     return upsert(t, u, ["id"])
 
 
 def q_upsert_partial(spark, sf_dir):
-    early, late = _early_late(bronze_cdc(spark, sf_dir))
+    early, late = _feed_slices(bronze_cdc, spark, sf_dir, [6])
     t = silver.cdc_users(early, "ignore", CDC_LONG).select("id", "name", "email", "department")
     u = silver.cdc_users(late, "ignore", CDC_LONG).select("email", "name", "department", "id")
     return upsert_columns(t, u, ["email"], ["name", "department"])
 
 
 def q_insert_if_absent(spark, sf_dir):
-    early, late = _early_late(bronze_cdc(spark, sf_dir))
+    early, late = _feed_slices(bronze_cdc, spark, sf_dir, [6])
     t = silver.cdc_users(early, "ignore", CDC_LONG)
     new = silver.clean_cdc(silver.parse_cdc(late, CDC_LONG), "ignore")
     oldest_first = [F.col(c).asc_nulls_last() for c in ("source_ts", "kafka_partition", "kafka_offset")]
@@ -115,7 +122,7 @@ def q_insert_if_absent(spark, sf_dir):
 
 
 def q_schema_sync(spark, sf_dir):
-    early, late = _early_late(bronze_api(spark, sf_dir))
+    early, late = _feed_slices(bronze_api, spark, sf_dir, [6])
     old = silver.api_users(early).drop("phone").withColumn("legacy_score", F.lit(0))
     new = silver.api_users(late)
     return upsert(sync_columns(old, new), new, ["username"])
@@ -128,7 +135,7 @@ def q_incremental_refresh(spark, sf_dir):
     root = scratch_path(spark, "refresh")
     bronze_t = VersionedTable(spark, f"{root}/bronze_cdc")
     silver_t = VersionedTable(spark, f"{root}/silver_cdc", buckets=8, bucket_keys=["id"])
-    for part in _slices(bronze_cdc(spark, sf_dir), [3, 7]):
+    for part in _feed_slices(bronze_cdc, spark, sf_dir, [3, 7]):
         bronze_t.append(part)
         silver.refresh(bronze_t, silver_t, lambda b: silver.cdc_updates(b, "ignore", CDC_LONG),
                        ["id"], silver.CDC_ORDER)
@@ -140,8 +147,8 @@ def q_incremental_refresh(spark, sf_dir):
 def q_layered_refresh(spark, sf_dir):
     """Bronze -> Silver -> Gold in two runs over versioned tables."""
     layout = Layout(scratch_path(spark, "layers"), buckets=8)
-    api_parts = _slices(bronze_api(spark, sf_dir), [5])
-    cdc_parts = _slices(bronze_cdc(spark, sf_dir), [5])
+    api_parts = _feed_slices(bronze_api, spark, sf_dir, [5])
+    cdc_parts = _feed_slices(bronze_cdc, spark, sf_dir, [5])
     for a, c in zip(api_parts, cdc_parts):
         layout.table(spark, "bronze/api_users_raw").append(a)
         layout.table(spark, "bronze/cdc_users_raw").append(c)
@@ -153,8 +160,8 @@ def _incremental_gold(spark, sf_dir) -> Layout:
     """Bronze -> Silver -> Gold in two runs, Gold refreshed incrementally:
     the second run re-joins only the users its Silver change reaches."""
     layout = Layout(scratch_path(spark, "gold_inc"), buckets=8)
-    api_parts = _slices(bronze_api(spark, sf_dir), [5])
-    cdc_parts = _slices(bronze_cdc(spark, sf_dir), [5])
+    api_parts = _feed_slices(bronze_api, spark, sf_dir, [5])
+    cdc_parts = _feed_slices(bronze_cdc, spark, sf_dir, [5])
     for a, c in zip(api_parts, cdc_parts):
         layout.table(spark, "bronze/api_users_raw").append(a)
         layout.table(spark, "bronze/cdc_users_raw").append(c)
@@ -172,7 +179,7 @@ def q_incremental_gold_stats(spark, sf_dir):
 
 def _three_commit_bronze(spark, sf_dir) -> VersionedTable:
     t = VersionedTable(spark, scratch_path(spark, "bronze_versions"))
-    for part in _slices(bronze_api(spark, sf_dir), [3, 7]):
+    for part in _feed_slices(bronze_api, spark, sf_dir, [3, 7]):
         t.append(part)
     return t
 
@@ -196,7 +203,7 @@ def q_snapshot_history(spark, sf_dir):
 
 def _many_small_commits(spark, sf_dir, n: int) -> VersionedTable:
     t = VersionedTable(spark, scratch_path(spark, "bronze_small"))
-    for part in _slices(bronze_api(spark, sf_dir), list(range(1, n))):
+    for part in _feed_slices(bronze_api, spark, sf_dir, list(range(1, n))):
         t.append(part)
     return t
 
@@ -221,7 +228,7 @@ def q_compaction_files(spark, sf_dir):
 
 def q_expire_keep_last(spark, sf_dir):
     t = VersionedTable(spark, scratch_path(spark, "bronze_expire"))
-    for part in _slices(bronze_api(spark, sf_dir), [2, 4, 6, 8]):
+    for part in _feed_slices(bronze_api, spark, sf_dir, [2, 4, 6, 8]):
         t.append(part)
     t.expire(datetime.now(timezone.utc).replace(tzinfo=None) + timedelta(days=1), retain_last=2)
     return t.history().select("version", F.col("summary")["records"].cast("long").alias("records"))
@@ -237,7 +244,7 @@ def q_maintenance_report(spark, sf_dir):
 
     root = scratch_path(spark, "maintenance")
     bronze_t = VersionedTable(spark, f"{root}/bronze_api")
-    for part in _slices(bronze_api(spark, sf_dir), list(range(1, 8))):
+    for part in _feed_slices(bronze_api, spark, sf_dir, list(range(1, 8))):
         bronze_t.append(part)
     silver_t = VersionedTable(spark, f"{root}/silver_cdc", buckets=8, bucket_keys=["id"])
     silver_t.overwrite(silver_cdc(spark, sf_dir))
@@ -552,7 +559,7 @@ def q_full_refresh(spark, sf_dir):
     bronze_t = VersionedTable(spark, f"{root}/bronze")
     silver_t = VersionedTable(spark, f"{root}/silver", buckets=8, bucket_keys=["id"])
     build = lambda b: silver.cdc_updates(b, "ignore", CDC_LONG)
-    first, rest = _slices(bronze_cdc(spark, sf_dir), [5])
+    first, rest = _feed_slices(bronze_cdc, spark, sf_dir, [5])
     bronze_t.append(first)
     silver.refresh(bronze_t, silver_t, build, ["id"], silver.cdc_order())
     bronze_t.append(rest)

@@ -18,7 +18,7 @@ from strata.operators.quality import state_changes
 from strata.operators.sketches import SketchTable, delay_sketches, figures, merged
 from strata.plans import gold, silver
 from strata.plans.queries import CDC_LONG, bronze_api, bronze_cdc, silver_api, silver_cdc
-from strata.plans.queries_state import BRONZE_FIELDS, _early_late, _slices
+from strata.plans.queries_state import BRONZE_FIELDS, _early_late, _feed_slices, _slices
 from strata.schemas import BRONZE_SCHEMA, CDC_USER_COLUMNS
 from strata.session import materialize, scratch_path
 from strata.sources import catalog
@@ -49,7 +49,7 @@ def _files(df: DataFrame, root: str, files: int, by: str = "kafka_offset") -> Da
 def q_upsert_stored(spark, sf_dir):
     """The change feed in four runs into a keyed table, the second run twice (a run that was repeated)."""
     t = KeyedTable(spark, f"{scratch_path(spark, 'keyed')}/cdc", ["id"], buckets=8)
-    parts = _slices(bronze_cdc(spark, sf_dir), [3, 6, 8])
+    parts = _feed_slices(bronze_cdc, spark, sf_dir, [3, 6, 8])
     for part in (parts[0], parts[1], parts[1], parts[3], parts[2]):  # late slices change nothing in the end
         t.upsert(_cdc(part), silver.CDC_ORDER)
     return t.read().select(*CDC_USER_COLUMNS)
@@ -57,7 +57,7 @@ def q_upsert_stored(spark, sf_dir):
 
 def q_upsert_partial_stored(spark, sf_dir):
     """Some columns of stored rows change, ids stay, new e-mails come in."""
-    early, late = _early_late(bronze_cdc(spark, sf_dir))
+    early, late = _feed_slices(bronze_cdc, spark, sf_dir, [6])
     cols = ["id", "name", "email", "department"]
     t = KeyedTable(spark, f"{scratch_path(spark, 'keyed')}/partial", ["email"], buckets=8)
     t.overwrite(silver.cdc_users(early, "ignore", CDC_LONG).select(*cols))
@@ -76,7 +76,7 @@ def q_delete_stored(spark, sf_dir):
 # -------------------------------------------------------- landing-day Bronze
 def _landed(spark, sf_dir, feed=bronze_api, shares=(3, 7)) -> LandedTable:
     t = LandedTable(spark, f"{scratch_path(spark, 'landed')}/bronze")
-    for i, part in enumerate(_slices(feed(spark, sf_dir), list(shares))):
+    for i, part in enumerate(_feed_slices(feed, spark, sf_dir, list(shares))):
         t.land(part, "run", i)
     return t
 
@@ -96,7 +96,7 @@ def q_landed_incremental(spark, sf_dir):
     past, and the first is landed again, as a replay does."""
     root = scratch_path(spark, "landed")
     bronze, t = LandedTable(spark, f"{root}/bronze"), KeyedTable(spark, f"{root}/silver", ["id"], buckets=8)
-    parts = _slices(bronze_cdc(spark, sf_dir), [3, 7])
+    parts = _feed_slices(bronze_cdc, spark, sf_dir, [3, 7])
     for number, part in enumerate((parts[2], parts[0], parts[1])):
         bronze.land(part, "run", number)
         consume(bronze, t, _cdc, silver.CDC_ORDER, "silver")
@@ -255,7 +255,7 @@ def q_delay_sketches(spark, sf_dir):
 # --------------------------------------------------------- states and skew
 def q_state_compare(spark, sf_dir):
     """Users whose Silver state differs between two points of the feed, row by row on both sides."""
-    early, _ = _early_late(bronze_cdc(spark, sf_dir))
+    early, _ = _feed_slices(bronze_cdc, spark, sf_dir, [6])
     cols = ["id", "name", "email", "department"]
     first = materialize(silver.cdc_users(early, "ignore", CDC_LONG).select(*cols), "state")
     second = materialize(silver_cdc(spark, sf_dir).select(*cols), "state")

@@ -41,3 +41,16 @@ def test_even_scans_get_no_shuffle(spark):
     df = spark.range(1000)
     assert spread_small_scan(df) is df
     assert spread_small_scan(df.filter("id < 0")).count() == 0
+
+
+def test_landing_spans_deal_no_rows(spark, monkeypatch):
+    """Cut points need the least and greatest landing time only; slices hold every row once."""
+    from strata.plans import queries_state as q
+
+    sf_dir, plans, cut = "/root/testdata/sf0.001", [], q._cut_points
+    monkeypatch.setattr(q, "_cut_points", lambda df, shares: plans.append(df._jdf.queryExecution().toString()) or cut(df, shares))
+    layout = q._incremental_gold(spark, sf_dir)
+    assert len(plans) == 2 and not any("RoundRobin" in p for p in plans)
+    for name, feed in (("api", q.bronze_api), ("cdc", q.bronze_cdc)):
+        landed = layout.table(spark, f"bronze/{name}_users_raw").read()
+        assert landed.exceptAll(feed(spark, sf_dir)).count() == 0 and landed.count() == feed(spark, sf_dir).count()
