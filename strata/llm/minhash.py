@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from strata.llm.blocks import HASHES, Block, Words, buckets_for, make_blocks
 from strata.llm.frequencies import FREQUENCIES, codes_for, counted_rows, frequencies, frequency_of
 from strata.llm.graph import joined, settle
-from strata.llm.tables import id_text, release
+from strata.llm.tables import id_text, trim
 from strata.llm.token_store import mix
 from strata.session import materialize
 
@@ -188,7 +188,7 @@ def _similar(threshold: float):
             four = zip(*(b.column(c).to_pylist() for c in ("va", "vb", "wa", "wb")))
             s = [weighted_jaccard(np.frombuffer(x, VECTOR), np.frombuffer(y, VECTOR), wx, wy) for x, y, wx, wy in four]
             yield pa.record_batch({"a": b.column("a"), "b": b.column("b"), "ok": pa.array([v >= threshold - 1e-6 for v in s])})
-        release()
+        trim()
     return run
 
 
@@ -247,7 +247,7 @@ def _candidates(bands: int, per_band: int, threshold: float, floor: float, best:
                             a.append(node)
                             b.append(None)
                 yield pa.record_batch({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string())})
-        release()
+        trim()
     return run
 
 
@@ -298,22 +298,24 @@ def near_links(sketches: DataFrame, threshold: float = THRESHOLD, bands: int = B
     samples = bands * per_band
     floor = threshold - SLACK * (threshold * (1 - threshold) / samples) ** 0.5
     seen, best = 0, FIRST_BEST
+    now = left = None
     while True:
-        now = member.join(label, "node")
-        # the main component of a bucket is that of its first leader
-        state = now.groupBy(*bucket).agg(F.min_by("label", F.struct("unshared", "node")).alias("_main"),
-                                         F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo != _hi")
-        now = now.join(state.select(*bucket, "_main"), bucket).join(sketches.select("node", "samples"), "node")
-        now = materialize(now, "near-open")
+        if now is None:
+            now = open_buckets(member, label, sketches)
+        # labels only merge, and a bucket's chunks stay: a member without pairs of higher ranks gets none later
         other = now.filter(F.col("label") != F.col("_main"))
-        other = other.join(other.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_m")), bucket)
+        if left is not None:
+            other = other.join(left, "node", "left_semi")
+        held = other.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_m"))
+        other = other.join(held, bucket)
+        near = now if left is None else now.join(held.select(*bucket), bucket, "left_semi")
 
         def chunks(df: DataFrame, n: str, size: int, name: str) -> DataFrame:
             part = F.pmod(F.xxhash64("node"), F.ceil(F.col(n) / size)).alias("_chunk")
             return df.select(*bucket, part, "node", "label", "unshared", "weight", "samples").groupBy(*bucket, "_chunk").applyInArrow(
                 _to_chunk(samples), "band int, key long, members binary").withColumnRenamed("members", name)
 
-        met = chunks(other, "_m", CHUNK_OTHERS, "others").join(chunks(now, "_n", CHUNK_ALL, "members"), bucket)
+        met = chunks(other, "_m", CHUNK_OTHERS, "others").join(chunks(near, "_n", CHUNK_ALL, "members"), bucket)
         found = materialize(met.select("band", "others", "members").mapInArrow(
             _candidates(bands, per_band, threshold, floor, best, seen), "a string, b string"), "near-candidates")
         pairs = found.filter(F.col("b").isNotNull())
@@ -321,11 +323,23 @@ def near_links(sketches: DataFrame, threshold: float = THRESHOLD, bands: int = B
         if more is not None and not more.isEmpty():
             links = materialize(links.unionByName(more).distinct(), "near-links")
             label = joined(label, more, "near-labels")
-        if found.filter(F.col("b").isNull()).isEmpty():
+            now = None
+        left = found.filter(F.col("b").isNull()).select(F.col("a").alias("node")).distinct()
+        if left.isEmpty():
             return links, label
         seen, best = best, best * 8
 
 
+def open_buckets(member: DataFrame, label: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The members, with their samples, of buckets that hold several components.  The main one of a bucket is that of its first leader."""
+    bucket = ["band", "key"]
+    now = member.join(label, "node")
+    state = now.groupBy(*bucket).agg(F.min_by("label", F.struct("unshared", "node")).alias("_main"),
+                                     F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo != _hi")
+    now = now.join(state.select(*bucket, "_main"), bucket).join(sketches.select("node", "samples"), "node")
+    return materialize(now, "near-open")
+
+
 def text_classes(rows: DataFrame, threshold: float, bands: int, per_band: int) -> DataFrame:
     """One row per distinct text: node (md5), first_id, copies, label, n_links."""
     blocks, total = make_blocks(rows)
