@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from strata.llm.ranges import cut_points, range_of
 from strata.llm.tables import id_text, release, ship_package
 from strata.llm.token_store import mix, pack_ids, unpack_ids
-from strata.llm.tokens import encoder
+from strata.llm.tokens import encoder, lots
 from strata.session import scratch_path
 
 LENGTH = 2048
@@ -99,9 +99,9 @@ def _encode(path: str, end_id: int):
     def run(batches):
         enc, seen = encoder(path), 0
         for b in batches:
-            for a in range(0, b.num_rows, 512):
-                doc = b.column("doc_id").slice(a, 512)
-                raw = [x + end for x in enc.encode(b.column("text").slice(a, 512).to_pylist())]
+            for a, n in lots(b.column("text")):
+                doc = b.column("doc_id").slice(a, n)
+                raw = [x + end for x in enc.encode(b.column("text").slice(a, n).to_pylist())]
                 cells = np.array([curve_cell(np.frombuffer(x, "<u4")) for x in raw]).reshape(-1, DIMS)
                 tie = np.array([zlib.crc32(str(d).encode()) for d in doc.to_pylist()], np.uint64)
                 key = (hilbert_key(cells) << np.uint64(31)) | (tie >> np.uint64(1))
