@@ -9,6 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from strata.llm import tokens
+from strata.llm.token_store import pack_ids, unpack_ids
 
 BYTE_BPE, WORD_BPE = map(public_tokenizers.path, ("byte_bpe_50k.json", "word_bpe_49k.json"))
 
@@ -36,3 +37,9 @@ def test_lots_are_bounded(monkeypatch):
     assert got == [(0, 3), (3, 1), (4, 1), (5, 2)]
     assert list(tokens.lots(pa.array([], pa.string()))) == []
     assert list(tokens.lots(texts.slice(2, 3))) == [(0, 2), (2, 1)]
+
+
+def test_ids_come_back_from_the_shuffle():
+    for ids in ([], [0], [65535, 1], [65536, 7]):
+        raw = np.array(ids, "<u4").tobytes()
+        assert all(unpack_ids(pack_ids(raw, squeeze)).tobytes() == raw for squeeze in (True, False))
