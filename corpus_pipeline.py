@@ -15,7 +15,7 @@ from strata.llm.decontaminate import decontaminate
 from strata.llm.exact import exact_dedup
 from strata.llm.minhash import near_dedup
 from strata.llm.packing import pack_sequences
-from strata.llm.tables import documents, table
+from strata.llm.tables import documents, release_driver, table
 from strata.llm.toxicity import drop_toxic
 from strata.session import scratch_path
 
@@ -64,4 +64,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        release_driver(spark)  # what the stage held is gone before the next one
     return docs

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from strata.llm.blocks import HASHES, Block, Words, buckets_for, make_blocks
 from strata.llm.frequencies import FREQUENCIES, codes_for, counted_rows, frequencies, frequency_of
 from strata.llm.graph import joined, settle
-from strata.llm.tables import id_text, trim
+from strata.llm.tables import id_text, release_driver, trim
 from strata.llm.token_store import mix
 from strata.session import materialize
 
@@ -300,6 +300,7 @@ def near_links(sketches: DataFrame, threshold: float = THRESHOLD, bands: int = B
     seen, best = 0, FIRST_BEST
     now = left = None
     while True:
+        release_driver(sketches.sparkSession)
         if now is None:
             now = open_buckets(member, label, sketches)
         # labels only merge, and a bucket's chunks stay: a member without pairs of higher ranks gets none later
@@ -350,9 +351,11 @@ def text_classes(rows: DataFrame, threshold: float, bands: int, per_band: int) -
     made = materialize(blocks.groupBy("block").cogroup(told.groupBy("block"))
                        .applyInArrow(_sketch(n, buckets, threshold, bands, per_band), SKETCH), "near-sketches")
     blocks.unpersist()
+    release_driver(rows.sparkSession)
     # equal texts of several blocks: any of the equal rows
     sketches = materialize(made.dropDuplicates(["node"]), "near-nodes")
     links, label = near_links(sketches, threshold, bands, per_band)
+    release_driver(rows.sparkSession)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     labels = label.join(degree, "node", "left")
     return (

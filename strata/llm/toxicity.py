@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.tables import ship_package
+from strata.llm.tables import release_driver, ship_package
 
 BITS = 18
 FACTORS = 4
@@ -136,6 +136,12 @@ def held_out(doc_id):
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, bits: int = BITS, factors: int = FACTORS,
                  max_rows: int = MAX_ROWS, seed: int = 7) -> FactorizationMachine:
+    fm = _fitted(docs, labels, bits, factors, max_rows, seed)
+    release_driver(docs.sparkSession)  # the sample: the driver goes on to other stages
+    return fm
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, bits: int, factors: int, max_rows: int, seed: int) -> FactorizationMachine:
     ship_package(docs.sparkSession)
     known = (
         labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
