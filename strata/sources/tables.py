@@ -12,7 +12,7 @@ it is reading.
 
 Bucketed tables hash rows into ``pmod(hash(keys), buckets)``; an upsert
 rewrites only the buckets its updates touch and re-links the others, so its
-cost follows the change, not the table.  Several writers may commit: a version
+cost follows the change, not the table.  ``keep_first`` adds new rows to their buckets instead.  Several writers may commit: a version
 number is created exclusively after the head its folders were linked from, and
 a writer that comes second links its folders after the first one's, or merges
 again, or raises ``CommitConflict``.
@@ -193,6 +193,11 @@ def decode_layout(layout: dict[str, str]) -> list[str]:
     return [p for _, p in sorted(pairs)]
 
 
+def _folders(by_bucket: dict[int, list[str]], ids=None) -> list[str]:
+    """Folders of some buckets (default: all), by bucket."""
+    return [p for b in sorted(by_bucket if ids is None else ids) for p in by_bucket.get(b, [])]
+
+
 def bucket_of(keys: list[str], buckets: int) -> Column:
     """``pmod(hash(keys), buckets)``: the function Spark's hash partitioning
     uses to place rows, which is what lets a bucketed write put exactly one
@@ -230,6 +235,8 @@ def bitmap_ids(bitmaps: list[bytes | None]) -> list[int]:
 # A change touching at least this share of the buckets is laid out with one
 # task per bucket slice over all buckets; below it, over the touched ones.
 EXACT_LAYOUT_SHARE = 4
+# Rows of a change whose key hashes (8 bytes each) are broadcast in ``keep_first``.
+SMALL_CHANGE = 1_000_000
 
 
 class VersionedTable:
@@ -488,13 +495,18 @@ class VersionedTable:
         now = self.latest()
         old, new = self._bucket_map(then), self._bucket_map(now)
         touched = [b for b in sorted(old.keys() | new.keys()) if old.get(b) != new.get(b)]
-        return (self._read_parts(then, [old[b] for b in touched if b in old]),
-                self._read_parts(now, [new[b] for b in touched if b in new]))
+        return (self._read_parts(then, _folders(old, touched)), self._read_parts(now, _folders(new, touched)))
 
-    def _bucket_map(self, commit: Commit | None) -> dict[int, str]:
-        if commit is None or not self.buckets:
-            return {}
-        return {int(p.rsplit(f"/{BUCKET_COL}=", 1)[1]): p for p in commit.parts}
+    def _bucket_map(self, commit: Commit | None) -> dict[int, list[str]]:
+        """Folders of each bucket: one, and those that ``keep_first`` added since it was last rewritten."""
+        out: dict[int, list[str]] = {}
+        for p in commit.parts if commit is not None and self.buckets else []:
+            out.setdefault(int(p.rsplit(f"/{BUCKET_COL}=", 1)[1]), []).append(p)
+        return out
+
+    def _buckets_in(self, rel: str) -> set[int]:
+        """Buckets with rows in a data folder."""
+        return {int(n.rpartition("=")[2]) for n in self._fs.list_names(f"{self.root}/{rel}") if n.startswith(f"{BUCKET_COL}=")}
 
     def _cluster(self, df: DataFrame, n_touched: int, files_per_bucket: int,
                  keys: list[str] | None = None) -> tuple[DataFrame, list[str]]:
@@ -612,26 +624,12 @@ class VersionedTable:
         if combine is None and not set(self.bucket_keys) <= set(keys):
             raise ValueError("merge keys must include the bucket keys")
         head = self.latest()
-        if head is not None:
-            # bucket ids hash the stored key types: an int key and a long key
-            # of equal value hash apart, so align the change to the table first
-            stored = {f.name: f.dataType for f in T.StructType.fromJson(json.loads(head.schema)).fields}
-            given = [(f.name, f.dataType) for f in updates.schema.fields]
-            if any(c in stored and t != stored[c] for c, t in given):
-                updates = updates.select(*[
-                    F.col(c).cast(stored[c]).alias(c) if c in stored and t != stored[c] else F.col(c)
-                    for c, t in given
-                ])
+        updates = self._aligned(updates, head)
         stage = scratch_path(self.spark, "merge-staging")
         try:
-            seen = Observation("merge_updates")
-            bitmaps = bucket_bitmaps(bucket_of(self.bucket_keys, self.buckets), self.buckets)
-            updates.observe(seen, F.count(F.lit(1)).alias("rows"), *bitmaps).write.parquet(stage)
-            got = seen.get
-            touched = bitmap_ids([got[f"_bm{k}"] for k in range(len(bitmaps))]) if got["rows"] else []
+            staged, touched, got = self._staged(updates, stage)
             if not touched:
                 return head
-            staged = self.spark.read.schema(updates.schema).parquet(stage)
             if combine is None and order is None:
                 assert_unique(staged, keys)
             extra["summary"] = {**(extra.pop("summary", None) or {}), "touched_buckets": str(len(touched)),
@@ -640,8 +638,7 @@ class VersionedTable:
                 rel, schema = self._write_merge(head, staged, touched, keys, order, combine, files_per_bucket)
                 base = self._bucket_map(head)
                 # a bucket that lost all its rows has no folder
-                written = {int(n.rpartition("=")[2]) for n in self._fs.list_names(f"{self.root}/{rel}")
-                           if n.startswith(f"{BUCKET_COL}=")}
+                written = self._buckets_in(rel)
                 gone = set(touched) - written
 
                 def relinked(h: Commit | None) -> list[str]:
@@ -649,7 +646,7 @@ class VersionedTable:
                     if any(now.get(b) != base.get(b) for b in touched):
                         raise CommitConflict(f"{self.root}: a touched bucket was rewritten meanwhile")
                     kept = {b: f for b, f in now.items() if b not in gone}
-                    return [f for _, f in sorted({**kept, **{b: f"{rel}/{BUCKET_COL}={b}" for b in written}}.items())]
+                    return _folders({**kept, **{b: [f"{rel}/{BUCKET_COL}={b}"] for b in written}})
 
                 try:
                     return self._relink(operation, head, relinked,
@@ -665,13 +662,124 @@ class VersionedTable:
             # committed (or failed) it goes, so scratch does not grow per batch
             _FS(self.spark, stage).delete(stage)
 
+    def _aligned(self, updates: DataFrame, head: Commit | None) -> DataFrame:
+        """Bucket ids hash the stored key types: an int key and a long key
+        of equal value hash apart, so the change gets the table's types first."""
+        if head is None:
+            return updates
+        stored = {f.name: f.dataType for f in T.StructType.fromJson(json.loads(head.schema)).fields}
+        given = [(f.name, f.dataType) for f in updates.schema.fields]
+        if all(c not in stored or t == stored[c] for c, t in given):
+            return updates
+        return updates.select(*[
+            F.col(c).cast(stored[c]).alias(c) if c in stored and t != stored[c] else F.col(c)
+            for c, t in given
+        ])
+
+    def _staged(self, updates: DataFrame, stage: str, *metrics: Column) -> tuple[DataFrame, list[int], dict]:
+        """``updates`` written to ``stage`` and read from there, the buckets they touch, and what was
+        observed in that write."""
+        seen = Observation("merge_updates")
+        bitmaps = bucket_bitmaps(bucket_of(self.bucket_keys, self.buckets), self.buckets)
+        updates.observe(seen, F.count(F.lit(1)).alias("rows"), *bitmaps, *metrics).write.parquet(stage)
+        got = seen.get
+        touched = bitmap_ids([got[f"_bm{k}"] for k in range(len(bitmaps))]) if got["rows"] else []
+        return self.spark.read.schema(updates.schema).parquet(stage), touched, got
+
+    def keep_first(self, updates: DataFrame, first_by: str, keys: list[str] | None = None, *,
+                   operation: str = "merge", files_per_bucket: int = 1, **extra) -> Commit | None:
+        """The guarded merge under ``first_by`` ascending (NULLs last), for tables whose rows hardly ever
+        change: same state as ``merge``, but rows of new keys are added to their buckets as a further
+        folder, and only buckets in which an update came before the stored row are rewritten.  Of rows that tie the stored one stays.
+
+        ``updates`` holds a key once.  Of the target only the keys and ``first_by`` are read, in the
+        touched buckets and the range of the updates' keys (files outside it are skipped by their statistics);
+        up to ``SMALL_CHANGE`` updates, only those whose hash is among the updates' are shuffled.
+        So what a batch writes follows the batch, not the table.  Updates that change nothing commit nothing.
+        Many batches leave many small folders, which ``compact`` puts together.
+        """
+        if not self.buckets:
+            raise ValueError("keep_first needs a bucketed table")
+        keys = list(keys or self.bucket_keys)
+        if not set(self.bucket_keys) <= set(keys):
+            raise ValueError("merge keys must include the bucket keys")
+        order = [F.col(first_by).asc_nulls_last()]
+        head = self.latest()
+        if head is None:
+            return self.merge(updates, keys, order, operation=operation, files_per_bucket=files_per_bucket, **extra)
+        updates = self._aligned(updates, head)
+        ranged = [f.name for f in updates.schema.fields if f.name in keys and isinstance(f.dataType, (T.IntegralType, T.StringType))]
+        bounds = [f(k).alias(f"_{n}_{k}") for k in ranged for n, f in (("lo", F.min), ("hi", F.max))]
+        bucket = bucket_of(self.bucket_keys, self.buckets)
+        stage = scratch_path(self.spark, "merge-staging")
+        try:
+            staged, touched, got = self._staged(updates, stage, *bounds)
+            if not touched:
+                return head
+            extra["summary"] = {**(extra.pop("summary", None) or {}), "touched_buckets": str(len(touched)),
+                                "total_buckets": str(self.buckets), "change_rows": str(got["rows"])}
+            while True:
+                base = self._bucket_map(head)
+                held = self._read_parts(head, _folders(base, touched))
+                for k in ranged:  # a NULL key has no place in the range
+                    held = held.filter(F.col(k).isNull() | F.col(k).between(F.lit(got[f"_lo_{k}"]), F.lit(got[f"_hi_{k}"])))
+                if got["rows"] <= SMALL_CHANGE:  # few keys go to the stored ones, which then need no shuffle
+                    held = held.join(F.broadcast(staged.select(F.xxhash64(*keys).alias("_h_hash"))),
+                                     F.xxhash64(*keys) == F.col("_h_hash"), "left_semi")
+                held = held.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.col(first_by).alias("_h_first"), F.lit(True).alias("_h_known"))
+                same = F.lit(True)
+                for k in keys:
+                    same &= F.col(k).eqNullSafe(F.col(f"_h_{k}"))
+                first, held_first = F.col(first_by), F.col("_h_first")
+                change = (F.when(F.col("_h_known").isNull(), "new")
+                          .when(first.isNotNull() & (held_first.isNull() | (first < held_first)), "earlier").otherwise("none"))
+                # written once: the join is not made again for each kind of change
+                seen = Observation("keep_first")
+                bitmaps = bucket_bitmaps(F.when(F.col("_h_change") == "earlier", bucket), self.buckets)
+                judged_at = f"{stage}-judged"
+                (staged.join(held, same, "left").select(*staged.columns, change.alias("_h_change"))
+                 .observe(seen, F.count(F.lit(1)).alias("rows"), *bitmaps).write.mode("overwrite").parquet(judged_at))
+                judged = self.spark.read.schema(T.StructType([*staged.schema.fields, T.StructField("_h_change", T.StringType())])).parquet(judged_at)
+                early = bitmap_ids([seen.get[f"_bm{k}"] for k in range(len(bitmaps))])
+                rel, path = self._next_data_dir()
+                fresh = judged.filter((F.col("_h_change") == "new") & ~bucket.isin(early)).drop("_h_change")
+                self._write_bucketed(fresh, rel, path, files_per_bucket, len(touched))
+                added = {b: [f"{rel}/{BUCKET_COL}={b}"] for b in self._buckets_in(rel)}
+                rewritten, schema = {}, staged.schema
+                if early:
+                    changes = judged.filter((F.col("_h_change") != "none") & bucket.isin(early)).drop("_h_change")
+                    other, schema = self._write_merge(head, changes, early, keys, order, None, files_per_bucket)
+                    rewritten = {b: [f"{other}/{BUCKET_COL}={b}"] for b in early}
+                if not added:
+                    self._fs.delete(path)
+                if not added and not rewritten:
+                    return head
+
+                def relinked(h: Commit | None) -> list[str]:
+                    now = self._bucket_map(h)
+                    if any(now.get(b) != base.get(b) for b in touched):
+                        raise CommitConflict(f"{self.root}: a touched bucket was changed meanwhile")
+                    return _folders({**now, **{b: now.get(b, []) + f for b, f in added.items()}, **rewritten})
+
+                try:
+                    return self._relink(operation, head, relinked,
+                                        lambda h: widen(T.StructType.fromJson(json.loads(h.schema)), schema), **extra)
+                except CommitConflict:
+                    newer = self.latest()
+                    if newer is None or newer.version <= head.version:
+                        raise
+                    head = newer  # another writer changed a touched bucket: compare with its state
+        finally:
+            _FS(self.spark, stage).delete(stage)
+            _FS(self.spark, stage).delete(f"{stage}-judged")
+
     def _write_merge(self, head: Commit | None, staged: DataFrame, touched: list[int], keys: list[str],
                      order: list[Column] | None, combine, files_per_bucket: int) -> tuple[str, T.StructType]:
         """Write the merged rows of the touched buckets; their folder and schema."""
         current = self._bucket_map(head)
         schema = staged.schema if head is None else widen(T.StructType.fromJson(json.loads(head.schema)), staged.schema)
         if head is not None:
-            target = self._read_parts(head, [current[b] for b in touched if b in current], schema)
+            target = self._read_parts(head, _folders(current, touched), schema)
         else:
             target = self.spark.createDataFrame([], schema)
         rel, path = self._next_data_dir()
@@ -708,7 +816,7 @@ class VersionedTable:
         below 3/4 of the target), so a daily run reads the day's small
         commits, not the whole log.  A bucketed table is rewritten
         only in the buckets holding more files than their size calls for
-        (a merge replaces a bucket's folder, so buckets rarely fragment):
+        (a merge replaces a bucket's folders, so only ``keep_first`` fragments buckets):
         per-bucket file counts and bytes come from Spark's file listing, at
         most one row per bucket reaches the driver, and the other buckets are
         re-linked untouched.  A daily run over a large, healthy table then
@@ -774,14 +882,14 @@ class VersionedTable:
         # must not multiply the partition count; total output stays ~ bytes / target
         frag_bytes = sum(r["bytes"] for r in per_bucket if r["b"] in set(frag))
         slices = max(1, math.ceil(frag_bytes / target_file_bytes / len(frag)))
-        keyed, _ = self._cluster(self._read_parts(head, [current[b] for b in frag]), len(frag), slices)
+        keyed, _ = self._cluster(self._read_parts(head, _folders(current, frag)), len(frag), slices)
         keyed.drop(SUB_COL).write.partitionBy(BUCKET_COL).parquet(path)
 
         def relinked(h: Commit) -> list[str]:
             now = self._bucket_map(h)
             if any(now.get(b) != current[b] for b in frag):
                 raise CommitConflict(f"{self.root}: a compacted bucket was rewritten meanwhile")
-            return [f for _, f in sorted({**now, **{b: f"{rel}/{BUCKET_COL}={b}" for b in frag}}.items())]
+            return _folders({**now, **{b: [f"{rel}/{BUCKET_COL}={b}"] for b in frag}})
 
         self._relink("compact", head, relinked, lambda h: T.StructType.fromJson(json.loads(h.schema)), keep_mark=True,
                      summary={"rewritten_files": str(rewritten), "rewritten_buckets": str(len(frag))})

@@ -48,9 +48,21 @@ def start_dedup(stream: DataFrame, table: VersionedTable, checkpoint: str, query
     """Land each message once (K4): a guarded merge on the message identity
     keeps the earliest landed copy.  No watermark: a first copy that comes late
     is kept however late it is, and any later copy changes nothing.  ``table`` is
-    bucketed by the message identity, which is its state."""
-    return start_upsert(stream, table, lambda b: drop_duplicate_messages(b, first_by=first_by), MESSAGE_ID,
-                        [F.col(first_by).asc_nulls_last()], checkpoint, query_name, trigger)
+    bucketed by the message identity, which is its state.  New messages are added to
+    their buckets (``keep_first``), so a batch writes what it brings, not the table."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        txn = f"{query_name}:{batch_id}"
+        if table.committed_txn(txn):
+            return
+        table.keep_first(drop_duplicate_messages(batch, first_by=first_by), first_by, MESSAGE_ID, txn=txn)
+
+    return (
+        stream.writeStream.queryName(query_name)
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+        .trigger(**(trigger or {"processingTime": "15 minutes"}))
+        .start()
+    )
 
 
 def windowed_counts(stream: DataFrame, ts: str, window: str = "1 minute",
